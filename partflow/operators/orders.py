@@ -112,15 +112,15 @@ def open_sales(source, parts: DataFrame, house_account: str = HOUSE_ACCOUNT) ->
 
 
 def open_purchases(source, df: DataFrame,
-                   order_by: tuple[str, ...] = ("purchaseOrderNumber", "itemNumber", "quantityOrdered",
-                                                "quantityReceived")) -> DataFrame:
+                   order_by: tuple[str, ...] = ("purchaseOrderNumber", "itemNumber", "quantityOrdered")
+                   ) -> DataFrame:
     """Open PO quantity (ordered - received, nulls as 0) and first description per part, left-joined.
 
     A ``partDescription`` already on ``df`` yields ``partDescription_x/_y``.
     """
     fields = ",".join(dict.fromkeys(["partNumber", "quantityOrdered", "quantityReceived", "partDescription",
                                      *order_by]))
-    po = read_entity(source, "purchase_order_line_items", fields + ",status").where(F.col("status") == "Open")
+    po = read_entity(source, "purchase_order_line_items", fields + ",status", filter_string="status=Open")
     po = po.select(
         "partNumber",
         (F.coalesce(F.col("quantityOrdered"), F.lit(0.0)) - F.coalesce(F.col("quantityReceived"), F.lit(0.0)))

@@ -218,11 +218,23 @@ def size_forecast(demand: DataFrame, quarter: DataFrame, statistic: str) -> Data
 
 # --- distribution -------------------------------------------------------------------------------------------
 
-def _range_of(v: DataFrame, col: str) -> tuple[Column, Column]:
-    stats = v.select(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
-    lo, hi = stats.getField("lo"), stats.getField("hi")
-    same = lo == hi
-    return F.when(same, lo - 0.5).otherwise(lo), F.when(same, hi + 0.5).otherwise(hi)
+def _with_stats(v: DataFrame, stats: DataFrame) -> DataFrame:
+    """Attach a one-row global aggregate to every row.
+
+    A global aggregate has exactly one row, so broadcasting it is size-safe;
+    it avoids repeating a scalar subquery (and its whole input plan) in every
+    expression that needs the value.
+    """
+    one = F.lit(1).alias("__one")
+    return v.select("*", one).join(F.broadcast(stats.select("*", one)), "__one").drop("__one")
+
+
+def _value_stats(v: DataFrame) -> DataFrame:
+    s = v.agg(F.count("v").alias("__n"), F.stddev_samp("v").alias("__sd"),
+              F.min("v").alias("__min"), F.max("v").alias("__max"))
+    same = F.col("__min") == F.col("__max")
+    return s.select("*", F.when(same, F.col("__min") - 0.5).otherwise(F.col("__min")).alias("__lo"),
+                    F.when(same, F.col("__max") + 0.5).otherwise(F.col("__max")).alias("__hi"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
@@ -231,14 +243,16 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     Output (bin, lower, upper, count) for every bin, empty ones included.
     """
     v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    lo, hi = _range_of(v, "v")
-    width = (hi - lo) / bins
+    stats = _value_stats(v)
+    lo, hi = F.col("__lo"), F.col("__hi")
     b = F.least(F.floor((F.col("v") - lo) / (hi - lo) * bins), F.lit(bins - 1)).cast("bigint")
-    counts = v.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    grid = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
+    counts = _with_stats(v, stats).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    grid = _with_stats(df.sparkSession.range(bins).withColumnRenamed("id", "bin"), stats)
+    width = (hi - lo) / bins
     return (grid.join(counts, "bin", "left")
-            .select("bin", (lo + F.col("bin") * width).alias("lower"), (lo + (F.col("bin") + 1) * width)
-                    .alias("upper"), F.coalesce(F.col("count"), F.lit(0)).alias("count")))
+            .select("bin", (lo + F.col("bin") * width).alias("lower"),
+                    (lo + (F.col("bin") + 1) * width).alias("upper"),
+                    F.coalesce(F.col("count"), F.lit(0)).alias("count")))
 
 
 def kde_curve(df: DataFrame, col: str, gridsize: int = 200, bins: int = 20, cut: float = 0.0) -> DataFrame:
@@ -248,16 +262,15 @@ def kde_curve(df: DataFrame, col: str, gridsize: int = 200, bins: int = 20, cut:
     summed: linear in the data, combined map-side.
     """
     v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    s = v.select(F.struct(F.count("v").alias("n"), F.stddev_samp("v").alias("sd"), F.min("v").alias("lo"),
-                          F.max("v").alias("hi"))).scalar()
-    n, sd, lo, hi = s.getField("n"), s.getField("sd"), s.getField("lo"), s.getField("hi")
-    bw = sd * F.pow(n.cast("double"), F.lit(-0.2))
-    g0 = lo - bw * cut
-    step = ((hi + bw * cut) - g0) / (gridsize - 1)
-    pts = v.select("v", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("point"))
+    stats = _value_stats(v)
+    stats = stats.select("*", (F.col("__sd") * F.pow(F.col("__n").cast("double"), F.lit(-0.2))).alias("__bw"))
+    bw = F.col("__bw")
+    g0 = F.col("__min") - bw * cut
+    step = ((F.col("__max") + bw * cut) - g0) / (gridsize - 1)
+    pts = _with_stats(v, stats).select("*", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("point"))
     x = g0 + F.col("point") * step
     dens = F.exp(-0.5 * F.pow((x - F.col("v")) / bw, 2)) / (bw * math.sqrt(2 * math.pi))
-    binw = (hi - lo) / bins
-    return (pts.groupBy("point").agg(F.sum(dens).alias("__d"))
-            .select(F.col("point").cast("bigint").alias("point"), (g0 + F.col("point") * step).alias("x"),
-                    (F.col("__d") * binw).alias("density")))
+    binw = (F.col("__max") - F.col("__min")) / bins
+    return (pts.groupBy("point", x.alias("x"), binw.alias("__binw")).agg(F.sum(dens).alias("__d"))
+            .select(F.col("point").cast("bigint").alias("point"), "x",
+                    (F.col("__d") * F.col("__binw")).alias("density")))

@@ -64,3 +64,190 @@ def q_top_parts(spark, sf_dir):
 @query("aggregate_by_part")
 def q_aggregate_by_part(spark, sf_dir):
     return reports.aggregate_by_part(_clean(_t(spark, sf_dir)), PARAMS["statistic"], SALES_ORDER)
+
+
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Round double columns of a report (sums of floats depend on addition order)."""
+    return df.select(*[F.round(F.col(f"`{f.name}`"), digits).alias(f.name) if f.dataType.typeName() == "double"
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
+# --- scans -------------------------------------------------------------------------------------------
+
+from partflow.sources import entity  # noqa: E402
+
+ENTITY_FILTER = "status=Open&dateFinished[gt]=1998-01-01"
+PAGE = {"skip": 400, "take": 200,
+        "order": ("orderNumber", "itemNumber", "partNumber", "quantityToMake", "status", "dateFinished")}
+
+
+@query("entity_scan")
+def q_entity_scan(spark, sf_dir):
+    return entity.read_entity(_t(spark, sf_dir), "order_line_items", "orderNumber, partNumber ,quantityToMake, status")
+
+
+@query("entity_filter")
+def q_entity_filter(spark, sf_dir):
+    return entity.read_entity(_t(spark, sf_dir), "order_line_items", orders.ORDER_LINE_FIELDS,
+                              filter_string=ENTITY_FILTER)
+
+
+@query("lookup_in")
+def q_lookup_in(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    inv = entity.read_entity(t, "ar_invoices", orders.INVOICE_FIELDS,
+                             filter_string=f"invoiceDate[gt]={PARAMS['sales_start']}")
+    return entity.read_entity(t, "ar_invoice_details", orders.INVOICE_DETAIL_FIELDS,
+                              search={"invoiceNumber": inv.select("invoiceNumber")})
+
+
+@query("page")
+def q_page(spark, sf_dir):
+    df = entity.read_entity(_t(spark, sf_dir), "order_line_items", orders.ORDER_LINE_FIELDS)
+    return entity.page(df, PAGE["order"], PAGE["skip"], PAGE["take"])
+
+
+@query("json_collection")
+def q_json_collection(spark, sf_dir):
+    ev = _t(spark, sf_dir).base("events")
+    return entity.json_collection(ev, "props", "k bigint", keep=["event_id", "event_type"])
+
+
+@query("employees")
+def q_employees(spark, sf_dir):
+    return entity.employees(_t(spark, sf_dir))
+
+
+# --- header / detail joins ----------------------------------------------------------------------------
+
+@query("purchases")
+def q_purchases(spark, sf_dir):
+    return orders.purchases(_t(spark, sf_dir), PARAMS["sales_start"])
+
+
+@query("order_items")
+def q_order_items(spark, sf_dir):
+    return orders.order_items(_t(spark, sf_dir), PARAMS["sales_start"])
+
+
+def _jobs(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return orders.jobs(t, PARAMS["sales_start"], orders.order_items(t, PARAMS["sales_start"]))
+
+
+@query("jobs")
+def q_jobs(spark, sf_dir):
+    return _jobs(spark, sf_dir)[0]
+
+
+@query("job_materials")
+def q_job_materials(spark, sf_dir):
+    return _jobs(spark, sf_dir)[1]
+
+
+def _demand(t: Tables, start: str | None = None) -> DataFrame:
+    return reports.sum_by_key(_clean(t, start), "partNumber", PARAMS["statistic"])
+
+
+@query("open_sales")
+def q_open_sales(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return orders.open_sales(t, _demand(t))
+
+
+@query("open_purchases")
+def q_open_purchases(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return orders.open_purchases(t, t.entity("inventory"))
+
+
+@query("lead_times")
+def q_lead_times(spark, sf_dir):
+    return orders.lead_times(orders.purchases(_t(spark, sf_dir), PARAMS["sales_start"]))
+
+
+# --- report tables ---------------------------------------------------------------------------------------
+
+@query("size_category_pivot")
+def q_size_category_pivot(spark, sf_dir):
+    return reports.size_category_pivot(_clean(_t(spark, sf_dir)), PARAMS["statistic"])
+
+
+@query("share_of_total")
+def q_share_of_total(spark, sf_dir):
+    return reports.share_of_total(_clean(_t(spark, sf_dir)), PARAMS["statistic"])
+
+
+@query("with_margins")
+def q_with_margins(spark, sf_dir):
+    cells = reports.size_category_pivot(_clean(_t(spark, sf_dir)), PARAMS["statistic"])
+    return reports.with_margins(cells, PARAMS["statistic"])
+
+
+@query("mandrel_customers")
+def q_mandrel_customers(spark, sf_dir):
+    return reports.mandrel_customers(_clean(_t(spark, sf_dir)))
+
+
+@query("mandrel_ratio")
+def q_mandrel_ratio(spark, sf_dir):
+    return reports.mandrel_ratio(_clean(_t(spark, sf_dir)), PARAMS["statistic"])
+
+
+def _customer_ratio(spark, sf_dir):
+    return reports.customer_ratio(_clean(_t(spark, sf_dir)), PARAMS["statistic"])
+
+
+@query("customer_ratio")
+def q_customer_ratio(spark, sf_dir):
+    return _customer_ratio(spark, sf_dir)
+
+
+def _group_averages(spark, sf_dir):
+    return reports.group_averages(_customer_ratio(spark, sf_dir))
+
+
+@query("group_averages")
+def q_group_averages(spark, sf_dir):
+    return rounded(_group_averages(spark, sf_dir))
+
+
+@query("relative_to_baseline")
+def q_relative_to_baseline(spark, sf_dir):
+    return rounded(reports.relative_to_baseline(_group_averages(spark, sf_dir)))
+
+
+def _inner_race(spark, sf_dir):
+    return _group_averages(spark, sf_dir).where(F.col("Category") == "Inner Race")
+
+
+@query("histogram")
+def q_histogram(spark, sf_dir):
+    return rounded(reports.histogram(_inner_race(spark, sf_dir), "ratio"))
+
+
+@query("kde_curve")
+def q_kde_curve(spark, sf_dir):
+    return rounded(reports.kde_curve(_inner_race(spark, sf_dir), "ratio"))
+
+
+@query("value_range")
+def q_value_range(spark, sf_dir):
+    return reports.value_range(_demand(_t(spark, sf_dir)), PARAMS["statistic"])
+
+
+def _forecast_demand(t: Tables) -> DataFrame:
+    stat = PARAMS["statistic"]
+    per_part = reports.aggregate_by_part(_clean(t), stat, SALES_ORDER).select(
+        "partNumber", "partDescription", "MotorSize", "Category", stat)
+    with_open = orders.open_sales(t, per_part)
+    inv = t.entity("inventory").select("partNumber", "quantityOnHand")
+    from partflow.functions.semantics import merge
+    return merge(with_open, inv, "partNumber", "left")
+
+
+@query("size_forecast")
+def q_size_forecast(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    quarter = _demand(t, PARAMS["quarter_start"])
+    return reports.size_forecast(_forecast_demand(t), quarter, PARAMS["statistic"])

@@ -38,3 +38,191 @@ _FIRST = ", ".join(f"arg_min({c}, {_ORD}) FILTER (WHERE {c} IS NOT NULL) AS {c}"
 ORACLE["aggregate_by_part"] = with_views(_SALES_VIEWS, [_SALES, _CLEAN], f"""
 SELECT partNumber, {_FIRST}, coalesce(sum(quantityText), 0) AS quantityText
 FROM clean WHERE partNumber IS NOT NULL GROUP BY partNumber""")
+
+# --- scans -------------------------------------------------------------------------------------------
+from partflow.plans.catalog import PAGE  # noqa: E402
+
+_S = PARAMS["sales_start"]
+_AFTER = "CAST({c} AS TIMESTAMP) > TIMESTAMP '{d} 00:00:00'"
+
+ORACLE["entity_scan"] = with_views(["order_line_items"], [],
+                                   "SELECT orderNumber, partNumber, quantityToMake, status FROM order_line_items")
+ORACLE["entity_filter"] = with_views(["order_line_items"], [], f"""
+SELECT orderNumber, itemNumber, partNumber, partDescription, quantityToMake, status, dateFinished
+FROM order_line_items WHERE status = 'Open' AND {_AFTER.format(c='dateFinished', d='1998-01-01')}""")
+ORACLE["lookup_in"] = with_views(_SALES_VIEWS, [], f"""
+SELECT * FROM ar_invoice_details WHERE invoiceNumber IN
+  (SELECT invoiceNumber FROM ar_invoices WHERE {_AFTER.format(c='invoiceDate', d=_S)})""")
+ORACLE["page"] = with_views(["order_line_items"], [], f"""
+SELECT orderNumber, itemNumber, partNumber, partDescription, quantityToMake, status, dateFinished
+FROM order_line_items ORDER BY {', '.join(PAGE['order'])} LIMIT {PAGE['take']} OFFSET {PAGE['skip']}""")
+ORACLE["json_collection"] = """
+SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"""
+ORACLE["employees"] = with_views(["employees"], [], "SELECT * FROM employees")
+
+# --- header / detail joins ----------------------------------------------------------------------------
+_PURCHASES = ("purchases", f"""
+SELECT l.purchaseOrderNumber AS PONumber, l.itemNumber, l.partNumber, l.partDescription, l.quantityOrdered,
+  l.quantityReceived, l.status AS status_x, l.dateFinished, h.status AS status_y, h.dateEntered, h.vendorCode
+FROM purchase_order_line_items l LEFT JOIN purchase_orders h ON l.purchaseOrderNumber IS NOT DISTINCT FROM h.PONumber
+WHERE {_AFTER.format(c='l.dateFinished', d=_S)}""")
+ORACLE["purchases"] = with_views(["purchase_order_line_items", "purchase_orders"], [_PURCHASES],
+                                 "SELECT * FROM purchases")
+
+_ORDER_ITEMS = ("order_items", f"""
+SELECT o.orderNumber, o.customerCode, o.status AS status_x, o.orderTotal, l.itemNumber, l.partNumber,
+  l.partDescription, l.quantityToMake, l.status AS status_y, l.dateFinished
+FROM stg_orders o JOIN order_line_items l ON o.orderNumber IS NOT DISTINCT FROM l.orderNumber
+WHERE {_AFTER.format(c='l.dateFinished', d=_S)}""")
+ORACLE["order_items"] = with_views(["stg_orders", "order_line_items"], [_ORDER_ITEMS], "SELECT * FROM order_items")
+
+_HOURS = "CASE {u} WHEN 'M' THEN {c} / 60.0 WHEN 'S' THEN {c} / 3600.0 ELSE {c} END"
+ORACLE["jobs"] = with_views(["stg_orders", "order_line_items", "order_routings", "routings"], [
+    _ORDER_ITEMS,
+    ("routes", "SELECT * FROM order_routings WHERE orderNumber IN (SELECT orderNumber FROM order_items)"),
+    ("est", f"""SELECT partNumber, stepNumber, workCenter, {_HOURS.format(u='timeUnit', c='setupTime')} AS setupTime,
+       {_HOURS.format(u='cycleUnit', c='cycleTime')} AS cycleTime FROM routings"""),
+], """
+SELECT r.orderNumber, coalesce(r.partNumber, e.partNumber) AS partNumber, coalesce(r.stepNumber, e.stepNumber) AS stepNumber,
+  r.workCenter, r.estimatedQuantity, e.workCenter AS workCenter_estimate, e.setupTime, e.cycleTime
+FROM routes r FULL OUTER JOIN est e
+  ON r.partNumber IS NOT DISTINCT FROM e.partNumber AND r.stepNumber IS NOT DISTINCT FROM e.stepNumber""")
+ORACLE["job_materials"] = with_views(["job_materials"], [], f"""
+SELECT * FROM job_materials
+WHERE CAST(datePosted AS TIMESTAMP) > CAST(DATE '{_S}' - INTERVAL 1 YEAR AS TIMESTAMP)""")
+
+_DEMAND = ("demand", """SELECT partNumber, coalesce(sum(quantityText), 0) AS quantityText FROM clean
+  WHERE partNumber IS NOT NULL GROUP BY partNumber""")
+_OPEN_AGG = ("open_agg", """
+SELECT partNumber,
+  CASE WHEN count(*) FILTER (WHERE customerCode = 'HOUSEDH') > 0
+       THEN coalesce(sum(quantityToMake) FILTER (WHERE customerCode = 'HOUSEDH'), 0) END AS quantityToMake,
+  CASE WHEN count(*) FILTER (WHERE customerCode IS DISTINCT FROM 'HOUSEDH') > 0
+       THEN coalesce(sum(quantityToMake) FILTER (WHERE customerCode IS DISTINCT FROM 'HOUSEDH'), 0) END AS openCustomerOrders
+FROM (SELECT l.partNumber, l.quantityToMake, o.customerCode
+      FROM order_line_items l LEFT JOIN stg_orders o ON l.orderNumber IS NOT DISTINCT FROM o.orderNumber
+      WHERE l.status = 'Open' AND l.partNumber IN (SELECT partNumber FROM {parts}))
+WHERE partNumber IS NOT NULL GROUP BY partNumber""")
+_OPEN_VIEWS = _SALES_VIEWS + ["order_line_items", "stg_orders"]
+ORACLE["open_sales"] = with_views(_OPEN_VIEWS, [
+    _SALES, _CLEAN, _DEMAND, (_OPEN_AGG[0], _OPEN_AGG[1].format(parts="demand"))], """
+SELECT d.partNumber, d.quantityText, a.quantityToMake, a.openCustomerOrders
+FROM demand d LEFT JOIN open_agg a ON d.partNumber IS NOT DISTINCT FROM a.partNumber""")
+
+ORACLE["open_purchases"] = with_views(["inventory", "purchase_order_line_items"], [
+    ("po_agg", """
+SELECT partNumber, sum(coalesce(quantityOrdered, 0) - coalesce(quantityReceived, 0)) AS quantityOrdered,
+  arg_min(coalesce(partDescription, '0'), (purchaseOrderNumber, itemNumber, quantityOrdered)) AS partDescription
+FROM purchase_order_line_items WHERE status = 'Open' AND partNumber IS NOT NULL GROUP BY partNumber""")], """
+SELECT i.partNumber, i.partDescription AS partDescription_x, i.quantityOnHand, a.quantityOrdered,
+  a.partDescription AS partDescription_y
+FROM inventory i LEFT JOIN po_agg a ON i.partNumber IS NOT DISTINCT FROM a.partNumber""")
+
+ORACLE["lead_times"] = with_views(["purchase_order_line_items", "purchase_orders"], [
+    _PURCHASES,
+    ("lt", """
+SELECT partNumber,
+  date_diff('day', CAST(split_part(dateEntered, 'T', 1) AS DATE), CAST(split_part(dateFinished, 'T', 1) AS DATE)) AS leadTime,
+  strftime(CAST(split_part(dateFinished, 'T', 1) AS DATE), '%y-%m-%d') AS lastDateReceived
+FROM purchases WHERE dateEntered IS NOT NULL AND dateFinished IS NOT NULL AND partNumber IS NOT NULL
+  AND vendorCode IS NOT NULL""")], """
+SELECT partNumber, arg_max(leadTime, (lastDateReceived, leadTime)) AS leadTime,
+  arg_max(lastDateReceived, (lastDateReceived, leadTime)) AS lastDateReceived
+FROM lt GROUP BY partNumber""")
+
+# --- report tables ---------------------------------------------------------------------------------------
+_REP = ("rep", "SELECT * FROM clean WHERE Category IS NOT NULL AND NOT contains(lower(Category), 'none')")
+_CELLS = ("cells", """SELECT MotorSize, Category, coalesce(sum(quantityText), 0) AS quantityText FROM rep
+  WHERE MotorSize IS NOT NULL GROUP BY MotorSize, Category""")
+_BASE = [_SALES, _CLEAN, _REP]
+
+ORACLE["size_category_pivot"] = with_views(_SALES_VIEWS, _BASE + [_CELLS], "SELECT * FROM cells")
+ORACLE["share_of_total"] = with_views(_SALES_VIEWS, _BASE + [_CELLS], """
+SELECT MotorSize, Category, (quantityText * 100.0) / (SELECT sum(quantityText) FROM rep) AS share FROM cells""")
+ORACLE["with_margins"] = with_views(_SALES_VIEWS, _BASE + [_CELLS], """
+SELECT CASE WHEN grouping(MotorSize) = 1 THEN 'Category Sum' ELSE MotorSize END AS MotorSize,
+  CASE WHEN grouping(Category) = 1 THEN 'Size Sum' ELSE Category END AS Category, sum(quantityText) AS quantityText
+FROM cells GROUP BY CUBE (MotorSize, Category)
+HAVING (SELECT count(*) FILTER (WHERE quantityText <> 0 OR isnan(quantityText)) FROM cells) > 0""")
+
+_MAND = ("mand", """SELECT * FROM rep WHERE EXISTS (SELECT 1 FROM rep b WHERE contains(b.Category, 'Mandrels')
+  AND b.customerCode IS NOT DISTINCT FROM rep.customerCode)""")
+ORACLE["mandrel_customers"] = with_views(_SALES_VIEWS, _BASE + [_MAND], "SELECT * FROM mand")
+ORACLE["mandrel_ratio"] = with_views(_SALES_VIEWS, _BASE + [_MAND, (
+    "mcells", """SELECT MotorSize, Category, coalesce(sum(quantityText), 0) AS v FROM mand WHERE MotorSize IS NOT NULL
+  GROUP BY MotorSize, Category""")], """
+SELECT n.MotorSize, n.Category, coalesce(CASE WHEN d.v <> 0 THEN n.v / d.v END, 0) AS ratio
+FROM mcells n LEFT JOIN (SELECT MotorSize, v FROM mcells WHERE Category = 'Mandrels') d USING (MotorSize)
+WHERE n.Category <> 'Mandrels'""")
+
+_RATIO_CTES = _BASE + [
+    ("sums", """SELECT customerCode, Category, coalesce(sum(quantityText), 0) AS v FROM rep
+  WHERE customerCode IS NOT NULL GROUP BY customerCode, Category"""),
+    ("codes", "SELECT DISTINCT customerCode FROM sums"),
+    ("pairs", """SELECT i.customerCode AS customer, r.customerCode FROM codes i JOIN codes r
+  ON contains(r.customerCode, i.customerCode)"""),
+    ("den", "SELECT customerCode AS customer, v AS den FROM sums WHERE Category = 'Mandrels' AND v > 0"),
+    ("p2", "SELECT pairs.customer, pairs.customerCode, den.den FROM pairs JOIN den USING (customer)"),
+    ("cats", "SELECT DISTINCT p2.customer, s.Category FROM p2 JOIN sums s ON s.customerCode = p2.customerCode"),
+    ("ratios", """SELECT p2.customer, p2.customerCode, c.Category, coalesce(s.v, 0) / p2.den AS ratio
+  FROM p2 JOIN cats c ON c.customer = p2.customer
+  LEFT JOIN sums s ON s.customerCode = p2.customerCode AND s.Category = c.Category
+  WHERE c.Category <> 'Mandrels'"""),
+    ("tagged", """SELECT *, list_filter(['ALPHA', 'DELTA', 'OMEGA'], lambda g: contains(lower(customerCode), lower(g))) AS grps
+  FROM ratios"""),
+    ("ga", """SELECT customerCode AS label, customer, Category, ratio FROM tagged WHERE len(grps) = 0
+  UNION ALL
+  SELECT g AS label, NULL AS customer, Category, avg(ratio) AS ratio
+  FROM (SELECT unnest(grps) AS g, Category, ratio FROM tagged) GROUP BY g, Category HAVING avg(ratio) IS NOT NULL"""),
+]
+ORACLE["customer_ratio"] = with_views(_SALES_VIEWS, _RATIO_CTES[:-2], "SELECT * FROM ratios")
+ORACLE["group_averages"] = with_views(_SALES_VIEWS, _RATIO_CTES,
+                                      "SELECT label, customer, Category, round(ratio, 6) AS ratio FROM ga")
+ORACLE["relative_to_baseline"] = with_views(_SALES_VIEWS, _RATIO_CTES, """
+SELECT a.label, a.customer, a.Category,
+  round(CASE WHEN b.ratio <> 0 THEN a.ratio / b.ratio WHEN a.ratio > 0 THEN 'inf'::DOUBLE
+             WHEN a.ratio < 0 THEN '-inf'::DOUBLE ELSE 'nan'::DOUBLE END, 6) AS relative
+FROM ga a JOIN (SELECT Category, ratio FROM ga WHERE label = 'ALPHA') b USING (Category)
+WHERE a.label IS DISTINCT FROM 'ALPHA'
+  AND a.Category NOT IN ('Compression Tools', 'Jaw Clutch Center', 'Adjustable Bent Housings')""")
+
+_V = _RATIO_CTES + [("v", """SELECT ratio AS v FROM ga WHERE Category = 'Inner Race' AND ratio IS NOT NULL
+  AND NOT isnan(ratio)""")]
+ORACLE["histogram"] = with_views(_SALES_VIEWS, _V + [
+    ("r", """SELECT CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo,
+  CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi FROM v"""),
+    ("c", """SELECT CAST(least(floor((v - lo) / (hi - lo) * 20), 19) AS BIGINT) AS bin, count(*) AS count
+  FROM v, r GROUP BY 1""")], """
+SELECT g.bin, round(lo + g.bin * ((hi - lo) / 20), 6) AS lower, round(lo + (g.bin + 1) * ((hi - lo) / 20), 6) AS upper,
+  coalesce(c.count, 0) AS count
+FROM (SELECT range AS bin FROM range(20)) g, r LEFT JOIN c ON c.bin = g.bin""")
+ORACLE["kde_curve"] = with_views(_SALES_VIEWS, _V + [
+    ("s", """SELECT count(v) AS n, stddev_samp(v) AS sd, min(v) AS lo, max(v) AS hi,
+  stddev_samp(v) * pow(count(v), -0.2) AS bw FROM v"""),
+    ("g", "SELECT range AS point, lo + range * ((hi - lo) / 199) AS x FROM range(200), s")], """
+SELECT g.point, round(g.x, 6) AS x,
+  round(sum(exp(-0.5 * pow((g.x - v.v) / s.bw, 2)) / (s.bw * sqrt(2 * pi()))) * ((s.hi - s.lo) / 20), 6) AS density
+FROM g, v, s GROUP BY g.point, g.x, s.hi, s.lo""")
+
+ORACLE["value_range"] = with_views(_SALES_VIEWS, [_SALES, _CLEAN, _DEMAND],
+                                   "SELECT min(quantityText) AS min_value, max(quantityText) AS max_value FROM demand")
+
+_QCLEAN = ("qclean", _CLEAN[1].replace("FROM sales", "FROM qsales"))
+_QSALES = ("qsales", _SALES[1].replace(PARAMS["sales_start"], PARAMS["quarter_start"]))
+ORACLE["size_forecast"] = with_views(_OPEN_VIEWS + ["inventory"], [
+    _SALES, _CLEAN, _QSALES, _QCLEAN,
+    ("per_part", f"""SELECT partNumber, {_FIRST.split(', arg_min(quantityShipped')[0]},
+  arg_min(MotorSize, {_ORD}) FILTER (WHERE MotorSize IS NOT NULL) AS MotorSize,
+  arg_min(Category, {_ORD}) FILTER (WHERE Category IS NOT NULL) AS Category,
+  coalesce(sum(quantityText), 0) AS quantityText FROM clean WHERE partNumber IS NOT NULL GROUP BY partNumber"""),
+    (_OPEN_AGG[0], _OPEN_AGG[1].format(parts="per_part")),
+    ("quarter", """SELECT partNumber, coalesce(sum(quantityText), 0) AS q FROM qclean WHERE partNumber IS NOT NULL
+  GROUP BY partNumber""")], """
+SELECT p.partNumber, p.partDescription, p.quantityText AS "Shipped 12Mo", coalesce(q.q, 0) AS "Shipped 3Mo",
+  coalesce(a.quantityToMake, 0) AS InProcess, coalesce(i.quantityOnHand, 0) AS Inventory, p.MotorSize, p.Category,
+  coalesce(a.openCustomerOrders, 0) AS openCustomerOrders,
+  coalesce(i.quantityOnHand, 0) + coalesce(a.quantityToMake, 0) AS "Inventory+InProcess"
+FROM per_part p LEFT JOIN open_agg a ON p.partNumber IS NOT DISTINCT FROM a.partNumber
+LEFT JOIN inventory i ON p.partNumber IS NOT DISTINCT FROM i.partNumber
+LEFT JOIN quarter q ON p.partNumber IS NOT DISTINCT FROM q.partNumber
+WHERE p.Category IS NOT NULL""")

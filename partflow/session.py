@@ -16,6 +16,7 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.host": "127.0.0.1",
+    "spark.driver.memory": "8g",
 }
 
 
