@@ -251,3 +251,89 @@ def q_size_forecast(spark, sf_dir):
     t = _t(spark, sf_dir)
     quarter = _demand(t, PARAMS["quarter_start"])
     return reports.size_forecast(_forecast_demand(t), quarter, PARAMS["statistic"])
+
+
+# --- bill of materials ---------------------------------------------------------------------------------
+
+from partflow.operators import bom  # noqa: E402
+from partflow.functions.semantics import merge  # noqa: E402
+
+
+def _per_part(t: Tables) -> DataFrame:
+    stat = PARAMS["statistic"]
+    return reports.aggregate_by_part(_clean(t), stat, SALES_ORDER).select("partNumber", "partDescription", stat)
+
+
+def _bom(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    per_part = _per_part(t)
+    edges = bom.bom_edges(t.entity("materials"))
+    roots = bom.bom_roots(per_part)
+    return t, per_part, edges, roots
+
+
+def _nodes(spark, sf_dir):
+    t, per_part, edges, roots = _bom(spark, sf_dir)
+    return t, per_part, edges, bom.explode_bom(edges, roots)
+
+
+_NODE_COLS = ["root", "Node", "Parent", "depth", "quantity", "description", "ord"]
+
+
+@query("dedupe_first")
+def q_dedupe_first(spark, sf_dir):
+    return bom.bom_edges(_t(spark, sf_dir).entity("materials"))
+
+
+@query("bom_step")
+def q_bom_step(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return bom.bom_step(_per_part(t), t.entity("materials"))
+
+
+@query("explode_bom")
+def q_explode_bom(spark, sf_dir):
+    return _nodes(spark, sf_dir)[3].select(*_NODE_COLS)
+
+
+@query("tree_rows")
+def q_tree_rows(spark, sf_dir):
+    return bom.tree_rows(_nodes(spark, sf_dir)[3])
+
+
+@query("prune_tree")
+def q_prune_tree(spark, sf_dir):
+    return bom.prune_tree(_nodes(spark, sf_dir)[3]).select(*_NODE_COLS)
+
+
+@query("node_height")
+def q_node_height(spark, sf_dir):
+    _, _, edges, nodes = _nodes(spark, sf_dir)
+    return bom.node_height(nodes, edges)
+
+
+@query("bom_materials")
+def q_bom_materials(spark, sf_dir):
+    _, per_part, edges, nodes = _nodes(spark, sf_dir)
+    demand = per_part.select("partNumber", PARAMS["statistic"])
+    return bom.bom_materials(edges, bom.first_anchors(nodes), demand, PARAMS["statistic"])
+
+
+@query("bom_components")
+def q_bom_components(spark, sf_dir):
+    _, per_part, edges, nodes = _nodes(spark, sf_dir)
+    demand = per_part.select("partNumber", PARAMS["statistic"])
+    return bom.bom_components(edges, bom.smallest_anchors(nodes), demand, PARAMS["statistic"])
+
+
+@query("material_requirements")
+def q_material_requirements(spark, sf_dir):
+    """Net demand of sold parts (sales - (on hand - in process), missing stock as 0)
+    rolled down the BOM in DAG form, with inventory and open purchase quantities."""
+    t, per_part, edges, roots = _bom(spark, sf_dir)
+    stat = PARAMS["statistic"]
+    demand = orders.open_sales(t, per_part)
+    demand = merge(demand, t.entity("inventory").select("partNumber", "quantityOnHand"), "partNumber", "left")
+    demand = demand.na.fill(0.0, subset=["quantityOnHand", "quantityToMake"])
+    inventory = orders.open_purchases(t, t.entity("inventory"))
+    return bom.material_requirements(demand, edges, roots, inventory, stat)

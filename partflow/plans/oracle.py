@@ -226,3 +226,91 @@ FROM per_part p LEFT JOIN open_agg a ON p.partNumber IS NOT DISTINCT FROM a.part
 LEFT JOIN inventory i ON p.partNumber IS NOT DISTINCT FROM i.partNumber
 LEFT JOIN quarter q ON p.partNumber IS NOT DISTINCT FROM q.partNumber
 WHERE p.Category IS NOT NULL""")
+
+# --- bill of materials ---------------------------------------------------------------------------------
+_MARK = "BK|KM|BM|BNK|BVM|JM|XM"
+_XR = "15X|16X|15EX|16EX"
+_PER_PART = ("per_part", f"""SELECT partNumber, arg_min(partDescription, {_ORD}) FILTER (WHERE partDescription IS NOT NULL)
+  AS partDescription, coalesce(sum(quantityText), 0) AS quantityText FROM clean WHERE partNumber IS NOT NULL
+  GROUP BY partNumber""")
+_EDGES = ("edges", """SELECT partNumber AS assembly, subPartNumber AS part,
+  arg_min(quantity, (ord, quantity, description)) AS quantity, arg_min(description, (ord, quantity, description)) AS description,
+  CAST(min(ord) AS BIGINT) AS ord
+  FROM materials WHERE partNumber IS NOT NULL AND subPartNumber IS NOT NULL GROUP BY partNumber, subPartNumber""")
+_ROOTS = ("roots", "SELECT partNumber AS part, min(partDescription) AS description FROM per_part GROUP BY partNumber")
+_NODES = ("nodes(root, Node, Parent, depth, quantity, description, ord, names)", """
+  SELECT part, part, 'Root', 1, 1.0, description, hex(part) || '!', [part] FROM roots
+  UNION ALL
+  SELECT n.root, e.part, n.Node, n.depth + 1, e.quantity, e.description,
+    n.ord || lpad(CAST(e.ord AS VARCHAR), 12, '0') || hex(e.part) || '!', list_append(n.names, e.part)
+  FROM nodes n JOIN edges e ON e.assembly = n.Node""")
+_BOM_VIEWS = _SALES_VIEWS + ["materials"]
+_BOM = [_SALES, _CLEAN, _PER_PART, _EDGES, _ROOTS, _NODES]
+_NODE_SEL = "root, Node, Parent, depth, quantity, description, ord"
+
+
+def _bom_sql(ctes, final, views=_BOM_VIEWS):
+    return with_views(views, _BOM + ctes, final, recursive=True)
+
+
+ORACLE["dedupe_first"] = with_views(["materials"], [_EDGES], "SELECT * FROM edges")
+ORACLE["bom_step"] = with_views(_BOM_VIEWS, [_SALES, _CLEAN, _PER_PART], """
+SELECT partNumber AS Assembly, subPartNumber AS partNumber, description AS partDescription, quantity FROM materials
+WHERE partNumber IN (SELECT partNumber FROM per_part)""")
+ORACLE["explode_bom"] = _bom_sql([], f"SELECT {_NODE_SEL} FROM nodes")
+ORACLE["tree_rows"] = _bom_sql([], """
+SELECT Node, Parent, depth AS Depth, description AS Description, quantity AS Quantity, ord,
+  'Root/' || array_to_string(names, '/') AS path FROM nodes
+UNION ALL SELECT 'Root', 'ROOT', 0, 'N/A', 0.0, '!', 'Root'""")
+ORACLE["prune_tree"] = _bom_sql([], f"""
+SELECT {_NODE_SEL} FROM (SELECT *, row_number() OVER (PARTITION BY Node ORDER BY depth DESC, ord) AS rn FROM nodes)
+WHERE rn = 1""")
+_HEIGHTS = ("heights", """SELECT part, CAST(max(h) AS INTEGER) AS height FROM
+  (SELECT names[i] AS part, len(names) - i AS h FROM (SELECT names, unnest(generate_series(1, len(names))) AS i FROM nodes))
+  GROUP BY part""")
+ORACLE["node_height"] = _bom_sql([_HEIGHTS], """
+SELECT n.Node, n.depth, n.ord, coalesce(h.height, 0) AS height FROM nodes n LEFT JOIN heights h ON h.part = n.Node""")
+
+_ANCH = ("anchors", """SELECT Node AS part, arg_min(quantity, ord) AS aq, arg_min(description, ord) AS ad FROM nodes
+  GROUP BY Node""")
+_MWALK = ("mwalk(part, value, description)", """
+  SELECT a.part, d.quantityText * a.aq, a.ad FROM {demand} d JOIN anchors a ON a.part = d.partNumber
+  UNION ALL
+  SELECT e.part, w.value * e.quantity, e.description FROM mwalk w JOIN edges e ON e.assembly = w.part""")
+_MREC = f"""SELECT w.part AS partNumber, w.value AS quantityText, w.description AS partDescription FROM mwalk w
+  WHERE w.part NOT IN (SELECT assembly FROM edges) OR regexp_matches(w.part, '{_MARK}')"""
+ORACLE["bom_materials"] = _bom_sql([_ANCH, (_MWALK[0], _MWALK[1].format(demand="per_part"))], _MREC)
+
+_SANCH = ("sanchors", """SELECT Node AS part, arg_min(quantity, (quantity, ord)) AS aq,
+  arg_min(description, (quantity, ord)) AS ad FROM nodes GROUP BY Node""")
+_PROPS = ("props", f"""SELECT h.part, h.height, i.marker_child FROM heights h LEFT JOIN
+  (SELECT assembly AS part, bool_or(regexp_matches(part, '{_MARK}')) AS marker_child FROM edges GROUP BY assembly) i
+  ON i.part = h.part""")
+_STOP = f"((regexp_matches(w.part, '{_MARK}') OR coalesce(p.height, 0) < 1) AND NOT regexp_matches(w.part, '{_XR}'))"
+_CWALK = ("cwalk(part, value, description)", f"""
+  SELECT a.part, d.quantityText * a.aq, a.ad FROM per_part d JOIN sanchors a ON a.part = d.partNumber
+  UNION ALL
+  SELECT e.part, w.value * e.quantity, e.description FROM cwalk w JOIN edges e ON e.assembly = w.part
+    LEFT JOIN props p ON p.part = w.part WHERE NOT {_STOP}""")
+ORACLE["bom_components"] = _bom_sql([_HEIGHTS, _SANCH, _PROPS, _CWALK], f"""
+SELECT w.part AS partNumber, w.value AS quantityText, w.description AS partDescription
+FROM cwalk w LEFT JOIN props p ON p.part = w.part
+WHERE NOT {_STOP} AND (coalesce(p.height, 0) = 1 OR coalesce(p.marker_child, false)
+  OR regexp_matches(w.part, '{_XR}'))""")
+
+ORACLE["material_requirements"] = _bom_sql([
+    _ANCH,
+    (_OPEN_AGG[0], _OPEN_AGG[1].format(parts="per_part")),
+    ("net", """SELECT p.partNumber, p.quantityText - (coalesce(i.quantityOnHand, 0) - coalesce(a.quantityToMake, 0))
+       AS quantityText FROM per_part p LEFT JOIN open_agg a ON p.partNumber IS NOT DISTINCT FROM a.partNumber
+       LEFT JOIN inventory i ON p.partNumber IS NOT DISTINCT FROM i.partNumber"""),
+    ("netpos", "SELECT * FROM net WHERE quantityText > 0"),
+    (_MWALK[0], _MWALK[1].format(demand="netpos")),
+    ("mats", _MREC),
+    ("po_agg", """SELECT partNumber, sum(coalesce(quantityOrdered, 0) - coalesce(quantityReceived, 0)) AS quantityOrdered
+       FROM purchase_order_line_items WHERE status = 'Open' AND partNumber IS NOT NULL GROUP BY partNumber""")], """
+SELECT m.partNumber, m.q AS quantityText_12mo, i.quantityOnHand, o.quantityOrdered
+FROM (SELECT partNumber, coalesce(sum(quantityText), 0) AS q FROM mats WHERE partNumber IS NOT NULL GROUP BY partNumber) m
+LEFT JOIN inventory i ON m.partNumber IS NOT DISTINCT FROM i.partNumber
+LEFT JOIN po_agg o ON i.partNumber IS NOT DISTINCT FROM o.partNumber""",
+    views=_BOM_VIEWS + ["order_line_items", "stg_orders", "inventory", "purchase_order_line_items"])

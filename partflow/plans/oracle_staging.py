@@ -69,7 +69,7 @@ _DEPENDS = {
 }
 
 
-def with_views(views: list[str], ctes: list[tuple[str, str]], final: str) -> str:
+def with_views(views: list[str], ctes: list[tuple[str, str]], final: str, recursive: bool = False) -> str:
     """``WITH <staging views + dependencies>, <ctes> <final>``."""
     order: list[str] = []
 
@@ -82,4 +82,5 @@ def with_views(views: list[str], ctes: list[tuple[str, str]], final: str) -> str
     for v in views:
         add(v)
     parts = [f"{v} AS ({STAGING_SQL[v]})" for v in order] + [f"{n} AS ({b})" for n, b in ctes]
-    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + final
+    head = "WITH RECURSIVE " if recursive else "WITH "
+    return (head + ",\n".join(parts) + "\n" if parts else "") + final
