@@ -80,3 +80,14 @@ def not_equal_keep_null(c: Column, value) -> Column:
 def row_order(*cols: str) -> Column:
     """An explicit row order for order-dependent aggregates (struct compares field-wise)."""
     return F.struct(*[F.col(c) for c in cols])
+
+
+def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row table (a global aggregate) to every row.
+
+    A global aggregate has exactly one row, so broadcasting it is size-safe;
+    unlike a scalar subquery referenced in many expressions, its input plan
+    is analysed once.
+    """
+    one = F.lit(1).alias("__one")
+    return df.select("*", one).join(F.broadcast(one_row.select("*", one)), "__one").drop("__one")

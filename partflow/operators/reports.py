@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from partflow.functions.patterns import (BASELINE_GROUP, DENOMINATOR_CATEGORY, EXCLUDED_CATEGORY,
                                          GROUP_NAMES, RELATIVE_DROP_CATEGORIES)
 from partflow.functions.semantics import (first_non_null, ieee_ratio, merge, ratio_or_zero, row_order,
-                                          sum_or_zero)
+                                          sum_or_zero, with_one_row as _with_stats)
 
 
 # --- per-part aggregates ---------------------------------------------------------------------------
@@ -218,17 +218,6 @@ def size_forecast(demand: DataFrame, quarter: DataFrame, statistic: str) -> Data
 
 # --- distribution -------------------------------------------------------------------------------------------
 
-def _with_stats(v: DataFrame, stats: DataFrame) -> DataFrame:
-    """Attach a one-row global aggregate to every row.
-
-    A global aggregate has exactly one row, so broadcasting it is size-safe;
-    it avoids repeating a scalar subquery (and its whole input plan) in every
-    expression that needs the value.
-    """
-    one = F.lit(1).alias("__one")
-    return v.select("*", one).join(F.broadcast(stats.select("*", one)), "__one").drop("__one")
-
-
 def _value_stats(v: DataFrame) -> DataFrame:
     s = v.agg(F.count("v").alias("__n"), F.stddev_samp("v").alias("__sd"),
               F.min("v").alias("__min"), F.max("v").alias("__max"))

@@ -337,3 +337,66 @@ def q_material_requirements(spark, sf_dir):
     demand = demand.na.fill(0.0, subset=["quantityOnHand", "quantityToMake"])
     inventory = orders.open_purchases(t, t.entity("inventory"))
     return bom.material_requirements(demand, edges, roots, inventory, stat)
+
+
+# --- text ------------------------------------------------------------------------------------------------
+
+from partflow.operators import text  # noqa: E402
+
+
+def _weights(spark, sf_dir):
+    return text.tfidf(_t(spark, sf_dir).base("documents"))
+
+
+@query("tfidf")
+def q_tfidf(spark, sf_dir):
+    return rounded(_weights(spark, sf_dir))
+
+
+@query("top_terms_per_cluster")
+def q_top_terms_per_cluster(spark, sf_dir):
+    """Top 3 terms per document language (the cluster label)."""
+    docs = _t(spark, sf_dir).base("documents")
+    clusters = docs.select("doc_id", F.col("lang").alias("cluster"))
+    return text.top_terms_per_cluster(text.tfidf(docs), clusters, n=3)
+
+
+# --- sinks and cached / paged sources ---------------------------------------------------------------------
+
+from partflow.session import scratch_path  # noqa: E402
+from partflow.sources import paged, sinks  # noqa: E402
+
+
+@query("load_tree")
+def q_load_tree(spark, sf_dir):
+    """Save the exploded tree as CSV, load it back (last row of a name wins)."""
+    rows = bom.tree_rows(_nodes(spark, sf_dir)[3])
+    path = sinks.save_tree(rows, scratch_path(spark, "tree-csv"))
+    return sinks.load_tree(spark, path)
+
+
+@query("write_size_sheets")
+def q_write_size_sheets(spark, sf_dir):
+    """Write the size sheets (one folder per MotorSize) and read them back."""
+    t = _t(spark, sf_dir)
+    forecast = reports.size_forecast(_forecast_demand(t), _demand(t, PARAMS["quarter_start"]), PARAMS["statistic"])
+    folder = sinks.write_size_sheets(forecast, None, scratch_path(spark, "sheets"))
+    schema = forecast.drop("Category").schema
+    return sinks.read_size_sheets(spark, folder, schema)
+
+
+@query("materialize_once")
+def q_materialize_once(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    flt = f"invoiceDate[gt]={PARAMS['sales_start']}"
+    inv = entity.read_entity(t, "ar_invoices", orders.INVOICE_FIELDS, filter_string=flt)
+    return entity.materialize_once(inv, "ar_invoices", key=f"{sf_dir}|{flt}", root=scratch_path(spark, "cache"))
+
+
+@query("paged_json_source")
+def q_paged_json_source(spark, sf_dir):
+    """Events written as 200-record JSON pages, read back one partition per page."""
+    ev = _t(spark, sf_dir).base("events").select("event_id", "event_type", "value")
+    loc = scratch_path(spark, "pages")
+    n = paged.write_json_pages(ev, loc, "event_id")
+    return paged.read_json_pages(spark, loc, n, ev.schema)

@@ -314,3 +314,33 @@ FROM (SELECT partNumber, coalesce(sum(quantityText), 0) AS q FROM mats WHERE par
 LEFT JOIN inventory i ON m.partNumber IS NOT DISTINCT FROM i.partNumber
 LEFT JOIN po_agg o ON i.partNumber IS NOT DISTINCT FROM o.partNumber""",
     views=_BOM_VIEWS + ["order_line_items", "stg_orders", "inventory", "purchase_order_line_items"])
+
+# --- text ------------------------------------------------------------------------------------------------
+_TEXT = [
+    ("tok", r"""SELECT doc_id, lang, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS term FROM documents"""),
+    ("tf", "SELECT doc_id, lang, term, count(*) AS tf FROM tok GROUP BY doc_id, lang, term"),
+    ("dfreq", "SELECT term, count(*) AS df FROM tf GROUP BY term"),
+    ("w", """SELECT tf.doc_id, tf.lang, tf.term, tf.tf * (ln((1 + (SELECT count(*) FROM documents)) / (1 + dfreq.df)) + 1) AS w
+  FROM tf JOIN dfreq USING (term)"""),
+    ("nw", "SELECT doc_id, lang, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM w"),
+]
+ORACLE["tfidf"] = with_views([], _TEXT, "SELECT doc_id, term, round(weight, 6) AS weight FROM nw")
+ORACLE["top_terms_per_cluster"] = with_views([], _TEXT + [
+    ("cn", "SELECT lang, count(*) AS nd FROM documents GROUP BY lang"),
+    ("m", """SELECT nw.lang, term, round(sum(weight) / cn.nd, 10) AS mean FROM nw JOIN cn ON cn.lang = nw.lang
+  GROUP BY nw.lang, term, cn.nd"""),
+    ("r", "SELECT *, row_number() OVER (PARTITION BY lang ORDER BY mean DESC, term) AS rk FROM m")], """
+SELECT lang AS cluster, string_agg(term, ' ' ORDER BY rk) AS top_terms FROM r WHERE rk <= 3 GROUP BY lang""")
+
+# --- sinks and cached / paged sources ---------------------------------------------------------------------
+ORACLE["load_tree"] = _bom_sql([("trows", """
+SELECT Node, Parent, description AS Description, quantity AS Quantity, ord FROM nodes
+UNION ALL SELECT 'Root', 'ROOT', 'N/A', 0.0, '!'""")], """
+SELECT Node, arg_max(Parent, ord) AS Parent, arg_max(Description, ord) AS Description, arg_max(Quantity, ord) AS Quantity
+FROM trows GROUP BY Node""")
+ORACLE["write_size_sheets"] = ORACLE["size_forecast"].replace(
+    'p.MotorSize, p.Category,', 'p.MotorSize,').replace(
+    "WHERE p.Category IS NOT NULL", "WHERE p.Category IS NOT NULL AND p.MotorSize IS NOT NULL")
+ORACLE["materialize_once"] = with_views(["ar_invoices"], [], f"""
+SELECT invoiceNumber, invoiceDate, customerCode FROM ar_invoices WHERE {_AFTER.format(c='invoiceDate', d=_S)}""")
+ORACLE["paged_json_source"] = "SELECT event_id, event_type, value FROM events"
