@@ -100,7 +100,8 @@ def explode_bom(edges: DataFrame, roots: DataFrame, max_depth: int = MAX_DEPTH)
     level = roots.select(
         F.col("part").alias("root"), F.col("part").alias("Node"), F.lit(BOM_ROOT).alias("Parent"),
         F.lit(1).alias("depth"), F.lit(1.0).alias("quantity"), F.col("description"),
-        root_key(F.col("part")).alias("ord"), F.array(F.col("part")).alias("names"))
+        root_key(F.col("part")).alias("ord"), F.array(F.col("part")).alias("names"),
+        F.lit(0).cast("bigint").alias("line"))
     level = materialize(level, "bom-level")
     levels = [level]
     e = _edge_cols(edges)
@@ -111,7 +112,8 @@ def explode_bom(edges: DataFrame, roots: DataFrame, max_depth: int = MAX_DEPTH)
             F.col("e_description").alias("description"),
             F.concat(F.col("ord"), child_key(F.col("e_ord"), F.col("e_part"))).alias("ord"),
             F.array_append(F.col("names"), F.col("e_part")).alias("names"),
-            F.array_contains(F.col("names"), F.col("e_part")).alias("__cycle"))
+            F.array_contains(F.col("names"), F.col("e_part")).alias("__cycle"),
+            F.col("e_ord").alias("line"))
         nxt = materialize(nxt, "bom-level")
         n, cyc = nxt.agg(F.count(F.lit(1)), F.max("__cycle")).first()
         if not n:
@@ -125,6 +127,36 @@ def explode_bom(edges: DataFrame, roots: DataFrame, max_depth: int = MAX_DEPTH)
     return _union(levels)
 
 
+def tree_edges(nodes: DataFrame) -> DataFrame:
+    """Edges of a node table (e.g. a pruned tree), in the edge-table layout."""
+    e = nodes.where(F.col("Parent") != BOM_ROOT).select(
+        F.col("Parent").alias("assembly"), F.col("Node").alias("part"), "quantity", "description",
+        F.col("line").alias("ord"))
+    return bom_edges(e, "assembly", "part")
+
+
+def tree_roots(nodes: DataFrame) -> DataFrame:
+    return nodes.where(F.col("Parent") == BOM_ROOT).select(F.col("Node").alias("part"), "description").distinct()
+
+
+def loaded_tree_edges(loaded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(edges, roots) of a tree reloaded from CSV (one node per name, last row wins).
+
+    Siblings keep the order of their last rows; ranking inside one parent is
+    a window over that parent's children only.
+    """
+    from pyspark.sql import Window
+
+    body = loaded.where(~F.col("Parent").isin(BOM_ROOT, "ROOT"))
+    rank = F.dense_rank().over(Window.partitionBy("Parent").orderBy("ord")).cast("bigint")
+    edges = body.select(F.col("Parent").alias("assembly"), F.col("Node").alias("part"),
+                        F.col("Quantity").alias("quantity"), F.col("Description").alias("description"),
+                        rank.alias("ord"))
+    roots = loaded.where(F.col("Parent") == BOM_ROOT).select(F.col("Node").alias("part"),
+                                                              F.col("Description").alias("description"))
+    return edges, roots
+
+
 def tree_rows(nodes: DataFrame) -> DataFrame:
     """Node table as saved to CSV: Node, Parent, Depth, Description, Quantity, plus the
     synthetic root row (Parent ROOT, depth 0, description N/A, quantity 0) and the

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from partflow.functions.semantics import with_one_row
 from partflow.operators.topk import top_n_per_group
 
 # Fixed value: a token is a run of two or more letters, digits or underscores
@@ -28,9 +27,9 @@ def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
     """
     tf = tokens(docs, id_col, text_col, keep).groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    n = docs.agg(F.count(F.lit(1)).alias("__n"))
-    w = with_one_row(tf.join(dfreq, "term"), n)
-    raw = F.col("tf") * (F.log((F.col("__n") + 1) / (F.col("df") + 1)) + 1)
+    n = docs.select(F.count(F.lit(1))).scalar()
+    w = tf.join(dfreq, "term")
+    raw = F.col("tf") * (F.log((n + 1) / (F.col("df") + 1)) + 1)
     w = w.select(id_col, *keep, "term", raw.alias("__w"))
     norm = F.sqrt(F.sum(F.col("__w") * F.col("__w")).over(Window.partitionBy(id_col)))
     return w.select(id_col, *keep, "term", (F.col("__w") / norm).alias("weight"))

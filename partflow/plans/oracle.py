@@ -336,8 +336,8 @@ SELECT lang AS cluster, string_agg(term, ' ' ORDER BY rk) AS top_terms FROM r WH
 ORACLE["load_tree"] = _bom_sql([("trows", """
 SELECT Node, Parent, description AS Description, quantity AS Quantity, ord FROM nodes
 UNION ALL SELECT 'Root', 'ROOT', 'N/A', 0.0, '!'""")], """
-SELECT Node, arg_max(Parent, ord) AS Parent, arg_max(Description, ord) AS Description, arg_max(Quantity, ord) AS Quantity
-FROM trows GROUP BY Node""")
+SELECT Node, arg_max(Parent, ord) AS Parent, arg_max(Description, ord) AS Description, arg_max(Quantity, ord) AS Quantity,
+  max(ord) AS ord FROM trows GROUP BY Node""")
 ORACLE["write_size_sheets"] = ORACLE["size_forecast"].replace(
     'p.MotorSize, p.Category,', 'p.MotorSize,').replace(
     "WHERE p.Category IS NOT NULL", "WHERE p.Category IS NOT NULL AND p.MotorSize IS NOT NULL")

@@ -45,15 +45,16 @@ def save_tree(rows: DataFrame, path: str) -> str:
 
 
 def load_tree(spark: SparkSession, path: str, check_parents: bool = True) -> DataFrame:
-    """CSV -> node table keyed by name: (Node, Parent, Description, Quantity).
+    """CSV -> node table keyed by name: (Node, Parent, Description, Quantity, ord).
 
     As in the reference the reload is lossy: a repeated name keeps the
     attributes and parent of its **last** row (by the saved preorder key).
     Depth is ignored. A parent that is not a node raises.
     """
     rows = spark.read.schema(TREE_SCHEMA).option("header", True).csv(path)
-    last = rows.groupBy("Node").agg(F.max_by(F.struct("Parent", "Description", "Quantity"), F.col("ord")).alias("__l"))
-    nodes = last.select("Node", "__l.Parent", "__l.Description", "__l.Quantity")
+    last = rows.groupBy("Node").agg(
+        F.max_by(F.struct("Parent", "Description", "Quantity", "ord"), F.col("ord")).alias("__l"))
+    nodes = last.select("Node", "__l.Parent", "__l.Description", "__l.Quantity", "__l.ord")
     if check_parents:
         orphans = (nodes.where(F.col("Parent") != TREE_ROOT_PARENT)
                    .join(nodes.select(F.col("Node").alias("Parent")), "Parent", "left_anti").take(1))
