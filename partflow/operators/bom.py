@@ -92,7 +92,8 @@ def _edge_cols(edges: DataFrame) -> DataFrame:
 # --- path explosion ---------------------------------------------------------------------------------
 
 def explode_bom(edges: DataFrame, roots: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """Every path from every root: (root, Node, Parent, depth, quantity, description, ord, names).
+    """Every path from every root: (root, Node, Parent, depth, quantity, description, ord, names,
+    line, cum) with ``cum`` the product of the quantities below the root.
 
     Depth-1 nodes have parent ``Root`` and quantity 1. A part reached again on
     its own path is a cycle and raises, as does a tree deeper than ``max_depth``.
@@ -101,7 +102,7 @@ def explode_bom(edges: DataFrame, roots: DataFrame, max_depth: int = MAX_DEPTH)
         F.col("part").alias("root"), F.col("part").alias("Node"), F.lit(BOM_ROOT).alias("Parent"),
         F.lit(1).alias("depth"), F.lit(1.0).alias("quantity"), F.col("description"),
         root_key(F.col("part")).alias("ord"), F.array(F.col("part")).alias("names"),
-        F.lit(0).cast("bigint").alias("line"))
+        F.lit(0).cast("bigint").alias("line"), F.lit(1.0).alias("cum"))
     level = materialize(level, "bom-level")
     levels = [level]
     e = _edge_cols(edges)
@@ -113,14 +114,13 @@ def explode_bom(edges: DataFrame, roots: DataFrame, max_depth: int = MAX_DEPTH)
             F.concat(F.col("ord"), child_key(F.col("e_ord"), F.col("e_part"))).alias("ord"),
             F.array_append(F.col("names"), F.col("e_part")).alias("names"),
             F.array_contains(F.col("names"), F.col("e_part")).alias("__cycle"),
-            F.col("e_ord").alias("line"))
+            F.col("e_ord").alias("line"), (F.col("cum") * F.col("e_quantity")).alias("cum"))
         nxt = materialize(nxt, "bom-level")
-        n, cyc = nxt.agg(F.count(F.lit(1)), F.max("__cycle")).first()
-        if not n:
+        if not nxt.take(1):
             break
-        if cyc:
-            raise ValueError("the bill of materials has a cycle")
-        if len(levels) >= max_depth:
+        if len(levels) >= max_depth or nxt.where("__cycle").take(1):
+            if nxt.where("__cycle").take(1):
+                raise ValueError("the bill of materials has a cycle")
             raise ValueError(f"bill of materials deeper than {max_depth} levels")
         level = nxt.drop("__cycle")
         levels.append(level)
@@ -215,9 +215,22 @@ def part_info(edges: DataFrame, heights: DataFrame | None = None) -> DataFrame:
     return info
 
 
-def node_height(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Height of every node of the exploded tree (depends on the part only)."""
-    h = part_heights(edges)
+def heights_from_paths(nodes: DataFrame) -> DataFrame:
+    """(part, height) from an exploded tree: the longest tail after the part on any path.
+
+    Every occurrence of a part is fully expanded, so its longest tail is its
+    height; one aggregation instead of a relaxation loop.
+    """
+    pe = nodes.select(F.posexplode("names").alias("__pos", "part"), F.size("names").alias("__len"))
+    return pe.groupBy("part").agg(F.max(F.col("__len") - 1 - F.col("__pos")).cast("int").alias("height"))
+
+
+def node_height(nodes: DataFrame, edges: DataFrame | None = None) -> DataFrame:
+    """Height of every node of the exploded tree (depends on the part only).
+
+    With ``edges`` the heights come from the DAG relaxation, otherwise from the paths.
+    """
+    h = part_heights(edges) if edges is not None else heights_from_paths(nodes)
     return (nodes.join(h, nodes["Node"] == h["part"], "left")
             .select("Node", "depth", "ord", F.coalesce(F.col("height"), F.lit(0)).alias("height")))
 
@@ -225,7 +238,7 @@ def node_height(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 # --- anchors ---------------------------------------------------------------------------------------
 
 def first_anchors(nodes: DataFrame) -> DataFrame:
-    """Preorder-first node of each part: (part, quantity, description)."""
+    """Preorder-first node of each part: (part, a_quantity, a_description)."""
     a = nodes.groupBy(F.col("Node").alias("part")).agg(
         F.min_by(F.struct("quantity", "description"), F.col("ord")).alias("__a"))
     return a.select("part", F.col("__a.quantity").alias("a_quantity"), F.col("__a.description").alias("a_description"))
@@ -289,14 +302,14 @@ def _rolldown(start: DataFrame, edges: DataFrame, props: DataFrame, record: Colu
     """Push (part, value, description) down the BOM, recording rows that match ``record``.
 
     ``stop`` rows are neither recorded nor expanded. ``form='dag'`` sums the
-    frontier per part after every level (descriptions are dropped).
+    frontier per part after every level (descriptions are dropped). One
+    written table per level; the recorded rows are read from those tables.
     """
     e = _edge_cols(edges)
-    level = start
+    level = materialize(start, "bom-roll")
     out = []
     for _ in range(max_depth + 1):
-        f = level.join(props, "part", "left")
-        f = materialize(f.where(~stop), "bom-roll")
+        f = level.join(props, "part", "left").where(~stop)
         out.append(f.where(record).select("part", "value", "description"))
         nxt = f.join(e, f["part"] == e["e_assembly"]).select(
             F.col("e_part").alias("part"), (F.col("value") * F.col("e_quantity")).alias("value"),
@@ -310,6 +323,71 @@ def _rolldown(start: DataFrame, edges: DataFrame, props: DataFrame, record: Colu
     raise ValueError("the bill of materials has a cycle or is too deep")
 
 
+def _root_demand(nodes: DataFrame, anchors: DataFrame, demand: DataFrame, statistic: str) -> DataFrame:
+    """Nodes of the trees rooted at demand parts, with value = demand x anchor quantity x cum."""
+    d = demand.join(anchors, demand["partNumber"] == anchors["part"]).select(
+        F.col("part").alias("__root"), (F.col(statistic) * F.col("a_quantity")).alias("__start"),
+        "a_description")
+    n = nodes.join(d, nodes["root"] == d["__root"])
+    desc = F.when(F.col("depth") == 1, F.col("a_description")).otherwise(F.col("description"))
+    return n.select("Node", "names", "depth", (F.col("__start") * F.col("cum")).alias("value"),
+                    desc.alias("description"))
+
+
+def _demand_split(nodes: DataFrame, demand: DataFrame) -> tuple[DataFrame, DataFrame]:
+    roots = nodes.where(F.col("depth") == 1).select(F.col("root").alias("__r")).distinct()
+    at_root = demand.join(roots, demand["partNumber"] == roots["__r"], "left_semi")
+    elsewhere = demand.join(roots, demand["partNumber"] == roots["__r"], "left_anti")
+    return at_root, elsewhere
+
+
+def materials_from_paths(nodes: DataFrame, edges: DataFrame, anchors: DataFrame, demand: DataFrame,
+                         statistic: str) -> DataFrame:
+    """:func:`bom_materials` (path form) read off an exploded tree in one pass.
+
+    A part's subtree is the same at every occurrence, so the paths below the
+    anchor of a demand part are the paths of the tree rooted at that part
+    (when it is a root), scaled by demand x anchor quantity. Demand parts that
+    are not roots go through the level loop.
+    """
+    at_root, elsewhere = _demand_split(nodes, demand)
+    rows = _root_demand(nodes, anchors, at_root, statistic)
+    leaf = F.col("__has").isNull()
+    has = edges.select(F.col("assembly").alias("__p"), F.lit(True).alias("__has")).distinct()
+    rows = rows.join(has, rows["Node"] == has["__p"], "left")
+    rec = rows.where(leaf | contains_any(F.col("Node"), MOLD_BLANK_MARKERS)).select(
+        F.col("Node").alias("partNumber"), F.col("value").alias(statistic), F.col("description").alias("partDescription"))
+    if elsewhere.take(1):
+        rec = rec.unionByName(bom_materials(edges, anchors, elsewhere, statistic))
+    return rec
+
+
+def components_from_paths(nodes: DataFrame, edges: DataFrame, anchors: DataFrame, demand: DataFrame,
+                          statistic: str, heights: DataFrame) -> DataFrame:
+    """:func:`bom_components` (path form) read off an exploded tree in one pass.
+
+    A node is reached when no ancestor below the anchor is a stop part (a
+    mold/blank that is not an X-race; ancestors are never leaves).
+    """
+    at_root, elsewhere = _demand_split(nodes, demand)
+    rows = _root_demand(nodes, anchors, at_root, statistic)
+    props = part_info(edges, heights).withColumnRenamed("part", "__p")
+    rows = rows.join(props, rows["Node"] == props["__p"], "left")
+    mark_re = "|".join(MOLD_BLANK_MARKERS)
+    x_re = "|".join(X_RACE_MARKERS)
+    ancestors = F.slice(F.col("names"), F.lit(1), F.col("depth") - 1)
+    blocked = F.exists(ancestors, lambda a: a.rlike(mark_re) & ~a.rlike(x_re))
+    h = F.coalesce(F.col("height"), F.lit(0))
+    xrace = contains_any(F.col("Node"), X_RACE_MARKERS)
+    stop = (contains_any(F.col("Node"), MOLD_BLANK_MARKERS) | (h < 1)) & ~xrace
+    record = (h == 1) | F.coalesce(F.col("marker_child"), F.lit(False)) | xrace
+    rec = rows.where(~blocked & ~stop & record).select(
+        F.col("Node").alias("partNumber"), F.col("value").alias(statistic), F.col("description").alias("partDescription"))
+    if elsewhere.take(1):
+        rec = rec.unionByName(bom_components(edges, anchors, elsewhere, statistic, heights=heights))
+    return rec
+
+
 def bom_materials(edges: DataFrame, anchors: DataFrame, demand: DataFrame, statistic: str,
                   form: str = "paths", max_depth: int = MAX_DEPTH) -> DataFrame:
     """Demand rolled down to materials: leaves and mold/blank parts (recursion continues
@@ -378,6 +456,8 @@ def material_requirements(demand: DataFrame, edges: DataFrame, roots: DataFrame,
     """
     from partflow.functions.semantics import merge
 
+    edges = materialize(edges, "bom-edges")
+    roots = materialize(roots, "bom-roots")
     sign = 1.0 if in_process == "add" else -1.0
     net = F.col(statistic) - (F.col("quantityOnHand") - sign * F.col("quantityToMake"))
     d = demand.select("partNumber", net.alias(statistic)).where(F.col(statistic) > 0)

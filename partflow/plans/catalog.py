@@ -260,14 +260,18 @@ from partflow.functions.semantics import merge  # noqa: E402
 
 
 def _per_part(t: Tables) -> DataFrame:
+    """Demand per sold part: summed statistic and first description."""
     stat = PARAMS["statistic"]
-    return reports.aggregate_by_part(_clean(t), stat, SALES_ORDER).select("partNumber", "partDescription", stat)
+    return reports.sum_first_by_key(_clean(t), "partNumber", stat, "partDescription", SALES_ORDER)
 
 
 def _bom(spark, sf_dir):
+    """Loop-invariant BOM inputs, written once (every level of the loops reads them)."""
+    from partflow.session import materialize
+
     t = _t(spark, sf_dir)
-    per_part = _per_part(t)
-    edges = bom.bom_edges(t.entity("materials"))
+    per_part = materialize(_per_part(t), "per-part")
+    edges = materialize(bom.bom_edges(t.entity("materials")), "bom-edges")
     roots = bom.bom_roots(per_part)
     return t, per_part, edges, roots
 
@@ -308,22 +312,22 @@ def q_prune_tree(spark, sf_dir):
 
 @query("node_height")
 def q_node_height(spark, sf_dir):
-    _, _, edges, nodes = _nodes(spark, sf_dir)
-    return bom.node_height(nodes, edges)
+    return bom.node_height(_nodes(spark, sf_dir)[3])
 
 
 @query("bom_materials")
 def q_bom_materials(spark, sf_dir):
     _, per_part, edges, nodes = _nodes(spark, sf_dir)
     demand = per_part.select("partNumber", PARAMS["statistic"])
-    return bom.bom_materials(edges, bom.first_anchors(nodes), demand, PARAMS["statistic"])
+    return bom.materials_from_paths(nodes, edges, bom.first_anchors(nodes), demand, PARAMS["statistic"])
 
 
 @query("bom_components")
 def q_bom_components(spark, sf_dir):
     _, per_part, edges, nodes = _nodes(spark, sf_dir)
     demand = per_part.select("partNumber", PARAMS["statistic"])
-    return bom.bom_components(edges, bom.smallest_anchors(nodes), demand, PARAMS["statistic"])
+    return bom.components_from_paths(nodes, edges, bom.smallest_anchors(nodes), demand, PARAMS["statistic"],
+                                     bom.heights_from_paths(nodes))
 
 
 @query("material_requirements")

@@ -32,27 +32,32 @@ def read_page_file(location: str, page: int) -> str:
 
 
 class PagePartition(InputPartition):
-    def __init__(self, page: int):
-        super().__init__(page)
-        self.page = page
+    """A run of consecutive pages read by one task."""
+
+    def __init__(self, first: int, last: int):
+        super().__init__((first, last))
+        self.first, self.last = first, last
 
 
 class PagedJsonReader(DataSourceReader):
     def __init__(self, options: dict, schema, fetch):
         self.location = options["location"]
         self.pages = int(options["pages"])
+        self.per_task = max(1, int(options.get("pagesPerPartition", "16")))
         self.data_key = options.get("dataKey", "Data")
         self.fields = [f.name for f in schema.fields]
         self.fetch = fetch
 
     def partitions(self):
-        return [PagePartition(i) for i in range(self.pages)]
+        step = self.per_task
+        return [PagePartition(i, min(i + step, self.pages) - 1) for i in range(0, self.pages, step)]
 
     def read(self, partition):
-        text = self.fetch(self.location, partition.page)
-        for line in text.splitlines():
-            for rec in json.loads(line).get(self.data_key) or []:
-                yield tuple(rec.get(f) for f in self.fields)
+        for page in range(partition.first, partition.last + 1):
+            text = self.fetch(self.location, page)
+            for line in text.splitlines():
+                for rec in json.loads(line).get(self.data_key) or []:
+                    yield tuple(rec.get(f) for f in self.fields)
 
 
 class PagedJsonSource(DataSource):
@@ -83,7 +88,8 @@ def write_json_pages(df: DataFrame, location: str, order_col: str, page_size: in
     return int(pages.agg(F.max("page")).first()[0] or -1) + 1
 
 
-def read_json_pages(spark: SparkSession, location: str, pages: int, schema, source=PagedJsonSource) -> DataFrame:
+def read_json_pages(spark: SparkSession, location: str, pages: int, schema, source=PagedJsonSource,
+                    pages_per_partition: int = 16) -> DataFrame:
     spark.dataSource.register(source)
-    return (spark.read.format(source.name()).schema(schema)
-            .option("location", location).option("pages", str(pages)).load())
+    return (spark.read.format(source.name()).schema(schema).option("location", location)
+            .option("pages", str(pages)).option("pagesPerPartition", str(pages_per_partition)).load())

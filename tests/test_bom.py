@@ -40,6 +40,30 @@ def _path_values(df):
 DIAMOND = [("A", "B", 2), ("A", "C", 3), ("B", "D", 4), ("C", "D", 5), ("D", "E", 1)]
 
 
+def _both_forms(spark, triples, root_parts, demand):
+    """Materials and components by the level loop and by the one-pass path reading; must agree."""
+    e = _edges(spark, triples)
+    nodes = bom.explode_bom(e, _roots(spark, root_parts))
+    d = _demand(spark, demand)
+    fa, sa = bom.first_anchors(nodes), bom.smallest_anchors(nodes)
+    m1 = _path_values(bom.bom_materials(e, fa, d, "q"))
+    m2 = _path_values(bom.materials_from_paths(nodes, e, fa, d, "q"))
+    c1 = _path_values(bom.bom_components(e, sa, d, "q"))
+    c2 = _path_values(bom.components_from_paths(nodes, e, sa, d, "q", bom.heights_from_paths(nodes)))
+    assert m1 == m2 and c1 == c2
+    return m1, c1
+
+
+@pytest.mark.parametrize("triples,roots,demand,mats,comps", [
+    (DIAMOND, ["A"], [("A", 10)], [("E", 80.0), ("E", 150.0)], [("D", 80.0), ("D", 150.0)]),
+    ([("A", "BK1", 2), ("BK1", "Z", 3)], ["A"], [("A", 1)], [("BK1", 2.0), ("Z", 6.0)], [("A", 1.0)]),
+    ([("A", "15X9", 2)], ["A"], [("A", 1)], [("15X9", 2.0)], [("15X9", 2.0), ("A", 1.0)]),
+    ([("P", "Q", 3), ("Q", "Z", 2)], ["P", "Q"], [("Q", 1)], [("Z", 6.0)], [("Q", 1.0)]),
+])
+def test_fixture_forms_agree(spark, triples, roots, demand, mats, comps):
+    assert _both_forms(spark, triples, roots, demand) == (mats, comps)
+
+
 def test_h5_diamond_paths_materials_components(spark):
     e = _edges(spark, DIAMOND)
     nodes = bom.explode_bom(e, _roots(spark, ["A"]))
