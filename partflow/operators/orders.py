@@ -97,10 +97,11 @@ def open_sales(source, parts: DataFrame, house_account: str = HOUSE_ACCOUNT) ->
     """Add open in-house (``quantityToMake``) and customer (``openCustomerOrders``) quantities.
 
     One aggregation computes both sums; parts without open lines get nulls.
+    The reference first looks up the lines of the given parts; here the final
+    left join does that restriction, so ``parts`` is evaluated only once.
     """
     lines = read_entity(source, "order_line_items", "partNumber,quantityToMake,status,orderNumber",
                         filter_string="status=Open")
-    lines = lookup_in(lines, "partNumber", parts.select("partNumber"), null_safe=True)
     orders = read_entity(source, "stg_orders", "orderNumber,customerCode")
     lines = merge(lines, orders, "orderNumber", "left")
     house = F.col("customerCode") == house_account

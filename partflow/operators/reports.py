@@ -19,6 +19,7 @@ from partflow.functions.patterns import (BASELINE_GROUP, DENOMINATOR_CATEGORY, E
                                          GROUP_NAMES, RELATIVE_DROP_CATEGORIES)
 from partflow.functions.semantics import (first_non_null, ieee_ratio, merge, ratio_or_zero, row_order,
                                           sum_or_zero, with_one_row as _with_stats)
+from partflow.session import materialize
 
 
 # --- per-part aggregates ---------------------------------------------------------------------------
@@ -153,7 +154,9 @@ def customer_ratio(df: DataFrame, statistic: str, match: str = "substring") -> D
     bought by none is absent (null). Mandrels itself is not reported.
     """
     d = report_rows(df).where(F.col("customerCode").isNotNull())
-    sums = d.groupBy("customerCode", "Category").agg(sum_or_zero(statistic).alias("__v"))
+    # (customer, category) sums are read four times below: write them once instead of
+    # re-scanning the sales for every use.
+    sums = materialize(d.groupBy("customerCode", "Category").agg(sum_or_zero(statistic).alias("__v")), "cust-sums")
     codes = sums.select("customerCode").distinct()
     if match == "substring":
         pairs = substring_pairs(codes)
@@ -192,7 +195,12 @@ def group_averages(ratios: DataFrame, groups: Sequence[str] = GROUP_NAMES,
 def relative_to_baseline(avgs: DataFrame, baseline: str = BASELINE_GROUP,
                          drop_categories: Sequence[str] = RELATIVE_DROP_CATEGORIES,
                          value: str = "ratio") -> DataFrame:
-    """Every row divided by the baseline group's row (IEEE: x/0 = inf, 0/0 = NaN)."""
+    """Every row divided by the baseline group's row (IEEE: x/0 = inf, 0/0 = NaN).
+
+    The input is written once (it is read for the rows and for the baseline);
+    the baseline has one row per category and is joined by hash.
+    """
+    avgs = materialize(avgs, "group-avgs")
     base = avgs.where(F.col("label") == baseline).select("Category", F.col(value).alias("__b"))
     rows = avgs.where(~F.col("label").eqNullSafe(F.lit(baseline)))
     rows = rows.where(~F.col("Category").isin(list(drop_categories)))
@@ -232,6 +240,7 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     Output (bin, lower, upper, count) for every bin, empty ones included.
     """
     v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    v = materialize(v, "hist-values")  # read for the range and for the counts
     stats = _value_stats(v)
     lo, hi = F.col("__lo"), F.col("__hi")
     b = F.least(F.floor((F.col("v") - lo) / (hi - lo) * bins), F.lit(bins - 1)).cast("bigint")
@@ -251,6 +260,7 @@ def kde_curve(df: DataFrame, col: str, gridsize: int = 200, bins: int = 20, cut:
     summed: linear in the data, combined map-side.
     """
     v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    v = materialize(v, "kde-values")  # read for the statistics and for the curve
     stats = _value_stats(v)
     stats = stats.select("*", (F.col("__sd") * F.pow(F.col("__n").cast("double"), F.lit(-0.2))).alias("__bw"))
     bw = F.col("__bw")
