@@ -91,3 +91,13 @@ def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """
     one = F.lit(1).alias("__one")
     return df.select("*", one).join(F.broadcast(one_row.select("*", one)), "__one").drop("__one")
+
+
+def union_rows(*frames: DataFrame) -> DataFrame:
+    """Concatenate batches / pages by column name (bag semantics, no dedupe)."""
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def union_missing(*frames: DataFrame) -> DataFrame:
+    """Row-append where missing columns become null (pandas ``concat``)."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -170,6 +170,12 @@ def tree_rows(nodes: DataFrame) -> DataFrame:
     return body.unionByName(root)
 
 
+def descendants(nodes: DataFrame, node_ord: str, include_self: bool = False) -> DataFrame:
+    """Nodes below the node with preorder key ``node_ord`` (keys of descendants extend it)."""
+    below = F.col("ord").startswith(node_ord) & (F.col("ord") != node_ord)
+    return nodes.where(below | (F.col("ord") == node_ord) if include_self else below)
+
+
 def prune_tree(nodes: DataFrame) -> DataFrame:
     """Keep one node per part: the deepest, first in preorder on ties.
 
