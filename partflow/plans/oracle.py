@@ -239,7 +239,7 @@ _EDGES = ("edges", """SELECT partNumber AS assembly, subPartNumber AS part,
   FROM materials WHERE partNumber IS NOT NULL AND subPartNumber IS NOT NULL GROUP BY partNumber, subPartNumber""")
 _ROOTS = ("roots", "SELECT partNumber AS part, min(partDescription) AS description FROM per_part GROUP BY partNumber")
 _NODES = ("nodes(root, Node, Parent, depth, quantity, description, ord, names)", """
-  SELECT part, part, 'Root', 1, 1.0, description, hex(part) || '!', [part] FROM roots
+  SELECT part, part, 'Root', 1, CAST(1.0 AS DOUBLE), description, hex(part) || '!', [part] FROM roots
   UNION ALL
   SELECT n.root, e.part, n.Node, n.depth + 1, e.quantity, e.description,
     n.ord || lpad(CAST(e.ord AS VARCHAR), 12, '0') || hex(e.part) || '!', list_append(n.names, e.part)
@@ -261,7 +261,7 @@ ORACLE["explode_bom"] = _bom_sql([], f"SELECT {_NODE_SEL} FROM nodes")
 ORACLE["tree_rows"] = _bom_sql([], """
 SELECT Node, Parent, depth AS Depth, description AS Description, quantity AS Quantity, ord,
   'Root/' || array_to_string(names, '/') AS path FROM nodes
-UNION ALL SELECT 'Root', 'ROOT', 0, 'N/A', 0.0, '!', 'Root'""")
+UNION ALL SELECT 'Root', 'ROOT', 0, 'N/A', CAST(0.0 AS DOUBLE), '!', 'Root'""")
 ORACLE["prune_tree"] = _bom_sql([], f"""
 SELECT {_NODE_SEL} FROM (SELECT *, row_number() OVER (PARTITION BY Node ORDER BY depth DESC, ord) AS rn FROM nodes)
 WHERE rn = 1""")
@@ -335,7 +335,7 @@ SELECT lang AS cluster, string_agg(term, ' ' ORDER BY rk) AS top_terms FROM r WH
 # --- sinks and cached / paged sources ---------------------------------------------------------------------
 ORACLE["load_tree"] = _bom_sql([("trows", """
 SELECT Node, Parent, description AS Description, quantity AS Quantity, ord FROM nodes
-UNION ALL SELECT 'Root', 'ROOT', 'N/A', 0.0, '!'""")], """
+UNION ALL SELECT 'Root', 'ROOT', 'N/A', CAST(0.0 AS DOUBLE), '!'""")], """
 SELECT Node, arg_max(Parent, ord) AS Parent, arg_max(Description, ord) AS Description, arg_max(Quantity, ord) AS Quantity,
   max(ord) AS ord FROM trows GROUP BY Node""")
 ORACLE["write_size_sheets"] = ORACLE["size_forecast"].replace(
