@@ -30,16 +30,19 @@ def _after(col: str, start: str | Column) -> Column:
     return F.to_timestamp(F.col(col)) > bound
 
 
-def sales(source, start_date: str, detail_fields: str = INVOICE_DETAIL_FIELDS) -> DataFrame:
+def sales(source, start_date: str, detail_fields: str = INVOICE_DETAIL_FIELDS,
+          null_safe_keys: bool = True) -> DataFrame:
     """Invoice lines of invoices dated after ``start_date`` with invoiceDate and customerCode.
 
     The reference looks up details by the invoice numbers and left-merges the
     invoices back; with the lookup that is exactly an inner (null-safe) join,
-    so Spark does one join instead of a semi join plus a join.
+    so Spark does one join instead of a semi join plus a join. With
+    ``null_safe_keys=False`` (invoice numbers never null) the join keeps a
+    bucketed layout of both entities co-located.
     """
     inv = read_entity(source, "ar_invoices", INVOICE_FIELDS).where(_after("invoiceDate", start_date))
     det = read_entity(source, "ar_invoice_details", detail_fields)
-    return merge(det, inv, "invoiceNumber", "inner")
+    return merge(det, inv, "invoiceNumber", "inner", null_safe=null_safe_keys)
 
 
 def purchases(source, start_date: str) -> DataFrame:

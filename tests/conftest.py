@@ -1,5 +1,4 @@
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
@@ -11,8 +10,7 @@ from partflow.session import get_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[4]", shuffle_partitions=8,
-                    extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="partflow-test-")})
+    s = get_session("local[4]", shuffle_partitions=8)  # unset checkpoint dir -> fresh temp folder
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
