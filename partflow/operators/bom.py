@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from partflow.functions.patterns import BOM_ROOT, MOLD_BLANK_MARKERS, X_RACE_MARKERS
 from partflow.functions.scalar import contains_any
-from partflow.session import materialize
+from partflow.session import materialize, materialize_observed
 
 MAX_DEPTH = 100
 
@@ -107,22 +107,29 @@ def explode_bom(edges: DataFrame, roots: DataFrame, max_depth: int = MAX_DEPTH)
     levels = [level]
     e = _edge_cols(edges)
     while True:
+        # A part that is already on its own path is a cycle: fail the level's write
+        # job right there instead of running a separate check per level.
+        part = F.when(F.array_contains(F.col("names"), F.col("e_part")),
+                      F.raise_error(F.concat(F.lit("the bill of materials has a cycle through "), F.col("e_part")))) \
+            .otherwise(F.col("e_part"))
         nxt = level.join(e, level["Node"] == e["e_assembly"]).select(
-            "root", F.col("e_part").alias("Node"), F.col("Node").alias("Parent"),
+            "root", part.alias("Node"), F.col("Node").alias("Parent"),
             (F.col("depth") + 1).alias("depth"), F.col("e_quantity").alias("quantity"),
             F.col("e_description").alias("description"),
             F.concat(F.col("ord"), child_key(F.col("e_ord"), F.col("e_part"))).alias("ord"),
             F.array_append(F.col("names"), F.col("e_part")).alias("names"),
-            F.array_contains(F.col("names"), F.col("e_part")).alias("__cycle"),
             F.col("e_ord").alias("line"), (F.col("cum") * F.col("e_quantity")).alias("cum"))
-        nxt = materialize(nxt, "bom-level")
-        if not nxt.take(1):
+        try:
+            nxt, seen = materialize_observed(nxt, "bom-level")
+        except Exception as err:  # noqa: BLE001 - surface the cycle as a ValueError
+            if "has a cycle" in str(err):
+                raise ValueError("the bill of materials has a cycle") from err
+            raise
+        if not seen["rows"]:
             break
-        if len(levels) >= max_depth or nxt.where("__cycle").take(1):
-            if nxt.where("__cycle").take(1):
-                raise ValueError("the bill of materials has a cycle")
+        if len(levels) >= max_depth:
             raise ValueError(f"bill of materials deeper than {max_depth} levels")
-        level = nxt.drop("__cycle")
+        level = nxt
         levels.append(level)
     return _union(levels)
 
@@ -204,8 +211,8 @@ def part_heights(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
         nxt = (h.join(up, h["part"] == up["assembly"], "left")
                .select("part", F.greatest(F.col("height"), F.coalesce(F.col("__h"), F.lit(0))).alias("height"),
                        (F.coalesce(F.col("__h"), F.lit(0)) > F.col("height")).alias("__grew")))
-        nxt = materialize(nxt, "bom-height")
-        if not nxt.where("__grew").take(1):
+        nxt, seen = materialize_observed(nxt, "bom-height", grew=F.count_if(F.col("__grew")))
+        if not seen["grew"]:
             return nxt.drop("__grew")
         h = nxt.drop("__grew")
     raise ValueError("the bill of materials has a cycle or is too deep")
@@ -275,10 +282,13 @@ def dag_first_anchors(edges: DataFrame, roots: DataFrame, max_depth: int = MAX_D
         allc = seed.unionByName(cand)
         nxt = allc.groupBy("part").agg(F.min_by(F.struct("key", "a_quantity"), F.col("key")).alias("__b")) \
             .select("part", "__b.key", "__b.a_quantity")
-        nxt = materialize(nxt, "bom-anchor")
-        changed = nxt.join(best, ["part", "key"], "left_anti").take(1)
-        best = nxt
-        if not changed:
+        prev = best.select("part", F.col("key").alias("__prev"))
+        nxt = nxt.join(prev, "part", "left")
+        nxt, seen = materialize_observed(
+            nxt.select("part", "key", "a_quantity", (~F.col("key").eqNullSafe(F.col("__prev"))).alias("__changed")),
+            "bom-anchor", changed=F.count_if(F.col("__changed")))
+        best = nxt.drop("__changed")
+        if not seen["changed"]:
             return best.select("part", "a_quantity")
     raise ValueError("the bill of materials has a cycle or is too deep")
 
@@ -290,8 +300,8 @@ def dag_smallest_anchors(edges: DataFrame, roots: DataFrame, max_depth: int = MA
     for _ in range(max_depth + 1):
         nxt = (reach.join(edges, reach["part"] == edges["assembly"]).select(edges["part"]).distinct()
                .join(seen, "part", "left_anti"))
-        nxt = materialize(nxt, "bom-reach")
-        if not nxt.take(1):
+        nxt, stats = materialize_observed(nxt, "bom-reach")
+        if not stats["rows"]:
             break
         seen = materialize(seen.unionByName(nxt), "bom-reach")
         reach = nxt
@@ -323,8 +333,8 @@ def _rolldown(start: DataFrame, edges: DataFrame, props: DataFrame, record: Colu
         if form == "dag":
             nxt = nxt.groupBy("part").agg(F.sum("value").alias("value")) \
                 .select("part", "value", F.lit(None).cast("string").alias("description"))
-        level = materialize(nxt, "bom-roll")
-        if not level.take(1):
+        level, seen = materialize_observed(nxt, "bom-roll")
+        if not seen["rows"]:
             return _union(out)
     raise ValueError("the bill of materials has a cycle or is too deep")
 

@@ -265,19 +265,24 @@ def _per_part(t: Tables) -> DataFrame:
     return reports.sum_first_by_key(_clean(t), "partNumber", stat, "partDescription", SALES_ORDER)
 
 
-def _bom(spark, sf_dir):
-    """Loop-invariant BOM inputs, written once (every level of the loops reads them)."""
+def _bom(spark, sf_dir, demand_reused: bool = True):
+    """Loop-invariant BOM inputs, written once (every level of the loops reads them).
+
+    The per-part demand is written only when it is read again after the roots.
+    """
     from partflow.session import materialize
 
     t = _t(spark, sf_dir)
-    per_part = materialize(_per_part(t), "per-part")
+    per_part = _per_part(t)
+    if demand_reused:
+        per_part = materialize(per_part, "per-part")
     edges = materialize(bom.bom_edges(t.entity("materials")), "bom-edges")
     roots = bom.bom_roots(per_part)
     return t, per_part, edges, roots
 
 
-def _nodes(spark, sf_dir):
-    t, per_part, edges, roots = _bom(spark, sf_dir)
+def _nodes(spark, sf_dir, demand_reused: bool = False):
+    t, per_part, edges, roots = _bom(spark, sf_dir, demand_reused)
     return t, per_part, edges, bom.explode_bom(edges, roots)
 
 
@@ -317,14 +322,14 @@ def q_node_height(spark, sf_dir):
 
 @query("bom_materials")
 def q_bom_materials(spark, sf_dir):
-    _, per_part, edges, nodes = _nodes(spark, sf_dir)
+    _, per_part, edges, nodes = _nodes(spark, sf_dir, demand_reused=True)
     demand = per_part.select("partNumber", PARAMS["statistic"])
     return bom.materials_from_paths(nodes, edges, bom.first_anchors(nodes), demand, PARAMS["statistic"])
 
 
 @query("bom_components")
 def q_bom_components(spark, sf_dir):
-    _, per_part, edges, nodes = _nodes(spark, sf_dir)
+    _, per_part, edges, nodes = _nodes(spark, sf_dir, demand_reused=True)
     demand = per_part.select("partNumber", PARAMS["statistic"])
     return bom.components_from_paths(nodes, edges, bom.smallest_anchors(nodes), demand, PARAMS["statistic"],
                                      bom.heights_from_paths(nodes))

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings that keep plans adaptive and results deterministic across engines.
 _DEFAULTS = {
@@ -77,4 +78,19 @@ def materialize(df: DataFrame, tag: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, tag)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_observed(df: DataFrame, tag: str = "table", **metrics: Column) -> tuple[DataFrame, dict]:
+    """:func:`materialize` that also returns aggregate metrics gathered by the write job itself.
+
+    ``rows`` (the row count) is always included. The metrics are collected with
+    Spark's ``Observation`` during the write, so a loop learns whether a level
+    is empty (or whether anything changed) without running another job.
+    """
+    spark = df.sparkSession
+    obs = Observation(f"partflow_{tag}_{uuid.uuid4().hex[:8]}")
+    exprs = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in metrics.items()]
+    path = scratch_path(spark, tag)
+    df.observe(obs, *exprs).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), dict(obs.get)
