@@ -96,14 +96,17 @@ def with_margins(cells: DataFrame, value: str, rows: str = "MotorSize",
                  row_total: str = "Category Sum", col_total: str = "Size Sum") -> DataFrame:
     """Add the column-sum row, the row-sum column and their corner (grand total).
 
-    One ``cube`` over the long cells. Nothing is returned when every cell is 0.
+    One ``cube`` over the long cells. ``color_value`` is the heat-map layer:
+    the value for cells, 0 for the margins. Nothing is returned when every
+    cell is 0.
     """
     cube = cells.cube(rows, "Category").agg(
         F.sum(value).alias(value), F.grouping(rows).alias("__gr"), F.grouping("Category").alias("__gc"))
     out = cube.select(
         F.when(F.col("__gr") == 1, F.lit(row_total)).otherwise(F.col(rows)).alias(rows),
         F.when(F.col("__gc") == 1, F.lit(col_total)).otherwise(F.col("Category")).alias("Category"),
-        F.col(value))
+        F.col(value),
+        F.when((F.col("__gr") == 1) | (F.col("__gc") == 1), F.lit(0.0)).otherwise(F.col(value)).alias("color_value"))
     nonzero = cells.select(F.count_if((F.col(value) != 0) | F.isnan(F.col(value)))).scalar()
     return out.where(nonzero > 0)
 
@@ -118,7 +121,11 @@ def mandrel_customers(df: DataFrame) -> DataFrame:
 
 
 def mandrel_ratio(df: DataFrame, statistic: str, rows: str = "MotorSize") -> DataFrame:
-    """Per size: category sum / Mandrels sum of Mandrel customers; x/0 and 0/0 give 0."""
+    """Per size: category sum / Mandrels sum of Mandrel customers; x/0 and 0/0 give 0.
+
+    Where the reference raises because no Mandrels column exists at all, every
+    ratio here is 0.
+    """
     cells = size_category_pivot(mandrel_customers(df), statistic, rows)
     den = cells.where(F.col("Category") == DENOMINATOR_CATEGORY).select(rows, F.col(statistic).alias("__den"))
     num = cells.where(F.col("Category") != DENOMINATOR_CATEGORY)

@@ -141,7 +141,9 @@ ORACLE["share_of_total"] = with_views(_SALES_VIEWS, _BASE + [_CELLS], """
 SELECT MotorSize, Category, (quantityText * 100.0) / (SELECT sum(quantityText) FROM rep) AS share FROM cells""")
 ORACLE["with_margins"] = with_views(_SALES_VIEWS, _BASE + [_CELLS], """
 SELECT CASE WHEN grouping(MotorSize) = 1 THEN 'Category Sum' ELSE MotorSize END AS MotorSize,
-  CASE WHEN grouping(Category) = 1 THEN 'Size Sum' ELSE Category END AS Category, sum(quantityText) AS quantityText
+  CASE WHEN grouping(Category) = 1 THEN 'Size Sum' ELSE Category END AS Category, sum(quantityText) AS quantityText,
+  CASE WHEN grouping(MotorSize) = 1 OR grouping(Category) = 1 THEN CAST(0 AS DOUBLE) ELSE sum(quantityText) END
+    AS color_value
 FROM cells GROUP BY CUBE (MotorSize, Category)
 HAVING (SELECT count(*) FILTER (WHERE quantityText <> 0 OR isnan(quantityText)) FROM cells) > 0""")
 

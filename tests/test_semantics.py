@@ -69,6 +69,8 @@ def test_h12_with_margins(spark):
     assert got[("Category Sum", "A")] == 4 and got[("Category Sum", "B")] == 2
     assert got[("1", "Size Sum")] == 3 and got[("2", "Size Sum")] == 3
     assert got[("Category Sum", "Size Sum")] == 6
+    color = {(r[0], r[1]): r["color_value"] for r in reports.with_margins(cells, "v").collect()}
+    assert color[("1", "A")] == 1 and color[("Category Sum", "A")] == 0 and color[("2", "Size Sum")] == 0
 
 
 def test_with_margins_all_zero_gives_nothing(spark):
@@ -132,3 +134,17 @@ def test_h19_full_outer_merge_with_estimate_suffix(spark):
 def test_top_parts_tie_break(spark):
     df = spark.createDataFrame([("b", 1.0), ("a", 1.0), ("c", 3.0)], "partNumber string, q double")
     assert [r[0] for r in reports.top_parts(df, "q", 2).collect()] == ["c", "a"]
+
+
+def test_breakdown_bundle(spark):
+    from partflow.plans.breakdown import breakdown
+
+    df = spark.createDataFrame(
+        [("ALPHA C1", "1", "Mandrels", 2.0), ("ALPHA C1", "1", "Inner Race", 4.0), ("C2", "2", "Mandrels", 1.0),
+         ("C2", "2", "Inner Race", 3.0), ("DELTA C3", "1", "None", 7.0)],
+        "customerCode string, MotorSize string, Category string, q double")
+    out = breakdown(df, "q")
+    assert "share_of_total" not in out and "histogram" in out
+    assert rows(out["size_category_pivot"]) == [("1", "Inner Race", 4.0), ("1", "Mandrels", 2.0),
+                                                ("2", "Inner Race", 3.0), ("2", "Mandrels", 1.0)]
+    assert sum(r["count"] for r in out["histogram"].collect()) == 2   # C2 row + ALPHA mean row
