@@ -109,10 +109,33 @@ def read_entity(source, name: str, fields: str | Iterable[str], search: Mapping
 
 
 def page(df: DataFrame, order_by: Iterable[str], skip: int = 0, take: int = PAGE_SIZE) -> DataFrame:
-    """One page of a totally ordered scan (``ORDER BY .. OFFSET skip LIMIT take``)."""
+    """One page of a totally ordered scan (``ORDER BY .. OFFSET skip LIMIT take``).
+
+    Spark keeps the top ``skip + take`` rows per partition and merges them, so
+    deep offsets grow with ``skip``; use :func:`page_after` to walk a large table.
+    """
     return df.orderBy(*order_by).offset(skip).limit(take)
 
 
+def page_after(df: DataFrame, order_by: Iterable[str], after: tuple | None = None,
+               take: int = PAGE_SIZE) -> DataFrame:
+    """Keyset paging: the ``take`` rows that follow the key tuple ``after`` in ``order_by`` order.
+
+    The "greater than the last key" predicate is a filter (pushed to the scan
+    where possible), so every page costs the same whatever its position.
+    """
+    cols = list(order_by)
+    if after is not None:
+        cond = None
+        for i in range(len(cols) - 1, -1, -1):
+            here = F.col(cols[i]) > F.lit(after[i])
+            if cond is not None:
+                here = here | ((F.col(cols[i]) == F.lit(after[i])) & cond)
+            cond = here
+        df = df.where(cond)
+    return df.orderBy(*cols).limit(take)
+
+
 def json_collection(df: DataFrame, col: str, schema: T.StructType | str, keep: Iterable[str] = ()) -> DataFrame:
     """Decode a JSON text column into columns; missing keys become null."""
     parsed = F.from_json(F.col(col), schema)
