@@ -236,21 +236,37 @@ def q_value_range(spark, sf_dir):
     return reports.value_range(_demand(_t(spark, sf_dir)), PARAMS["statistic"])
 
 
-def _forecast_demand(t: Tables) -> DataFrame:
+def _forecast_inputs(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """(demand, quarter) for the forecast sheet from one scan of the sales.
+
+    The quarter window starts inside the 12-month window, so the quarter sum is
+    a conditional sum in the same aggregation (flagged on the invoice time
+    before cleaning turns it into a date). The per-part table is small and
+    read twice, so it is written once.
+    """
+    from partflow.functions.semantics import first_non_null, merge, row_order, sum_or_zero
+    from partflow.session import materialize
+
     stat = PARAMS["statistic"]
-    per_part = reports.aggregate_by_part(_clean(t), stat, SALES_ORDER).select(
-        "partNumber", "partDescription", "MotorSize", "Category", stat)
-    with_open = orders.open_sales(t, per_part)
-    inv = t.entity("inventory").select("partNumber", "quantityOnHand")
-    from partflow.functions.semantics import merge
-    return merge(with_open, inv, "partNumber", "left")
+    s = orders.sales(t, PARAMS["sales_start"])
+    s = s.withColumn("__in_quarter", F.to_timestamp("invoiceDate") > F.to_timestamp(F.lit(PARAMS["quarter_start"])))
+    c = cleaning.clean_sales(s, stat, PARAMS["datestat"])
+    o = row_order(*SALES_ORDER)
+    per_part = (c.where(F.col("partNumber").isNotNull()).withColumn("__ord", o).groupBy("partNumber")
+                .agg(*[first_non_null(k, F.col("__ord")).alias(k) for k in ("partDescription", "MotorSize", "Category")],
+                     sum_or_zero(stat).alias(stat),
+                     F.sum(F.when(F.col("__in_quarter"), F.col(stat))).alias("__quarter")))
+    per_part = materialize(per_part, "forecast-parts")
+    demand = orders.open_sales(t, per_part.drop("__quarter"))
+    demand = merge(demand, t.entity("inventory").select("partNumber", "quantityOnHand"), "partNumber", "left")
+    quarter = per_part.where(F.col("__quarter").isNotNull()).select("partNumber", F.col("__quarter").alias(stat))
+    return demand, quarter
 
 
 @query("size_forecast")
 def q_size_forecast(spark, sf_dir):
-    t = _t(spark, sf_dir)
-    quarter = _demand(t, PARAMS["quarter_start"])
-    return reports.size_forecast(_forecast_demand(t), quarter, PARAMS["statistic"])
+    demand, quarter = _forecast_inputs(_t(spark, sf_dir))
+    return reports.size_forecast(demand, quarter, PARAMS["statistic"])
 
 
 # --- bill of materials ---------------------------------------------------------------------------------
@@ -387,8 +403,8 @@ def q_load_tree(spark, sf_dir):
 @query("write_size_sheets")
 def q_write_size_sheets(spark, sf_dir):
     """Write the size sheets (one folder per MotorSize) and read them back."""
-    t = _t(spark, sf_dir)
-    forecast = reports.size_forecast(_forecast_demand(t), _demand(t, PARAMS["quarter_start"]), PARAMS["statistic"])
+    demand, quarter = _forecast_inputs(_t(spark, sf_dir))
+    forecast = reports.size_forecast(demand, quarter, PARAMS["statistic"])
     folder = sinks.write_size_sheets(forecast, None, scratch_path(spark, "sheets"))
     schema = forecast.drop("Category").schema
     return sinks.read_size_sheets(spark, folder, schema)
