@@ -18,8 +18,7 @@ Fixed values (verbatim, natural order):
 """
 
 # --- fixed values -----------------------------------------------------------------
-DESCRIPTION_EXCLUDE = ("scrap|return|inspection|labor|freight|black|replace|maintenance|reweld|re-weld"
-                       "|bit ball|screw|bit|balls|set")
+DESCRIPTION_EXCLUDE = "scrap|return|inspection|labor|freight|black|replace|maintenance|reweld|re-weld|bit ball|screw|bit|balls|set"  # noqa: E501
 PART_EXCLUDE = "scrap|return|inspection|labor|freight|black|replace|balls|bit ball|set|screw|rw|skim"
 MOLD_BLANK_MARKERS = ("BK", "KM", "BM", "BNK", "BVM", "JM", "XM")
 X_RACE_MARKERS = ("15X", "16X", "15EX", "16EX")
