@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from partflow.functions.patterns import PAGE_SIZE
+from partflow.functions.patterns import LOOKUP_BATCH, PAGE_SIZE
 
 
 def read_page_file(location: str, page: int) -> str:
@@ -53,6 +53,8 @@ class PagedJsonReader(DataSourceReader):
         return [PagePartition(i, min(i + step, self.pages) - 1) for i in range(0, self.pages, step)]
 
     def read(self, partition):
+        if partition is None:       # no pages
+            return
         for page in range(partition.first, partition.last + 1):
             text = self.fetch(self.location, page)
             for line in text.splitlines():
@@ -93,3 +95,77 @@ def read_json_pages(spark: SparkSession, location: str, pages: int, schema, sour
     spark.dataSource.register(source)
     return (spark.read.format(source.name()).schema(schema).option("location", location)
             .option("pages", str(pages)).option("pagesPerPartition", str(pages_per_partition)).load())
+
+
+# --- keyed lookups: one partition per batch of keys -------------------------------------------------
+
+def read_lookup_file(location: str, keys: list[str], field: str) -> str:
+    """File-backed lookup transport (tests): records of ``location`` whose ``field`` is in ``keys``,
+    returned as one API page per line."""
+    wanted = set(keys)
+    path = location.removeprefix("file:")
+    out = []
+    for name in sorted(os.listdir(path)):
+        if name.startswith((".", "_")):
+            continue
+        with open(os.path.join(path, name), encoding="utf-8") as fh:
+            recs = [r for r in (json.loads(line) for line in fh if line.strip()) if str(r.get(field)) in wanted]
+        if recs:
+            out.append(json.dumps({"Data": recs}))
+    return "\n".join(out)
+
+
+class KeyBatch(InputPartition):
+    def __init__(self, keys: list[str]):
+        super().__init__(tuple(keys))
+        self.keys = keys
+
+
+class KeyedJsonReader(DataSourceReader):
+    def __init__(self, options: dict, schema, lookup):
+        self.location = options["location"]
+        self.field = options["field"]
+        self.keys = [k for k in options.get("keys", "").split("\n") if k]
+        self.batch = max(1, int(options.get("batch", str(LOOKUP_BATCH))))
+        self.data_key = options.get("dataKey", "Data")
+        self.fields = [f.name for f in schema.fields]
+        self.lookup = lookup
+
+    def partitions(self):
+        return [KeyBatch(self.keys[i:i + self.batch]) for i in range(0, len(self.keys), self.batch)]
+
+    def read(self, partition):
+        if partition is None:       # no keys: Spark still runs one task without a partition
+            return
+        text = self.lookup(self.location, partition.keys, self.field)
+        for line in text.splitlines():
+            for rec in json.loads(line).get(self.data_key) or []:
+                yield tuple(rec.get(f) for f in self.fields)
+
+
+class KeyedJsonSource(DataSource):
+    """"key IN list" lookups against a JSON API: one input partition per batch of keys.
+
+    ``.option('keys', '\\n'.join(keys)).option('field', 'partNumber').option('batch', '300')``;
+    the keys are the caller's list (already on the driver), the transport is ``lookup``.
+    """
+
+    lookup = staticmethod(read_lookup_file)
+
+    @classmethod
+    def name(cls):
+        return "partflow_keyed_json"
+
+    def schema(self):
+        raise ValueError("declare the record schema with .schema(...)")
+
+    def reader(self, schema):
+        return KeyedJsonReader(self.options, schema, type(self).lookup)
+
+
+def lookup_json(spark: SparkSession, location: str, field: str, keys, schema, batch: int = LOOKUP_BATCH,
+                source=KeyedJsonSource) -> DataFrame:
+    """Records whose ``field`` is one of ``keys``, fetched in parallel batches; an empty key list gives no rows."""
+    spark.dataSource.register(source)
+    return (spark.read.format(source.name()).schema(schema).option("location", location).option("field", field)
+            .option("keys", "\n".join(str(k) for k in keys)).option("batch", str(batch)).load())

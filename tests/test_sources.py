@@ -104,3 +104,15 @@ def test_keyset_paging_walks_every_row_once(spark):
         after = (pg[-1]["a"], pg[-1]["b"])
     assert seen == [f"r{i}" for i in range(20)]
     assert [r["v"] for r in entity.page(df, ["a", "b"], skip=7, take=7).collect()] == seen[7:14]
+
+
+def test_keyed_lookup_source_batches(spark):
+    loc = tempfile.mkdtemp(prefix="api-")
+    with open(f"{loc}/inventory.json", "w") as fh:
+        for i in range(50):
+            fh.write(f'{{"partNumber": "PN{i}", "quantityOnHand": {i}.0}}\n')
+    keys = [f"PN{i}" for i in range(0, 50, 3)] + ["missing"]
+    df = paged.lookup_json(spark, loc, "partNumber", keys, "partNumber string, quantityOnHand double", batch=5)
+    assert df.rdd.getNumPartitions() == 4
+    assert rows(df) == sorted((f"PN{i}", float(i)) for i in range(0, 50, 3))
+    assert paged.lookup_json(spark, loc, "partNumber", [], "partNumber string").count() == 0
