@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -10,7 +11,9 @@ from partflow.session import get_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[4]", shuffle_partitions=8)  # unset checkpoint dir -> fresh temp folder
+    # unset checkpoint dir -> fresh temp folder; catalog tables of the layout test go to a temp warehouse
+    s = get_session("local[4]", shuffle_partitions=8,
+                    extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="partflow-wh-")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
