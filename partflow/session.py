@@ -18,6 +18,9 @@ _DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.host": "127.0.0.1",
     "spark.driver.memory": "8g",
+    # Long sessions run many short jobs: let the context cleaner drop old shuffle files and
+    # broadcasts regularly instead of waiting for a full GC of the driver heap.
+    "spark.cleaner.periodicGC.interval": "5min",
 }
 
 

@@ -29,3 +29,14 @@ def test_one_row_stats_are_the_only_nested_loop(spark):
     for line in plan.splitlines():
         if "BroadcastNestedLoopJoin" in line:
             assert "BuildRight" in line
+
+
+def test_lookup_is_left_semi(spark):
+    plan = queries()["lookup_in"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan
+
+
+def test_customer_ratio_reads_sales_once(spark):
+    """Per-customer sums are written once; the substring pairs come from an equi-join."""
+    plan = queries()["customer_ratio"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") <= 1 and "BroadcastNestedLoopJoin" not in plan
