@@ -11,13 +11,19 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from partflow.functions.patterns import LOOKUP_BATCH, PAGE_SIZE
 
+# The source classes run in Python workers; ship them by value so the workers do
+# not need this package installed or on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def read_page_file(location: str, page: int) -> str:
     folder = os.path.join(location.removeprefix("file:"), f"page={page}")
