@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm import token_file
+from partflow.llm import piece, token_file
 from partflow.llm.common import shared_folder, ship, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,3 +33,13 @@ def op1_token_files(spark, sf_dir):
     out = shared_folder(spark, "tokens")
     token_file.write_tokens(table(spark, sf_dir, "documents"), out, tokenizer_path(WORD_FILE))
     return token_file.read_tokens(spark, out)
+
+
+@query
+def op2_sentencepiece(spark, sf_dir):
+    """Encode ``documents`` with begin and end ids and decode the ids again."""
+    model = tokenizer_path(PIECE_FILE)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = piece.decode(piece.encode(docs, model).drop("text"), model)
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
