@@ -13,6 +13,7 @@ import codecs
 import re
 import struct
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -178,8 +179,6 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", begin: bool = Tr
     """
     if "ids" in docs.columns:
         raise ValueError("the input has a column ids")
-    import pandas as pd
-
     @F.pandas_udf("binary")
     def ids(texts: pd.Series) -> pd.Series:
         t = piece_table(model)
@@ -191,8 +190,6 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", begin: bool = Tr
 
 def decode(docs: DataFrame, model: str, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
     """The rows with the text of their ids in column ``to``; null ids: null."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def text(raw: pd.Series) -> pd.Series:
         t = piece_table(model)
