@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm import piece, token_file
+from partflow.llm import packing, piece, token_file, warc
 from partflow.llm.common import shared_folder, ship, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,3 +43,17 @@ def op2_sentencepiece(spark, sf_dir):
     out = piece.decode(piece.encode(docs, model).drop("text"), model)
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+@query
+def op3_warc(spark, sf_dir):
+    """Write ``pages`` as WARC files in the shared folder and read the records back."""
+    out = shared_folder(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), out)
+    return warc.read_archives(spark, out).drop("url")
+
+
+@query
+def op10_packing(spark, sf_dir):
+    """Pack the ids of ``documents`` into windows of 2048."""
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path(WORD_FILE)))
