@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import struct
 
+import numpy as np
+
 # Words whose ids a Python worker remembers; further words are encoded whenever they come.
-MEMORY = 250_000
+MEMORY = 600_000
 
 _encoders: dict = {}
 
@@ -24,6 +26,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
+        fences = {t.content: i for i, t in self.lib.get_added_tokens_decoder().items()
+                  if t.special and t.content.startswith("<|") and not (t.lstrip or t.rstrip or t.single_word or t.normalized)}
+        self.fence = next(iter(fences.items()), None)
         self.known: dict[bytes, bytes] = {b"": b""}
 
     def whole(self, text: str) -> bytes:
@@ -35,15 +40,23 @@ class WordEncoder:
         parts = [None if b"<|" in t else t.lower().replace(b"\n", b" ").split(b" ") for t in texts]
         known = self.known
         new: dict[bytes, bytes] = {}
-        missing = {w for p in parts if p for w in p if w not in known}
+        missing = set().union(*filter(None, parts)).difference(known)
         marked = [w for w in missing if w[-1] in b",." and w[-2:-1].isalpha()]
         missing.difference_update(marked)
         missing.update(w for w in {x for m in marked for x in (m[:-1], m[-1:])} if w not in known)
         todo = list(missing)
         for i in range(0, len(todo), 4096):
             some = todo[i:i + 4096]
-            enc = self.lib.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-            new.update((w, struct.pack(f"<{len(e.ids)}I", *e.ids)) for w, e in zip(some, enc))
+            if self.fence is None:
+                enc = self.lib.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
+                new.update((w, struct.pack(f"<{len(e.ids)}I", *e.ids)) for w, e in zip(some, enc))
+                continue
+            # one call for all: a special token, which these words don't hold, stands between them
+            text = self.fence[0].join([w.decode("utf-8", "replace") for w in some])
+            ids = np.array(self.lib.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends = [*np.flatnonzero(ids == self.fence[1]).tolist(), len(ids)]
+            raw = ids.tobytes()
+            new.update((w, raw[4 * (b + 1):4 * e]) for w, b, e in zip(some, [-1, *ends], ends))
         find = _Two(known, new).__getitem__
         new.update([(m, find(m[:-1]) + find(m[-1:])) for m in marked])
         room = MEMORY - len(known)
