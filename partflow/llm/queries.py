@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm import packing, piece, token_file, warc
+from partflow.llm import packing, piece, simhash, token_file, warc
 from partflow.llm.common import shared_folder, ship, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,3 +57,10 @@ def op3_warc(spark, sf_dir):
 def op10_packing(spark, sf_dir):
     """Pack the ids of ``documents`` into windows of 2048."""
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path(WORD_FILE)))
+
+
+@query
+def op5_simhash(spark, sf_dir):
+    """Near-duplicate groups of ``documents``: 4-word shingles, at most 4 differing bits."""
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
