@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm import packing, piece, simhash, token_file, warc
+from partflow.llm import host_rules, packing, piece, simhash, token_file, warc
 from partflow.llm.common import shared_folder, ship, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,3 +64,9 @@ def op5_simhash(spark, sf_dir):
     """Near-duplicate groups of ``documents``: 4-word shingles, at most 4 differing bits."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op7_host_rules(spark, sf_dir):
+    """Rules of ``documents`` and of their hosts; a document's host is its source."""
+    return host_rules.judge(table(spark, sf_dir, "documents"))
