@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm import host_rules, packing, piece, simhash, token_file, warc
+from partflow.llm import host_rules, order_minhash, packing, piece, simhash, token_file, warc
 from partflow.llm.common import shared_folder, ship, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,3 +70,9 @@ def op5_simhash(spark, sf_dir):
 def op7_host_rules(spark, sf_dir):
     """Rules of ``documents`` and of their hosts; a document's host is its source."""
     return host_rules.judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_order_minhash(spark, sf_dir):
+    """Fingerprints of ``documents`` and of their edited texts."""
+    return order_minhash.compare_edited(table(spark, sf_dir, "documents"))
