@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm import host_rules, order_minhash, packing, piece, simhash, token_file, warc
+from partflow.llm import fuzzy_lines, host_rules, order_minhash, packing, piece, simhash, token_file, warc
 from partflow.llm.common import shared_folder, ship, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +76,10 @@ def op7_host_rules(spark, sf_dir):
 def op6_order_minhash(spark, sf_dir):
     """Fingerprints of ``documents`` and of their edited texts."""
     return order_minhash.compare_edited(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_fuzzy_lines(spark, sf_dir):
+    """``documents`` without repeated and nearly repeated lines: per document the counts and a digest of what is left."""
+    out = fuzzy_lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
