@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm import fuzzy_lines, host_rules, order_minhash, packing, piece, simhash, token_file, warc
+from partflow.llm import fuzzy_lines, host_rules, order_minhash, packing, pairwise_quality, piece, pii, simhash, token_file, warc
 from partflow.llm.common import shared_folder, ship, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +83,26 @@ def op8_fuzzy_lines(spark, sf_dir):
     """``documents`` without repeated and nearly repeated lines: per document the counts and a digest of what is left."""
     out = fuzzy_lines.dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+def find_personal_data(docs: DataFrame) -> DataFrame:
+    return pii.find(docs, pii.train(docs))
+
+
+@query
+def op4_pii(spark, sf_dir):
+    """Personal data in ``documents``: the patterns' matches and what the trained tagger adds."""
+    out = find_personal_data(table(spark, sf_dir, "documents"))
+    count = lambda k: F.regexp_count("base", F.lit(f"{k}:")).cast("long").alias(f"n_{k}")
+    return out.select("doc_id", *[count(k) for k in pii.KINDS], F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query
+def op9_pairwise_quality(spark, sf_dir):
+    """Quality scores of ``documents``; fitted on labels whose document's crc32 leaves no remainder of 2 by 4."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = lambda c: F.crc32(F.col(c).cast("string").cast("binary")) % 4 == 2            # noqa: E731
+    model = pairwise_quality.train(docs, labels.where(~held_out("doc_id")))
+    rows, score = pairwise_quality.score(docs, model, ["doc_id"])
+    return rows.select("doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), score.alias("score"),
+                       F.when(score >= pairwise_quality.CUT, 1).otherwise(0).alias("predicted"))
