@@ -46,7 +46,7 @@ def fingerprint(raw: bytes, shingle: int = 4, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seed: int = 42) -> DataFrame:
-    """(doc_id, fp) of each whole text, fp as a signed 64-bit number. Null text: as empty. No shuffle."""
+    """(doc_id, th, fp) of each whole text: its hash, and its SimHash as a signed 64-bit number. Null text: as empty. No shuffle."""
 
     def run(batches):
         import numpy as np
@@ -54,10 +54,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         for batch in batches:
             fps = np.fromiter((fingerprint(x.as_py(), shingle, seed) for x in batch.column(1)), "<u8", batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view("<i8"))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps.view("<i8"))], names=["doc_id", "th", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.cast("binary").alias("text"),
+                       F.xxhash64(text).alias("th")).mapInArrow(run, "doc_id long, th long, fp long")
 
 
 def _part(fp: Column, k: int) -> Column:
@@ -167,7 +168,7 @@ def links(distinct: DataFrame, radius: int = 4, rows_per_tile: int = 16_384) ->
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4,
                     seed: int = 42, rows_per_tile: int = 16_384) -> DataFrame:
-    """(doc_id, fp, component_id) of each row; ``component_id`` is the smallest id reachable over links, its own included.
+    """(doc_id, th, fp, group, component_id) of each row; ``group`` names its group, ``component_id`` is the smallest id reachable over links, its own included.
 
     Texts without words have fingerprint 0 and link like any other. Null text: as empty. Null ids: kept;
     null component where no row of the group has an id. Repeated rows: each a row, in one group. Empty table: empty.
@@ -179,8 +180,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     grouped = materialize(distinct.join(group, distinct["fp"] == group["node"], "left")
                           .select("fp", "least", F.coalesce("component", "fp").alias("group")), "grouped")
     least = materialize(grouped.groupBy("group").agg(F.min("least").alias("component_id")), "least")
-    by_fp = materialize(grouped.join(least, "group").select("fp", "component_id"), "byfp")
-    return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    by_fp = materialize(grouped.join(least, "group").select("fp", "group", "component_id"), "byfp")
+    return fps.join(by_fp, "fp").select("doc_id", "th", "fp", "group", "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows without all but one of each near-duplicate group: the one with the smallest id (null last), then text hash.
+
+    Rows with equal id and text: one stays.
+    """
+    rows = materialize(near_duplicates(docs, id_col, text_col, **how).select("doc_id", "th", "group"), "members")
+    stays = rows.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("s")).select(
+        F.col("s.doc_id").alias("_sid"), F.col("s.th").alias("_sth"))
+    own = docs.withColumn("_th", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    out = own.join(stays, own[id_col].cast("long").eqNullSafe(F.col("_sid")) & (F.col("_th") == F.col("_sth")), "left_semi")
+    again = rows.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
+    return (out.dropDuplicates([id_col, "_th"]) if again else out).drop("_th")
 
 
 def hex_digits(fp: Column) -> Column:
