@@ -13,13 +13,14 @@ import codecs
 import re
 import struct
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"          # stands for a space in the pieces
 UNKNOWN = " ⁇ "     # what an unknown id is decoded to
-MEMORY = 250_000         # segments (and pairs of tokens) that a worker remembers
+MEMORY = 600_000         # segments, and pairs of tokens, that a worker remembers
 
 _tables: dict = {}
 
@@ -56,91 +57,90 @@ class PieceTable:
         if any(MARK in p.lstrip(MARK) or "\n" in p for p in self.ids):
             raise ValueError(f"{path}: has pieces across words or lines")
         self.controls = {i for i in range(n) if sp.is_control(i)}
+        self.sizes = [len(p) for p in self.pieces]
         self.matches = ahocorasick.Automaton()
         for p, i in self.ids.items():
-            self.matches.add_word(p, i)
+            if len(self.merged(p)) == 1:       # else merging never makes this piece
+                self.matches.add_word(p, i)
         self.matches.make_automaton()
         self.texts = [b"" if sp.is_control(i) else UNKNOWN.encode() if sp.is_unknown(i) else
                       bytes([int(p[1:-1], 16)]) if sp.is_byte(i) else p.replace(MARK, " ").encode()
                       for i, p in enumerate(self.pieces)]
         # marks that no piece has right after a letter: a segment can be cut before them
         self.marks = {c for c in ",.;:!?" if not any(x.isalpha() and y == c for p in self.ids for x, y in zip(p, p[1:]))}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.alone: dict[int, bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.known: dict[str, bytes] = {"": b""}
 
     def merged(self, text: str) -> list[str]:
         """Merge from single characters, the best-scored neighbours first, the leftmost of equals (short texts only)."""
-        s = list(text)
+        s, ids, scores = list(text), self.ids, self.scores
         while len(s) > 1:
-            best = max(((self.scores[i], -k) for k in range(len(s) - 1)
-                        if (i := self.ids.get(s[k] + s[k + 1])) is not None), default=None)
+            best, at = None, -1
+            for k in range(len(s) - 1):
+                i = ids.get(s[k] + s[k + 1])
+                if i is not None and (best is None or scores[i] > best):
+                    best, at = scores[i], k
             if best is None:
                 break
-            k = -best[1]
-            s[k:k + 2] = [s[k] + s[k + 1]]
+            s[at:at + 2] = [s[at] + s[at + 1]]
         return s
 
-    def reachable(self, i: int) -> bool:
-        """Whether merging the piece's own text gives it back."""
-        if (ok := self.alone.get(i)) is None:
-            ok = self.alone[i] = len(self.merged(self.pieces[i])) == 1
-        return ok
-
     def compatible(self, a: int, b: int) -> bool:
         """Whether token b may follow token a."""
-        if (ok := self.pairs.get((a, b))) is None:
+        key = a << 32 | b
+        if (ok := self.pairs.get(key)) is None:
             x, y = self.pieces[a], self.pieces[b]
             ok = self.merged(x + y) == [x, y]
-            if len(self.pairs) < 4 * MEMORY:
-                self.pairs[a, b] = ok
+            if len(self.pairs) < MEMORY:
+                self.pairs[key] = ok
         return ok
 
     def segment(self, text: str) -> list[int]:
         """Ids of one segment, from its prefix table."""
         last = [-1] * (len(text) + 1)      # id of the last token of each prefix; -1: a character outside the vocabulary
-        size = [1] * (len(text) + 1)       # its length
-        by_end: list[list[int]] = [[] for _ in text]
-        for end, i in self.matches.iter(text):
-            by_end[end].append(i)
-        for end, found in enumerate(by_end, 1):
-            for i in sorted(found, key=lambda i: -len(self.pieces[i])):
-                begin = end - len(self.pieces[i])
-                if (begin == 0 or last[begin] < 0 or self.compatible(last[begin], i)) and self.reachable(i):
-                    last[end], size[end] = i, end - begin
-                    break
+        sizes, pairs, done = self.sizes, self.pairs, 0
+        for end, i in self.matches.iter(text):     # at each end, the longest first
+            end += 1
+            if end == done:
+                continue
+            begin = end - sizes[i]
+            if begin:
+                before = last[begin]
+                if before >= 0 and not ((ok := pairs.get(before << 32 | i)) or ok is None and self.compatible(before, i)):
+                    continue
+            last[end], done = i, end
         out: list[int] = []
         at = len(text)
         while at:
-            if last[at] < 0:
-                out += [self.bytes[b] for b in reversed(text[at - 1].encode())]
+            if (i := last[at]) < 0:
+                at -= 1
+                out += [self.bytes[b] for b in reversed(text[at].encode())]
             else:
-                out.append(last[at])
-            at -= size[at]
+                out.append(i)
+                at -= sizes[i]
         return out[::-1]
 
-    def encode(self, text: str) -> bytes:
-        """Ids without begin and end, as little-endian unsigned 32-bit bytes."""
+    def cut(self, text: str) -> list[str]:
+        """Segments of a text with its space marks: no piece goes from one into the next."""
         if not text:
-            return b""
-        known = self.known
+            return []
         if text[0] == " " or "  " in text or MARK in text:
-            parts = re.findall(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n", MARK + text.replace(" ", MARK))
-        else:
-            parts = (MARK + text.replace(" ", " " + MARK)).replace("\n", " \n ").split(" ")
-        try:
-            return b"".join(map(known.__getitem__, parts))
-        except KeyError:
-            pass
-        own: dict[str, bytes] = {}
-        for p in {p for p in parts if p not in known}:
-            if p[-1] in self.marks and p[-2:-1].isalpha():
-                own[p] = self._one(p[:-1]) + self._one(p[-1])
-            else:
-                own[p] = self._one(p)
-        if len(known) + len(own) <= MEMORY:
-            known.update(own)
-        return b"".join(own[p] if p in own else known[p] for p in parts)
+            return re.findall(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n", MARK + text.replace(" ", MARK))
+        return (MARK + text.replace(" ", " " + MARK)).replace("\n", " \n ").split(" ")
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text without begin and end, as little-endian unsigned 32-bit bytes; a new segment is encoded once."""
+        parts, known = [self.cut(t) for t in texts], self.known
+        new = {p: self._one(p[:-1]) + self._one(p[-1]) if p[-1] in self.marks and p[-2:-1].isalpha() else self._one(p)
+               for p in set().union(*parts).difference(known)}
+        if len(known) + len(new) <= MEMORY:
+            known.update(new)
+            new = known
+        find = _Behind(known, new).__getitem__ if new is not known else known.__getitem__
+        return [b"".join(map(find, p)) for p in parts]
+
+    def encode(self, text: str) -> bytes:
+        return self.many([text])[0]
 
     def _one(self, segment: str) -> bytes:
         if (b := self.known.get(segment)) is None:
@@ -164,6 +164,17 @@ class PieceTable:
         return out
 
 
+class _Behind(dict):
+    """New segments with the remembered ones behind them."""
+
+    def __init__(self, first: dict, new: dict):
+        super().__init__(new)
+        self.first = first
+
+    def __missing__(self, p: str) -> bytes:
+        return self.first[p]
+
+
 def piece_table(path: str) -> PieceTable:
     """The worker's table of that model file."""
     if path not in _tables:
@@ -171,7 +182,8 @@ def piece_table(path: str) -> PieceTable:
     return _tables[path]
 
 
-def encode(docs: DataFrame, model: str, text_col: str = "text", begin: bool = True, end: bool = True) -> DataFrame:
+def encode(docs: DataFrame, model: str, text_col: str = "text", begin: bool = True, end: bool = True,
+           docs_per_call: int = 256) -> DataFrame:
     """The rows with ``ids`` (binary: little-endian unsigned 32-bit) of each whole text; no shuffle.
 
     Null text: empty. Empty text: the begin and end ids alone. An existing column ``ids`` raises. Other columns,
@@ -183,7 +195,8 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", begin: bool = Tr
     def ids(texts: pd.Series) -> pd.Series:
         t = piece_table(model)
         a, b = (struct.pack("<I", t.begin) if begin else b""), (struct.pack("<I", t.end) if end else b"")
-        return pd.Series([a + t.encode(x) + b for x in texts], dtype=object)
+        texts = texts.tolist()
+        return pd.Series([a + x + b for i in range(0, len(texts), docs_per_call) for x in t.many(texts[i:i + docs_per_call])], dtype=object)
 
     return docs.withColumn("ids", ids(F.coalesce(F.col(text_col), F.lit(""))))
 
@@ -193,7 +206,6 @@ def decode(docs: DataFrame, model: str, ids_col: str = "ids", to: str = "decoded
     @F.pandas_udf("string")
     def text(raw: pd.Series) -> pd.Series:
         t = piece_table(model)
-        return pd.Series([None if x is None else t.decode([i for i, in struct.iter_unpack("<I", x)]) for x in raw],
-                         dtype=object)
+        return pd.Series([None if x is None else t.decode(np.frombuffer(x, "<u4").tolist()) for x in raw], dtype=object)
 
     return docs.withColumn(to, text(F.col(ids_col)))
