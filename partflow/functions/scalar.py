@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import re
 from collections.abc import Iterable
 
@@ -34,8 +35,11 @@ def lead_days(finished: Column, entered: Column) -> Column:
     return F.datediff(finished, entered).cast("bigint")
 
 
-def years_before(d: Column, years: int = 1) -> Column:
-    return F.add_months(d, -12 * years)
+def year_before(start: str) -> str:
+    """The ISO date one year before an ISO date; 29 February becomes 28 February."""
+    d = datetime.date.fromisoformat(start[:10])
+    day = 28 if (d.month, d.day) == (2, 29) else d.day
+    return d.replace(year=d.year - 1, day=day).isoformat()
 
 
 def to_hours(value: Column, unit: Column) -> Column:

@@ -72,6 +72,7 @@ def ratio_or_zero(num: Column, den: Column) -> Column:
 def ieee_ratio(num: Column, den: Column) -> Column:
     """IEEE division: x/0 = +-inf, 0/0 = NaN; null stays null (ANSI-safe)."""
     return (F.when(num.isNull() | den.isNull(), F.lit(None).cast("double"))
+            .when(F.isnan(num) | F.isnan(den), F.lit(float("nan")))
             .when(den != 0, num / den)
             .when(num > 0, F.lit(float("inf")))
             .when(num < 0, F.lit(float("-inf")))

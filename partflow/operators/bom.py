@@ -10,8 +10,8 @@ lost executor recomputes at most one level.
 Preorder: siblings are ordered by the BOM line order ``ord``, depth-1 nodes
 by part number. The column ``ord`` of a node is a string key whose
 byte order is the preorder: each path element is encoded as
-``lpad(ord, 12) || hex(part) || '!'`` (the root element without the ord part),
-which is prefix-free and order preserving.
+20 digits of ``ord`` (shifted to be positive; dashes for null, which come first), then ``hex(part) || '!'``
+(the root element without the ord part), which is prefix-free and order preserving.
 
 Two evaluation forms:
 
@@ -35,7 +35,8 @@ from partflow.functions.patterns import BOM_ROOT, MOLD_BLANK_MARKERS, X_RACE_MAR
 from partflow.functions.scalar import contains_any
 from partflow.session import materialize, materialize_observed
 
-MAX_DEPTH = 100
+# Rounds of a level loop after which the bill is checked for cycles, once; a deep one without any goes on.
+CHECK_AFTER = 32
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -47,7 +48,9 @@ def root_key(part: Column) -> Column:
 
 
 def child_key(ord_: Column, part: Column) -> Column:
-    return F.concat(F.lpad(F.coalesce(ord_, F.lit(0)).cast("string"), 12, "0"), F.hex(part), F.lit("!"))
+    shifted = ord_.cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")
+    digits = F.coalesce(F.lpad(shifted.cast("string"), 20, "0"), F.lit("-" * 20))
+    return F.concat(digits, F.hex(part), F.lit("!"))
 
 
 # --- inputs -----------------------------------------------------------------------------------------
@@ -91,12 +94,12 @@ def _edge_cols(edges: DataFrame) -> DataFrame:
 
 # --- path explosion ---------------------------------------------------------------------------------
 
-def explode_bom(edges: DataFrame, roots: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def explode_bom(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """Every path from every root: (root, Node, Parent, depth, quantity, description, ord, names,
     line, cum) with ``cum`` the product of the quantities below the root.
 
     Depth-1 nodes have parent ``Root`` and quantity 1. A part reached again on
-    its own path is a cycle and raises, as does a tree deeper than ``max_depth``.
+    its own path is a cycle and raises.
     """
     level = roots.select(
         F.col("part").alias("root"), F.col("part").alias("Node"), F.lit(BOM_ROOT).alias("Parent"),
@@ -127,8 +130,6 @@ def explode_bom(edges: DataFrame, roots: DataFrame, max_depth: int = MAX_DEPTH)
             raise
         if not seen["rows"]:
             break
-        if len(levels) >= max_depth:
-            raise ValueError(f"bill of materials deeper than {max_depth} levels")
         level = nxt
         levels.append(level)
     return _union(levels)
@@ -194,28 +195,78 @@ def prune_tree(nodes: DataFrame) -> DataFrame:
     return nodes.join(pick, nodes["ord"] == pick["__k"], "left_semi")
 
 
+def prune_dag(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """:func:`prune_tree` of the fully exploded tree without exploding it: a row per part.
+
+    Level by level, each part keeps its preorder-first path of that length: the paths to one part
+    aren't prefixes of each other, so the first path of a part goes on from first paths. A
+    level has at most a row per part, however many paths there are.
+    """
+    level = materialize(roots.select(
+        F.col("part").alias("root"), F.col("part").alias("Node"), F.lit(BOM_ROOT).alias("Parent"), F.lit(1).alias("depth"),
+        F.lit(1.0).alias("quantity"), "description", root_key(F.col("part")).alias("ord"), F.lit(0).cast("bigint").alias("line")), "bom-prune")
+    levels, cols, e = [level], level.columns, _edge_cols(edges)
+    while True:
+        nxt = level.join(e, level["Node"] == e["e_assembly"]).select(
+            "root", F.col("e_part").alias("Node"), F.col("Node").alias("Parent"), (F.col("depth") + 1).alias("depth"),
+            F.col("e_quantity").alias("quantity"), F.col("e_description").alias("description"),
+            F.concat(F.col("ord"), child_key(F.col("e_ord"), F.col("e_part"))).alias("ord"), F.col("e_ord").alias("line"))
+        rest = [c for c in cols if c != "Node"]
+        nxt = nxt.groupBy("Node").agg(F.min_by(F.struct(*rest), F.col("ord")).alias("__r")).select("Node", "__r.*").select(*cols)
+        level, seen = materialize_observed(nxt, "bom-prune")
+        if not seen["rows"]:
+            break
+        levels.append(level)
+        if len(levels) == CHECK_AFTER:
+            require_acyclic(edges, level.select(F.col("Node").alias("part")))
+    every = _union(levels)
+    deepest = every.groupBy("Node").agg(F.max("depth").alias("depth"))
+    return every.join(deepest, ["Node", "depth"], "left_semi").select(*cols)
+
+
 # --- per-part properties -------------------------------------------------------------------------------
 
-def part_heights(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def part_heights(edges: DataFrame) -> DataFrame:
     """(part, height): longest way down to a leaf (leaf = 0), for every part in the edges.
 
-    Bottom-up relaxation over the DAG: height(a) = 1 + max height(child);
-    one join + aggregation per round, rounds = the largest height.
+    Leaves are taken off level by level: a part has height h if its last child goes in round h. The edges that
+    are left are written per round, so a round only touches what is still there. Raises when parts remain
+    but none of them is a leaf: they are on, or above, a cycle.
     """
-    parts = edges.select(F.col("assembly").alias("part")).union(edges.select("part")).distinct()
-    h = materialize(parts.select("part", F.lit(0).alias("height")), "bom-height")
-    e = edges.select("assembly", F.col("part").alias("__child"))
-    for _ in range(max_depth + 1):
-        up = (e.join(h, e["__child"] == h["part"]).groupBy("assembly")
-              .agg((F.max("height") + 1).alias("__h")))
-        nxt = (h.join(up, h["part"] == up["assembly"], "left")
-               .select("part", F.greatest(F.col("height"), F.coalesce(F.col("__h"), F.lit(0))).alias("height"),
-                       (F.coalesce(F.col("__h"), F.lit(0)) > F.col("height")).alias("__grew")))
-        nxt, seen = materialize_observed(nxt, "bom-height", grew=F.count_if(F.col("__grew")))
-        if not seen["grew"]:
-            return nxt.drop("__grew")
-        h = nxt.drop("__grew")
-    raise ValueError("the bill of materials has a cycle or is too deep")
+    left = materialize(edges.select("assembly", "part").distinct(), "bom-left")
+    assemblies = left.select(F.col("assembly").alias("part")).distinct()
+    level = left.select("part").distinct().join(assemblies, "part", "left_anti")
+    level = materialize(level.withColumn("height", F.lit(0)), "bom-height")
+    done = [level]
+    while True:
+        rest, seen = materialize_observed(left.join(level.select("part"), "part", "left_anti").select("assembly", "part"), "bom-left")
+        nxt = left.select("assembly").distinct().join(rest.select("assembly").distinct(), "assembly", "left_anti")
+        level, found = materialize_observed(nxt.select(F.col("assembly").alias("part"), F.lit(len(done)).alias("height")), "bom-height")
+        if not found["rows"]:
+            if seen["rows"]:
+                raise ValueError("the bill of materials has a cycle")
+            return _union(done)
+        done.append(level)
+        left = rest
+
+
+def reachable(edges: DataFrame, parts: DataFrame) -> DataFrame:
+    """(part): the given parts and all below them; a part is visited once, so cycles don't matter."""
+    level = materialize(parts.select("part").distinct(), "bom-reach")
+    seen = [level]
+    while True:
+        nxt = (level.join(edges, level["part"] == edges["assembly"], "inner").select(edges["part"]).distinct()
+               .join(_union(seen), "part", "left_anti"))
+        level, stats = materialize_observed(nxt, "bom-reach")
+        if not stats["rows"]:
+            return _union(seen)
+        seen.append(level)
+
+
+def require_acyclic(edges: DataFrame, parts: DataFrame) -> None:
+    """Raise ValueError if a cycle can be reached from the parts."""
+    below = reachable(edges, parts).withColumnRenamed("part", "assembly")
+    part_heights(edges.select("assembly", "part").join(below, "assembly", "left_semi"))
 
 
 def part_info(edges: DataFrame, heights: DataFrame | None = None) -> DataFrame:
@@ -258,13 +309,13 @@ def first_anchors(nodes: DataFrame) -> DataFrame:
 
 
 def smallest_anchors(nodes: DataFrame) -> DataFrame:
-    """Node with the smallest quantity of each part (first in preorder on ties)."""
+    """Node with the smallest quantity of each part (first in preorder on ties; a null quantity comes last)."""
     a = nodes.groupBy(F.col("Node").alias("part")).agg(
-        F.min_by(F.struct("quantity", "description"), F.struct("quantity", "ord")).alias("__a"))
+        F.min_by(F.struct("quantity", "description"), F.struct(F.col("quantity").isNull(), "quantity", "ord")).alias("__a"))
     return a.select("part", F.col("__a.quantity").alias("a_quantity"), F.col("__a.description").alias("a_description"))
 
 
-def dag_first_anchors(edges: DataFrame, roots: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def dag_first_anchors(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """Preorder-first anchors without exploding paths: (part, a_quantity).
 
     On a DAG the smallest path key to a part is the smallest over its parents
@@ -273,38 +324,29 @@ def dag_first_anchors(edges: DataFrame, roots: DataFrame, max_depth: int = MAX_D
     rounds = the longest path.
     """
     e = _edge_cols(edges)
-    seed = roots.select("part", root_key(F.col("part")).alias("key"), F.lit(1.0).alias("a_quantity"))
-    best = materialize(seed, "bom-anchor")
-    for _ in range(max_depth + 1):
-        cand = best.join(e, best["part"] == e["e_assembly"]).select(
-            F.col("e_part").alias("part"), F.concat(F.col("key"), child_key(F.col("e_ord"), F.col("e_part")))
-            .alias("key"), F.col("e_quantity").alias("a_quantity"))
-        allc = seed.unionByName(cand)
-        nxt = allc.groupBy("part").agg(F.min_by(F.struct("key", "a_quantity"), F.col("key")).alias("__b")) \
-            .select("part", "__b.key", "__b.a_quantity")
-        prev = best.select("part", F.col("key").alias("__prev"))
-        nxt = nxt.join(prev, "part", "left")
-        nxt, seen = materialize_observed(
-            nxt.select("part", "key", "a_quantity", (~F.col("key").eqNullSafe(F.col("__prev"))).alias("__changed")),
-            "bom-anchor", changed=F.count_if(F.col("__changed")))
-        best = nxt.drop("__changed")
-        if not seen["changed"]:
+    best = roots.select("part", root_key(F.col("part")).alias("key"), F.lit(1.0).alias("a_quantity"))
+    best = delta = materialize(best, "bom-anchor")
+    rounds = 0
+    while True:
+        # only keys that changed in the last round can change others
+        cand = delta.join(e, delta["part"] == e["e_assembly"]).select(
+            F.col("e_part").alias("part"), F.concat(F.col("key"), child_key(F.col("e_ord"), F.col("e_part"))).alias("key"),
+            F.col("e_quantity").alias("a_quantity"))
+        cand = cand.groupBy("part").agg(F.min_by(F.struct("key", "a_quantity"), F.col("key")).alias("__b")).select("part", "__b.*")
+        old = best.select("part", F.col("key").alias("__old"))
+        cand = cand.join(old, "part", "left").where(F.col("__old").isNull() | (F.col("key") < F.col("__old"))).drop("__old")
+        delta, seen = materialize_observed(cand, "bom-anchor")
+        if not seen["rows"]:
             return best.select("part", "a_quantity")
-    raise ValueError("the bill of materials has a cycle or is too deep")
+        best = materialize(best.join(delta.select("part"), "part", "left_anti").unionByName(delta), "bom-anchor")
+        rounds += 1
+        if rounds == CHECK_AFTER:
+            require_acyclic(edges, delta)
 
 
-def dag_smallest_anchors(edges: DataFrame, roots: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """Smallest quantity over all occurrences of each reachable part: (part, a_quantity)."""
-    reach = materialize(roots.select("part").distinct(), "bom-reach")
-    seen = reach
-    for _ in range(max_depth + 1):
-        nxt = (reach.join(edges, reach["part"] == edges["assembly"]).select(edges["part"]).distinct()
-               .join(seen, "part", "left_anti"))
-        nxt, stats = materialize_observed(nxt, "bom-reach")
-        if not stats["rows"]:
-            break
-        seen = materialize(seen.unionByName(nxt), "bom-reach")
-        reach = nxt
+def dag_smallest_anchors(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """Smallest quantity over all occurrences of each reachable part: (part, a_quantity); null only where all are."""
+    seen = reachable(edges, roots)
     incoming = edges.join(seen.select(F.col("part").alias("assembly")), "assembly", "left_semi") \
         .select("part", "quantity")
     from_roots = roots.select("part", F.lit(1.0).alias("quantity"))
@@ -314,29 +356,34 @@ def dag_smallest_anchors(edges: DataFrame, roots: DataFrame, max_depth: int = MA
 # --- demand roll-down ---------------------------------------------------------------------------------
 
 def _rolldown(start: DataFrame, edges: DataFrame, props: DataFrame, record: Column, stop: Column,
-              form: str, max_depth: int) -> DataFrame:
+              form: str) -> DataFrame:
     """Push (part, value, description) down the BOM, recording rows that match ``record``.
 
     ``stop`` rows are neither recorded nor expanded. ``form='dag'`` sums the
     frontier per part after every level (descriptions are dropped). One
-    written table per level; the recorded rows are read from those tables.
+    written table per level, with what to record and where to stop; the recorded rows are read from those tables.
     """
     e = _edge_cols(edges)
-    level = materialize(start, "bom-roll")
-    out = []
-    for _ in range(max_depth + 1):
-        f = level.join(props, "part", "left").where(~stop)
-        out.append(f.where(record).select("part", "value", "description"))
-        nxt = f.join(e, f["part"] == e["e_assembly"]).select(
+
+    def flagged(rows: DataFrame) -> DataFrame:
+        return (rows.join(props, "part", "left").where(~F.coalesce(stop, F.lit(False)))
+                .select("part", "value", "description", F.coalesce(record, F.lit(False)).alias("__record")))
+
+    level = materialize(flagged(start), "bom-roll")
+    out = [level]
+    while True:
+        nxt = level.join(e, level["part"] == e["e_assembly"]).select(
             F.col("e_part").alias("part"), (F.col("value") * F.col("e_quantity")).alias("value"),
             F.col("e_description").alias("description"))
         if form == "dag":
             nxt = nxt.groupBy("part").agg(F.sum("value").alias("value")) \
                 .select("part", "value", F.lit(None).cast("string").alias("description"))
-        level, seen = materialize_observed(nxt, "bom-roll")
+        level, seen = materialize_observed(flagged(nxt), "bom-roll")
         if not seen["rows"]:
-            return _union(out)
-    raise ValueError("the bill of materials has a cycle or is too deep")
+            return _union([x.where("__record").drop("__record") for x in out])
+        out.append(level)
+        if len(out) == CHECK_AFTER:
+            require_acyclic(edges, level)
 
 
 def _root_demand(nodes: DataFrame, anchors: DataFrame, demand: DataFrame, statistic: str) -> DataFrame:
@@ -373,9 +420,7 @@ def materials_from_paths(nodes: DataFrame, edges: DataFrame, anchors: DataFrame,
     rows = rows.join(has, rows["Node"] == has["__p"], "left")
     rec = rows.where(leaf | contains_any(F.col("Node"), MOLD_BLANK_MARKERS)).select(
         F.col("Node").alias("partNumber"), F.col("value").alias(statistic), F.col("description").alias("partDescription"))
-    if elsewhere.take(1):
-        rec = rec.unionByName(bom_materials(edges, anchors, elsewhere, statistic))
-    return rec
+    return rec.unionByName(bom_materials(edges, anchors, elsewhere, statistic))
 
 
 def components_from_paths(nodes: DataFrame, edges: DataFrame, anchors: DataFrame, demand: DataFrame,
@@ -399,13 +444,11 @@ def components_from_paths(nodes: DataFrame, edges: DataFrame, anchors: DataFrame
     record = (h == 1) | F.coalesce(F.col("marker_child"), F.lit(False)) | xrace
     rec = rows.where(~blocked & ~stop & record).select(
         F.col("Node").alias("partNumber"), F.col("value").alias(statistic), F.col("description").alias("partDescription"))
-    if elsewhere.take(1):
-        rec = rec.unionByName(bom_components(edges, anchors, elsewhere, statistic, heights=heights))
-    return rec
+    return rec.unionByName(bom_components(edges, anchors, elsewhere, statistic, heights=heights))
 
 
 def bom_materials(edges: DataFrame, anchors: DataFrame, demand: DataFrame, statistic: str,
-                  form: str = "paths", max_depth: int = MAX_DEPTH) -> DataFrame:
+                  form: str = "paths") -> DataFrame:
     """Demand rolled down to materials: leaves and mold/blank parts (recursion continues
     through the latter). Start value = demand x the anchor node's own quantity.
 
@@ -422,7 +465,7 @@ def bom_materials(edges: DataFrame, anchors: DataFrame, demand: DataFrame, stati
             .select("part", "value", F.lit(None).cast("string").alias("description"))
     props = part_info(edges)
     record = ~F.coalesce(F.col("has_children"), F.lit(False)) | contains_any(F.col("part"), MOLD_BLANK_MARKERS)
-    rows = _rolldown(start, edges, props, record, F.lit(False), form, max_depth)
+    rows = _rolldown(start, edges, props, record, F.lit(False), form)
     rows = rows.select(F.col("part").alias("partNumber"), F.col("value").alias(statistic),
                        F.col("description").alias("partDescription"))
     if form == "dag":
@@ -432,7 +475,7 @@ def bom_materials(edges: DataFrame, anchors: DataFrame, demand: DataFrame, stati
 
 
 def bom_components(edges: DataFrame, anchors: DataFrame, demand: DataFrame, statistic: str,
-                   heights: DataFrame | None = None, form: str = "paths", max_depth: int = MAX_DEPTH) -> DataFrame:
+                   heights: DataFrame | None = None, form: str = "paths") -> DataFrame:
     """Demand rolled down to components one level above the leaves.
 
     Stop at (mold/blank or leaf) unless an X-race; record at height 1, when a
@@ -453,7 +496,7 @@ def bom_components(edges: DataFrame, anchors: DataFrame, demand: DataFrame, stat
     xrace = contains_any(F.col("part"), X_RACE_MARKERS)
     stop = (mark | (h < 1)) & ~xrace
     record = (h == 1) | F.coalesce(F.col("marker_child"), F.lit(False)) | xrace
-    rows = _rolldown(start, edges, props, record, stop, form, max_depth)
+    rows = _rolldown(start, edges, props, record, stop, form)
     rows = rows.select(F.col("part").alias("partNumber"), F.col("value").alias(statistic),
                        F.col("description").alias("partDescription"))
     if form == "dag":
@@ -472,8 +515,6 @@ def material_requirements(demand: DataFrame, edges: DataFrame, roots: DataFrame,
     """
     from partflow.functions.semantics import merge
 
-    edges = materialize(edges, "bom-edges")
-    roots = materialize(roots, "bom-roots")
     sign = 1.0 if in_process == "add" else -1.0
     net = F.col(statistic) - (F.col("quantityOnHand") - sign * F.col("quantityToMake"))
     d = demand.select("partNumber", net.alias(statistic)).where(F.col(statistic) > 0)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partflow.functions.patterns import HOUSE_ACCOUNT
-from partflow.functions.scalar import format_yy, iso_date, lead_days, to_hours, years_before
+from partflow.functions.scalar import iso_date, lead_days, to_hours, year_before
 from partflow.functions.semantics import first_non_null, merge, not_equal_keep_null, row_order
-from partflow.sources.entity import lookup_in, read_entity
+from partflow.sources.entity import after_time, lookup_in, read_entity
 
 INVOICE_FIELDS = "invoiceNumber,invoiceDate,customerCode"
 INVOICE_DETAIL_FIELDS = ("partNumber,partDescription,quantityShipped,quantityText,unitPrice,"
@@ -24,12 +26,6 @@ JOB_MATERIAL_FIELDS = "orderNumber,partNumber,stepNumber,datePosted,quantityPost
 MATERIAL_FIELDS = "partNumber,subPartNumber,description,quantity,ord"
 
 
-def _after(col: str, start: str | Column) -> Column:
-    """ISO date-time text strictly after a date (the API's ``[gt]`` filter)."""
-    bound = F.to_timestamp(F.lit(start)) if isinstance(start, str) else start.cast("timestamp")
-    return F.to_timestamp(F.col(col)) > bound
-
-
 def sales(source, start_date: str, detail_fields: str = INVOICE_DETAIL_FIELDS,
           null_safe_keys: bool = True) -> DataFrame:
     """Invoice lines of invoices dated after ``start_date`` with invoiceDate and customerCode.
@@ -40,7 +36,7 @@ def sales(source, start_date: str, detail_fields: str = INVOICE_DETAIL_FIELDS,
     ``null_safe_keys=False`` (invoice numbers never null) the join keeps a
     bucketed layout of both entities co-located.
     """
-    inv = read_entity(source, "ar_invoices", INVOICE_FIELDS).where(_after("invoiceDate", start_date))
+    inv = read_entity(source, "ar_invoices", INVOICE_FIELDS).where(after_time("invoiceDate", start_date))
     det = read_entity(source, "ar_invoice_details", detail_fields)
     return merge(det, inv, "invoiceNumber", "inner", null_safe=null_safe_keys)
 
@@ -48,7 +44,7 @@ def sales(source, start_date: str, detail_fields: str = INVOICE_DETAIL_FIELDS,
 def purchases(source, start_date: str) -> DataFrame:
     """PO lines finished after ``start_date`` left-joined to their PO headers (status_x/_y)."""
     lines = (read_entity(source, "purchase_order_line_items", PO_LINE_FIELDS)
-             .where(_after("dateFinished", start_date))
+             .where(after_time("dateFinished", start_date))
              .withColumnRenamed("purchaseOrderNumber", "PONumber"))
     heads = read_entity(source, "purchase_orders", PO_FIELDS)
     return merge(lines, heads, "PONumber", "left")
@@ -61,7 +57,7 @@ def order_items(source, start_date: str) -> DataFrame:
     ``orders.merge(lines, how='left')``; every looked-up order has a line, so
     this is an inner join with the order columns first (status_x = order).
     """
-    lines = read_entity(source, "order_line_items", ORDER_LINE_FIELDS).where(_after("dateFinished", start_date))
+    lines = read_entity(source, "order_line_items", ORDER_LINE_FIELDS).where(after_time("dateFinished", start_date))
     orders = read_entity(source, "stg_orders", ORDER_FIELDS)
     return merge(orders, lines, "orderNumber", "inner")
 
@@ -80,14 +76,20 @@ def jobs(source, start_date: str, order_items_df: DataFrame) -> tuple[DataFrame,
     jobs = order routings of the given orders, full-outer-joined to estimated
     routings on (partNumber, stepNumber); right-side clashes get ``_estimate``.
     """
-    posted_after = years_before(F.to_date(F.lit(start_date)))
-    job_mat = read_entity(source, "job_materials", JOB_MATERIAL_FIELDS).where(_after("datePosted", posted_after))
+    posted_after = year_before(start_date)
+    job_mat = read_entity(source, "job_materials", JOB_MATERIAL_FIELDS).where(after_time("datePosted", posted_after))
     routes = lookup_in(read_entity(source, "order_routings", ORDER_ROUTING_FIELDS), "orderNumber",
                        order_items_df.select("orderNumber"))
     est_mat = read_entity(source, "materials", MATERIAL_FIELDS)
-    joined = merge(routes, estimate_routings(source), ["partNumber", "stepNumber"], "full_outer",
-                   suffixes=("", "_estimate"))
-    return joined, job_mat, est_mat
+    est, keys = estimate_routings(source), ["partNumber", "stepNumber"]
+    # all routings with their estimates, then the estimates without a routing: unlike a full outer
+    # join, both can split a hot key or send a small side to all
+    joined = merge(routes, est, keys, "left", suffixes=("", "_estimate"))
+    own = routes.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+    only = est.join(own, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]), "left_anti")
+    clash = set(routes.columns) & set(est.columns) - set(keys)
+    only = only.select(*[F.col(c).alias(c + "_estimate") if c in clash else F.col(c) for c in only.columns])
+    return joined.unionByName(only, allowMissingColumns=True), job_mat, est_mat
 
 
 def _conditional_sum(pred: Column, value: str) -> Column:
@@ -149,17 +151,14 @@ def lead_times(purchases_df: DataFrame, order: str = "text") -> DataFrame:
     finished = iso_date(F.col("dateFinished"))
     p = p.select("partNumber",
                  lead_days(finished, iso_date(F.col("dateEntered"))).alias("leadTime"),
-                 format_yy(finished).alias("lastDateReceived"),
                  finished.alias("__finished"))
-    key = F.col("lastDateReceived") if order == "text" else F.col("__finished")
-    best = F.max_by(F.struct("leadTime", "lastDateReceived"), F.struct(key, F.col("leadTime")))
-    return p.groupBy("partNumber").agg(best.alias("__b")).select("partNumber", "__b.leadTime",
-                                                                  "__b.lastDateReceived")
-
-
-def with_quarter(df: DataFrame, quarter_df: DataFrame, statistic: str) -> DataFrame:
-    return merge(df, quarter_df.select("partNumber", f"{statistic}_quarter"), "partNumber", "left")
-
-
-def with_inventory(df: DataFrame, inventory_df: DataFrame) -> DataFrame:
-    return merge(df, inventory_df, "partNumber", "left")
+    # date and lead time in one number, so that a plain max is the aggregate: it hashes, where a text or
+    # struct buffer would sort all rows
+    d = F.col("__finished")
+    rank = ((F.year(d) % 100) if order == "text" else F.year(d)) * 10_000 + F.month(d) * 100 + F.day(d)
+    packed = rank.cast("bigint") * F.lit(1 << 24) + (F.col("leadTime") + F.lit(1 << 23))
+    best = p.groupBy("partNumber").agg(F.max(packed).alias("__b"))
+    lead = F.col("__b") % F.lit(1 << 24) - F.lit(1 << 23)
+    rank = F.shiftright("__b", 24)
+    text = F.format_string("%02d-%02d-%02d", F.floor(rank / 10_000) % 100, F.floor(rank / 100) % 100, rank % 100)
+    return best.select("partNumber", lead.alias("leadTime"), text.alias("lastDateReceived"))

@@ -263,8 +263,8 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
 def kde_curve(df: DataFrame, col: str, gridsize: int = 200, bins: int = 20, cut: float = 0.0) -> DataFrame:
     """Gaussian KDE (Scott bandwidth n^-1/5 * sd) on ``gridsize`` points, scaled to histogram counts.
 
-    Each value emits its contribution to every grid point and the points are
-    summed: linear in the data, combined map-side.
+    Each distinct value emits its contribution to every grid point, times its count; the points are
+    summed map-side. No curve (no rows) without a bandwidth: fewer than two values, or all equal.
     """
     v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
     v = materialize(v, "kde-values")  # read for the statistics and for the curve
@@ -273,10 +273,11 @@ def kde_curve(df: DataFrame, col: str, gridsize: int = 200, bins: int = 20, cut:
     bw = F.col("__bw")
     g0 = F.col("__min") - bw * cut
     step = ((F.col("__max") + bw * cut) - g0) / (gridsize - 1)
-    pts = _with_stats(v, stats).select("*", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("point"))
+    v = v.groupBy("v").agg(F.count(F.lit(1)).alias("__times"))
+    pts = _with_stats(v, stats).where(bw > 0).select("*", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("point"))
     x = g0 + F.col("point") * step
     dens = F.exp(-0.5 * F.pow((x - F.col("v")) / bw, 2)) / (bw * math.sqrt(2 * math.pi))
     binw = (F.col("__max") - F.col("__min")) / bins
-    return (pts.groupBy("point", x.alias("x"), binw.alias("__binw")).agg(F.sum(dens).alias("__d"))
+    return (pts.groupBy("point", x.alias("x"), binw.alias("__binw")).agg(F.sum(dens * F.col("__times")).alias("__d"))
             .select(F.col("point").cast("bigint").alias("point"), "x",
                     (F.col("__d") * F.col("__binw")).alias("density")))

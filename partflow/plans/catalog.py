@@ -328,7 +328,8 @@ def q_tree_rows(spark, sf_dir):
 
 @query("prune_tree")
 def q_prune_tree(spark, sf_dir):
-    return bom.prune_tree(_nodes(spark, sf_dir)[3]).select(*_NODE_COLS)
+    _, _, edges, roots = _bom(spark, sf_dir, False)
+    return bom.prune_dag(edges, roots).select(*_NODE_COLS)
 
 
 @query("node_height")
@@ -389,7 +390,7 @@ def q_top_terms_per_cluster(spark, sf_dir):
 # --- sinks and cached / paged sources ---------------------------------------------------------------------
 
 from partflow.session import scratch_path  # noqa: E402
-from partflow.sources import paged, sinks  # noqa: E402
+from partflow.sources import sinks  # noqa: E402
 
 
 @query("load_tree")
@@ -418,10 +419,20 @@ def q_materialize_once(spark, sf_dir):
     return entity.materialize_once(inv, "ar_invoices", key=f"{sf_dir}|{flt}", root=scratch_path(spark, "cache"))
 
 
-@query("paged_json_source")
-def q_paged_json_source(spark, sf_dir):
-    """Events written as 200-record JSON pages, read back one partition per page."""
+@query("materialize_once_hit")
+def q_materialize_once_hit(spark, sf_dir):
+    """A second request with the same key: the written rows come back though the frame that asks has none."""
+    t = _t(spark, sf_dir)
+    flt, root = f"invoiceDate[gt]={PARAMS['sales_start']}", scratch_path(spark, "cache")
+    inv = entity.read_entity(t, "ar_invoices", orders.INVOICE_FIELDS, filter_string=flt)
+    entity.materialize_once(inv, "ar_invoices", key=f"{sf_dir}|{flt}", root=root)
+    return entity.materialize_once(inv.where(F.lit(False)), "ar_invoices", key=f"{sf_dir}|{flt}", root=root)
+
+
+@query("json_pages")
+def q_json_pages(spark, sf_dir):
+    """Events as page documents of 200 records, ``{"Data": [..]}``, decoded again."""
     ev = _t(spark, sf_dir).base("events").select("event_id", "event_type", "value")
-    loc = scratch_path(spark, "pages")
-    n = paged.write_json_pages(ev, loc, "event_id")
-    return paged.read_json_pages(spark, loc, n, ev.schema)
+    docs = (ev.groupBy(F.floor(F.col("event_id") / entity.PAGE_SIZE).alias("page"))
+            .agg(F.to_json(F.struct(F.collect_list(F.struct(*ev.columns)).alias("Data"))).alias("body")))
+    return entity.json_pages(docs, "body", ev.schema)

@@ -244,7 +244,7 @@ _NODES = ("nodes(root, Node, Parent, depth, quantity, description, ord, names)",
   SELECT part, part, 'Root', 1, CAST(1.0 AS DOUBLE), description, hex(part) || '!', [part] FROM roots
   UNION ALL
   SELECT n.root, e.part, n.Node, n.depth + 1, e.quantity, e.description,
-    n.ord || lpad(CAST(e.ord AS VARCHAR), 12, '0') || hex(e.part) || '!', list_append(n.names, e.part)
+    n.ord || lpad(CAST(CAST(e.ord AS HUGEINT) + 9223372036854775808 AS VARCHAR), 20, '0') || hex(e.part) || '!', list_append(n.names, e.part)
   FROM nodes n JOIN edges e ON e.assembly = n.Node""")
 _BOM_VIEWS = _SALES_VIEWS + ["materials"]
 _BOM = [_SALES, _CLEAN, _PER_PART, _EDGES, _ROOTS, _NODES]
@@ -345,4 +345,5 @@ ORACLE["write_size_sheets"] = ORACLE["size_forecast"].replace(
     "WHERE p.Category IS NOT NULL", "WHERE p.Category IS NOT NULL AND p.MotorSize IS NOT NULL")
 ORACLE["materialize_once"] = with_views(["ar_invoices"], [], f"""
 SELECT invoiceNumber, invoiceDate, customerCode FROM ar_invoices WHERE {_AFTER.format(c='invoiceDate', d=_S)}""")
-ORACLE["paged_json_source"] = "SELECT event_id, event_type, value FROM events"
+ORACLE["json_pages"] = "SELECT event_id, event_type, value FROM events"
+ORACLE["materialize_once_hit"] = ORACLE["materialize_once"]

@@ -40,9 +40,9 @@ FROM orders""",
     "routings": """SELECT partNumber, s.id AS stepNumber, concat('WC', CAST((p_partkey + s.id) % 5 AS STRING)) AS workCenter,
   CAST(10 + p_partkey % 50 AS DOUBLE) AS setupTime, CASE p_partkey % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'S' ELSE 'H' END AS timeUnit,
   CAST(5 + p_partkey % 40 AS DOUBLE) AS cycleTime, CASE p_partkey % 2 WHEN 0 THEN 'M' ELSE 'S' END AS cycleUnit
-FROM stg_part CROSS JOIN (SELECT 1 AS id UNION ALL SELECT 2 UNION ALL SELECT 3) s""",
+FROM stg_part CROSS JOIN (SELECT unnest([1, 2, 3, 4, 5, 6, 7]) AS id) s""",
     "order_routings": """SELECT l_orderkey AS orderNumber, partNumber, l_linenumber AS stepNumber, concat('WC', CAST(l_suppkey % 5 AS STRING)) AS workCenter, l_quantity AS estimatedQuantity
-FROM lineitem JOIN stg_part ON l_partkey = p_partkey WHERE l_linenumber <= 4""",
+FROM lineitem JOIN stg_part ON l_partkey = p_partkey""",
     "materials": """SELECT a.partNumber AS partNumber, c.partNumber AS subPartNumber, c.partDescription AS description, e.quantity AS quantity, e.ord AS ord FROM (
   SELECT p_partkey AS pk, 3*p_partkey+1 AS ck, CAST(1 + p_partkey % 3 AS DOUBLE) AS quantity, 0 AS ord FROM part
   UNION ALL SELECT p_partkey, 3*p_partkey+2, CAST(1 + p_partkey % 4 AS DOUBLE), 1 FROM part
@@ -51,7 +51,7 @@ FROM lineitem JOIN stg_part ON l_partkey = p_partkey WHERE l_linenumber <= 4""",
 JOIN stg_part a ON a.p_partkey = e.pk JOIN stg_part c ON c.p_partkey = e.ck""",
     "job_materials": """SELECT l_orderkey AS orderNumber, partNumber, l_linenumber AS stepNumber, concat(CAST(CAST(l_shipdate AS DATE) AS STRING),'T00:00:00') AS datePosted, l_quantity AS quantityPosted1
 FROM lineitem JOIN stg_part ON l_partkey = p_partkey""",
-    "inventory": """SELECT partNumber, partDescription, CAST(p_partkey % 30 AS DOUBLE) AS quantityOnHand FROM stg_part WHERE p_partkey % 10 <> 0""",
+    "inventory": """SELECT partNumber, partDescription, CASE WHEN p_partkey % 10 <> 0 THEN CAST(p_partkey % 30 AS DOUBLE) END AS quantityOnHand FROM stg_part""",
     "employees": """SELECT s_suppkey AS employeeCode, s_name AS employeeName, s_acctbal > 0 AS active, s_nationkey AS departmentNumber FROM supplier""",
 }
 

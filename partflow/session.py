@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+# Only for a local master: on a cluster the executors must reach the driver by its own name.
+_LOCAL = {"spark.driver.host": "127.0.0.1", "spark.driver.memory": "8g"}
+
 # Settings that keep plans adaptive and results deterministic across engines.
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -16,8 +19,6 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.driver.host": "127.0.0.1",
-    "spark.driver.memory": "8g",
     # Long sessions run many short jobs: let the context cleaner drop old shuffle files and
     # broadcasts regularly instead of waiting for a full GC of the driver heap.
     "spark.cleaner.periodicGC.interval": "5min",
@@ -35,7 +36,7 @@ def get_session(master: str | None = None, app: str = "partflow",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(_DEFAULTS)
+    conf = dict(_DEFAULTS) | (_LOCAL if (master or "").startswith("local") else {})
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

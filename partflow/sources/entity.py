@@ -43,15 +43,34 @@ def split_fields(fields: str | Iterable[str]) -> list[str]:
 _FILTER = re.compile(r"^(?P<field>[^\[=]+)(\[(?P<op>gt|in)\])?=(?P<value>.*)$")
 
 
-def _typed(df: DataFrame, field: str, value: str) -> tuple[Column, Column]:
-    """Column and literal compared in the column's own type; ISO date-time text compares as time."""
+_ISO = re.compile(r"\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}:\d{2}(\.\d+)?)?")
+
+
+def after_time(col: str, start: str) -> Column:
+    """ISO date-time text strictly after a time; text that is no time doesn't match.
+
+    The plain text bound beside the exact condition (ISO text sorts as time does) reaches the scan, so
+    row groups before the date are not read.
+    """
+    return (F.col(col) >= F.lit(start[:10])) & (F.try_to_timestamp(F.col(col)) > F.to_timestamp(F.lit(start)))
+
+
+def _compared(df: DataFrame, field: str, op: str | None, value: str) -> Column:
+    """Equality in the column's own type; ``[gt]`` on text with an ISO date or date-time compares time."""
     dtype = df.schema[field].dataType
-    col = F.col(field)
-    if isinstance(dtype, T.StringType):
-        if re.match(r"^\d{4}-\d{2}-\d{2}", value):
-            return F.to_timestamp(col), F.to_timestamp(F.lit(value))
-        return col, F.lit(value)
-    return col, F.lit(value).cast(dtype)
+    if not isinstance(dtype, T.StringType):
+        lit = F.lit(value).cast(dtype)
+        return F.col(field) > lit if op == "gt" else F.col(field) == lit
+    if op != "gt":
+        return F.col(field) == F.lit(value)
+    return after_time(field, value) if _ISO.fullmatch(value) else F.col(field) > F.lit(value)
+
+
+def key_to_string(key) -> str | None:
+    """A lookup key as the API writes it: whole numbers without a decimal point, text as it is."""
+    if key is None or isinstance(key, str):
+        return key
+    return str(int(key)) if float(key).is_integer() else repr(float(key))
 
 
 def filter_condition(df: DataFrame, filter_string: str) -> Column | None:
@@ -67,8 +86,7 @@ def filter_condition(df: DataFrame, filter_string: str) -> Column | None:
             dtype = df.schema[field].dataType
             c = col.isin([F.lit(v).cast(dtype) for v in value.split("|")])
         else:
-            col, lit = _typed(df, field, value)
-            c = col > lit if op == "gt" else col == lit
+            c = _compared(df, field, op, value)
         cond = c if cond is None else cond & c
     return cond
 
@@ -86,7 +104,7 @@ def lookup_in(df: DataFrame, field: str, keys, null_safe: bool = False) -> DataF
     """
     dtype = df.schema[field].dataType
     if not isinstance(keys, DataFrame):
-        keys = df.sparkSession.createDataFrame([(k,) for k in keys], "k string")
+        keys = df.sparkSession.createDataFrame([(key_to_string(k),) for k in keys], "k string")
     k = keys.select(keys.columns[0]).toDF("__key")
     k = k.select(F.col("__key").cast(dtype).alias("__key")).distinct()
     cond = df[field].eqNullSafe(k["__key"]) if null_safe else df[field] == k["__key"]
@@ -119,7 +137,7 @@ def page(df: DataFrame, order_by: Iterable[str], skip: int = 0, take: int = PAGE
 
 def page_after(df: DataFrame, order_by: Iterable[str], after: tuple | None = None,
                take: int = PAGE_SIZE) -> DataFrame:
-    """Keyset paging: the ``take`` rows that follow the key tuple ``after`` in ``order_by`` order.
+    """Keyset paging: the ``take`` rows that follow the key tuple ``after`` in ``order_by`` order (nulls first).
 
     The "greater than the last key" predicate is a filter (pushed to the scan
     where possible), so every page costs the same whatever its position.
@@ -128,9 +146,10 @@ def page_after(df: DataFrame, order_by: Iterable[str], after: tuple | None = Non
     if after is not None:
         cond = None
         for i in range(len(cols) - 1, -1, -1):
-            here = F.col(cols[i]) > F.lit(after[i])
+            c = F.col(cols[i])
+            here = c.isNotNull() if after[i] is None else F.coalesce(c > F.lit(after[i]), F.lit(False))
             if cond is not None:
-                here = here | ((F.col(cols[i]) == F.lit(after[i])) & cond)
+                here = here | (c.eqNullSafe(F.lit(after[i])) & cond)
             cond = here
         df = df.where(cond)
     return df.orderBy(*cols).limit(take)
@@ -154,21 +173,32 @@ def employees(source) -> DataFrame:
     return read_entity(source, "employees", "employeeCode,employeeName,active,departmentNumber")
 
 
-def materialize_once(df: DataFrame, name: str, key: str = "", root: str | None = None,
+# CSV that gives back what was written: line breaks, quotes, padding, and empty text apart from null.
+CSV_EXACT = {"header": "true", "multiLine": "true", "quoteAll": "true", "quote": '"', "escape": '"', "lineSep": "\n", "nullValue": "\u0000",
+             "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Whether a writer has committed the folder."""
+    jvm = spark.sparkContext._jvm
+    mark = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
+def materialize_once(df: DataFrame, name: str, key: str, root: str | None = None,
                      fmt: str = "parquet") -> DataFrame:
     """Write ``df`` once under a path keyed by entity + predicate, then always read it back.
 
-    Unlike a cache keyed by the table name only, a different column list or
-    filter gets a different path, so a hit is never stale for another request.
+    ``key`` names the request (source and filter); with the columns and their types it gives the path, so another
+    column list or filter gets another path. Only a folder that its writer has committed counts as
+    there; what an interrupted writer left is written over.
     """
+    if not key:
+        raise ValueError("a key that names the source and the filter is needed")
     spark = df.sparkSession
-    digest = hashlib.sha1(f"{key}|{','.join(df.columns)}".encode()).hexdigest()[:16]
+    digest = hashlib.sha1(f"{key}|{df.schema.json()}".encode()).hexdigest()[:16]
     path = f"{(root or checkpoint_dir(spark) + '/entity-cache').rstrip('/')}/{name}-{digest}"
-    writer = df.write.mode("ignore").format(fmt)
-    if fmt == "csv":
-        writer = writer.option("header", True)
-    writer.save(path)
-    reader = spark.read.format(fmt).schema(df.schema)
-    if fmt == "csv":
-        reader = reader.option("header", True)
-    return reader.load(path)
+    options = CSV_EXACT if fmt == "csv" else {}
+    if not _complete(spark, path):
+        df.write.mode("overwrite").format(fmt).options(**options).save(path)
+    return spark.read.format(fmt).schema(df.schema).options(**options).load(path)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partflow.functions.patterns import TREE_CSV_HEADER, TREE_ROOT_PARENT
+from partflow.sources.entity import CSV_EXACT
 
 TREE_SCHEMA = T.StructType([
     T.StructField("Node", T.StringType()), T.StructField("Parent", T.StringType()),
@@ -27,20 +28,25 @@ def write_size_sheets(forecast: DataFrame, materials: DataFrame | None, root: st
     stamp = (today or _dt.date.today()).strftime("%y-%m-%d")
     out = f"{root.rstrip('/')}/sizeForecasts_{stamp}"
     sheets = forecast.where(F.col("MotorSize").isNotNull()).drop("Category")
-    sheets.write.mode("overwrite").partitionBy("MotorSize").option("header", True).csv(f"{out}/sheets")
+    # a size's rows meet in few tasks (more for a large size), else every task would write a file per size
+    sheets.hint("rebalance", "MotorSize").write.mode("overwrite").partitionBy("MotorSize").options(**CSV_EXACT).csv(f"{out}/sheets")
     if materials is not None:
-        materials.write.mode("overwrite").option("header", True).csv(f"{out}/Materials")
+        materials.write.mode("overwrite").options(**CSV_EXACT).csv(f"{out}/Materials")
     return out
 
 
 def read_size_sheets(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """Read the sheets back; ``schema`` must include MotorSize as a string (no type inference)."""
-    return spark.read.schema(schema).option("header", True).csv(f"{folder}/sheets")
+    return spark.read.schema(schema).options(**CSV_EXACT).csv(f"{folder}/sheets")
+
+
+def read_materials_sheet(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).options(**CSV_EXACT).csv(f"{folder}/Materials")
 
 
 def save_tree(rows: DataFrame, path: str) -> str:
     """Tree node table -> CSV with header Node, Parent, Depth, Description, Quantity (+ ord)."""
-    rows.select(*TREE_CSV_HEADER, "ord").write.mode("overwrite").option("header", True).csv(path)
+    rows.select(*TREE_CSV_HEADER, "ord").write.mode("overwrite").options(**CSV_EXACT).csv(path)
     return path
 
 
@@ -51,7 +57,7 @@ def load_tree(spark: SparkSession, path: str, check_parents: bool = True) -> Dat
     attributes and parent of its **last** row (by the saved preorder key).
     Depth is ignored. A parent that is not a node raises.
     """
-    rows = spark.read.schema(TREE_SCHEMA).option("header", True).csv(path)
+    rows = spark.read.schema(TREE_SCHEMA).options(**CSV_EXACT).csv(path)
     last = rows.groupBy("Node").agg(
         F.max_by(F.struct("Parent", "Description", "Quantity", "ord"), F.col("ord")).alias("__l"))
     nodes = last.select("Node", "__l.Parent", "__l.Description", "__l.Quantity", "__l.ord")

@@ -132,7 +132,7 @@ def purchase_orders(t: Tables) -> DataFrame:
 def routings(t: Tables) -> DataFrame:
     pk = F.col("p_partkey")
     steps = stg_part(t).select("p_partkey", "partNumber",
-                               F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("stepNumber"))
+                               F.explode(F.sequence(F.lit(1), F.lit(7))).alias("stepNumber"))
     return steps.select(
         "partNumber", "stepNumber",
         F.concat(F.lit("WC"), ((pk + F.col("stepNumber")) % 5).cast("string")).alias("workCenter"),
@@ -143,7 +143,7 @@ def routings(t: Tables) -> DataFrame:
 
 
 def order_routings(t: Tables) -> DataFrame:
-    return _lines_with_part(t).where(F.col("l_linenumber") <= 4).select(
+    return _lines_with_part(t).select(
         F.col("l_orderkey").alias("orderNumber"), "partNumber",
         F.col("l_linenumber").alias("stepNumber"),
         F.concat(F.lit("WC"), (F.col("l_suppkey") % 5).cast("string")).alias("workCenter"),
@@ -180,8 +180,8 @@ def job_materials(t: Tables) -> DataFrame:
 
 
 def inventory(t: Tables) -> DataFrame:
-    return stg_part(t).where(F.col("p_partkey") % 10 != 0).select(
-        "partNumber", "partDescription", (F.col("p_partkey") % 30).cast("double").alias("quantityOnHand"))
+    on_hand = F.when(F.col("p_partkey") % 10 != 0, (F.col("p_partkey") % 30).cast("double"))     # null: not counted
+    return stg_part(t).select("partNumber", "partDescription", on_hand.alias("quantityOnHand"))
 
 
 def employees(t: Tables) -> DataFrame:

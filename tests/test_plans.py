@@ -5,7 +5,6 @@ import pytest
 from __spark_entry__ import queries
 
 SF = "/root/testdata/sf0.001"
-PYTHON_SOURCES = {"paged_json_source"}   # reads through the Python data source by design
 
 
 @pytest.mark.parametrize("key", ["top_parts", "sales", "customer_ratio", "open_sales", "lead_times",
@@ -40,3 +39,9 @@ def test_customer_ratio_reads_sales_once(spark):
     """Per-customer sums are written once; the substring pairs come from an equi-join."""
     plan = queries()["customer_ratio"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("lineitem.parquet") <= 1 and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_jobs_has_no_full_outer_join(spark):
+    """A full outer join can neither be split on a hot key nor sent to all."""
+    plan = queries()["jobs"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in plan and "LeftAnti" in plan and "LeftOuter" in plan

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from partflow.functions.semantics import union_missing
 from partflow.operators import bom, reports
-from partflow.sources import entity, paged, sinks
+from partflow.sources import entity, sinks
 
 
 def _lines(spark):
@@ -49,16 +49,6 @@ def test_json_pages_and_collection(spark):
     assert rows(entity.json_collection(ev, "props", "k bigint", keep=["id"])) == [(1, 5), (2, None)]
 
 
-def test_paged_source_reads_every_page(spark):
-    df = spark.range(0, 1000).select(F.col("id").alias("event_id"), (F.col("id") * 2).alias("v"))
-    loc = tempfile.mkdtemp(prefix="pages-") + "/p"
-    n = paged.write_json_pages(df, loc, "event_id", page_size=200)
-    assert n == 5
-    back = paged.read_json_pages(spark, loc, n, df.schema, pages_per_partition=2)
-    assert back.rdd.getNumPartitions() == 3
-    assert rows(back) == rows(df)
-
-
 def test_materialize_once_is_keyed(spark):
     root = tempfile.mkdtemp(prefix="cache-")
     a = spark.createDataFrame([(1,)], "x int")
@@ -106,13 +96,3 @@ def test_keyset_paging_walks_every_row_once(spark):
     assert [r["v"] for r in entity.page(df, ["a", "b"], skip=7, take=7).collect()] == seen[7:14]
 
 
-def test_keyed_lookup_source_batches(spark):
-    loc = tempfile.mkdtemp(prefix="api-")
-    with open(f"{loc}/inventory.json", "w") as fh:
-        for i in range(50):
-            fh.write(f'{{"partNumber": "PN{i}", "quantityOnHand": {i}.0}}\n')
-    keys = [f"PN{i}" for i in range(0, 50, 3)] + ["missing"]
-    df = paged.lookup_json(spark, loc, "partNumber", keys, "partNumber string, quantityOnHand double", batch=5)
-    assert df.rdd.getNumPartitions() == 4
-    assert rows(df) == sorted((f"PN{i}", float(i)) for i in range(0, 50, 3))
-    assert paged.lookup_json(spark, loc, "partNumber", [], "partNumber string").count() == 0
