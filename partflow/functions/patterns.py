@@ -1,20 +1,4 @@
 """Fixed values that must equal the reference's for identical results.
-
-Fixed values (verbatim, natural order):
-
-* description exclusion list, case-insensitive substrings:
-  scrap|return|inspection|labor|freight|black|replace|maintenance|reweld|re-weld|bit ball|screw|bit|balls|set
-* part-number exclusion list, case-insensitive substrings:
-  scrap|return|inspection|labor|freight|black|replace|balls|bit ball|set|screw|rw|skim
-* mold / blank markers in part names: BK, KM, BM, BNK, BVM, JM, XM
-* X-race markers in part names: 15X, 16X, 15EX, 16EX
-* categories removed from the relative-to-baseline table:
-  Compression Tools, Jaw Clutch Center, Adjustable Bent Housings
-* denominator category: Mandrels; category excluded from reports: none (case-insensitive)
-* BOM root label Root; tree CSV header Node, Parent, Depth, Description, Quantity;
-  root row Parent ROOT, Depth 0, Description N/A, Quantity 0
-* time units: M = minutes (divide by 60), S = seconds (divide by 3600)
-* paging: 200 records per page; lookups: 300 keys per request (transport only)
 """
 
 # --- fixed values -----------------------------------------------------------------

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from partflow.operators.topk import top_n_per_group
+from partflow.session import materialize
 
 # Fixed value: a token is a run of two or more letters, digits or underscores
 # (the default token rule of the usual TF-IDF vectoriser, in Unicode classes).
@@ -21,12 +22,13 @@ def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep
 def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc, term, weight): raw count x smooth idf (ln((1+n)/(1+df)) + 1), L2-normalised per document.
 
-    The term counts combine map-side; document frequencies are an aggregate
-    joined back on the term (AQE splits a skewed term or broadcasts a small
-    vocabulary); the norm is a window over one document.
+    The texts are tokenised once: the term counts (summed map-side) and the document frequencies are
+    written, so the join on the term reads two tables, and a term of every document can be
+    split or its small vocabulary sent to all. The norm is a window over one document.
     """
     tf = tokens(docs, id_col, text_col, keep).groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    tf = materialize(tf, "term-counts")
+    dfreq = materialize(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "document-counts")
     n = docs.select(F.count(F.lit(1))).scalar()
     w = tf.join(dfreq, "term")
     raw = F.col("tf") * (F.log((n + 1) / (F.col("df") + 1)) + 1)
@@ -42,10 +44,11 @@ def top_terms_per_cluster(weights: DataFrame, clusters: DataFrame, n: int = 3, i
     The mean divides by every document of the cluster (a missing term counts
     as 0). Means are rounded to ``digits`` before ranking so that float
     summation order cannot reorder ties; ties go to the smaller term. A
-    cluster with fewer than n terms is not padded.
+    cluster with fewer than n terms is not padded. Weights that carry the cluster (``keep`` of
+    :func:`tfidf`) aren't joined to the clusters again.
     """
     sizes = clusters.groupBy(cluster_col).agg(F.count(F.lit(1)).alias("__docs"))
-    w = weights.join(clusters.select(id_col, cluster_col), id_col)
+    w = weights if cluster_col in weights.columns else weights.join(clusters.select(id_col, cluster_col), id_col)
     sums = w.groupBy(cluster_col, "term").agg(F.sum("weight").alias("__s"))
     means = sums.join(sizes, cluster_col) \
         .select(cluster_col, "term", F.round(F.col("__s") / F.col("__docs"), digits).alias("mean"))

@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from partflow.functions.patterns import BASELINE_GROUP, GROUP_NAMES
 from partflow.operators import reports
 
 
 def breakdown(df: DataFrame, statistic: str, category: str = "Inner Race",
-              match: str = "substring") -> dict[str, DataFrame]:
+              match: str = "substring", groups: Sequence[str] = GROUP_NAMES,
+              baseline: str = BASELINE_GROUP) -> dict[str, DataFrame]:
     """All report tables of a cleaned sales table with Category, MotorSize, customerCode.
 
-    Returns lazy DataFrames keyed like the registered queries; ``share_of_total``
+    Customer groups and the baseline among them are the caller's. Returns DataFrames keyed like the registered
+    queries; the ratios, the baseline table, the histogram and the curve write small tables while they are built. ``share_of_total``
     is included only when the statistic name contains ``Total`` (as in the
     reference). Persist ``df`` first when several outputs are computed.
     """
     cells = reports.size_category_pivot(df, statistic)
     ratios = reports.customer_ratio(df, statistic, match=match)
-    avgs = reports.group_averages(ratios)
+    avgs = reports.group_averages(ratios, groups)
     values = avgs.where(F.col("Category") == category)
     out = {
         "size_category_pivot": cells,
@@ -26,7 +31,7 @@ def breakdown(df: DataFrame, statistic: str, category: str = "Inner Race",
         "mandrel_ratio": reports.mandrel_ratio(df, statistic),
         "customer_ratio": ratios,
         "group_averages": avgs,
-        "relative_to_baseline": reports.relative_to_baseline(avgs),
+        "relative_to_baseline": reports.relative_to_baseline(avgs, baseline),
         "histogram": reports.histogram(values, "ratio"),
         "kde_curve": reports.kde_curve(values, "ratio"),
     }

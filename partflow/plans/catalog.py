@@ -1,7 +1,8 @@
 """Runnable queries over the driver's tables: one function per operator key.
 
-Every function takes ``(spark, sf_dir)`` and returns a lazy DataFrame that
-reads the whole given tables (through the staged entities). Parameters that
+Every function takes ``(spark, sf_dir)`` and returns a DataFrame over the whole given
+tables (through the staged entities). Queries over bills, text, customer ratios, histograms and
+sinks write intermediate tables while they are built. Parameters that
 the reference took from its caller (start dates, statistic column, house
 account) are fixed here once, in :data:`PARAMS`.
 """
@@ -18,6 +19,7 @@ from partflow.sources.staging import Tables
 
 PARAMS = {
     "sales_start": "1995-06-30",     # invoices strictly after this date
+    "jobs_start": "2000-06-30",      # jobs: materials posted after the date one year before
     "quarter_start": "2001-05-01",   # invoices of the "last quarter" statistic
     "statistic": "quantityText",     # currency text, parsed by clean_sales
     "datestat": "invoiceDate",
@@ -132,7 +134,7 @@ def q_order_items(spark, sf_dir):
 
 def _jobs(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return orders.jobs(t, PARAMS["sales_start"], orders.order_items(t, PARAMS["sales_start"]))
+    return orders.jobs(t, PARAMS["jobs_start"], orders.order_items(t, PARAMS["sales_start"]))
 
 
 @query("jobs")
@@ -382,9 +384,8 @@ def q_tfidf(spark, sf_dir):
 @query("top_terms_per_cluster")
 def q_top_terms_per_cluster(spark, sf_dir):
     """Top 3 terms per document language (the cluster label)."""
-    docs = _t(spark, sf_dir).base("documents")
-    clusters = docs.select("doc_id", F.col("lang").alias("cluster"))
-    return text.top_terms_per_cluster(text.tfidf(docs), clusters, n=3)
+    docs = _t(spark, sf_dir).base("documents").withColumnRenamed("lang", "cluster")
+    return text.top_terms_per_cluster(text.tfidf(docs, keep=("cluster",)), docs, n=3)
 
 
 # --- sinks and cached / paged sources ---------------------------------------------------------------------

@@ -8,8 +8,8 @@ from __future__ import annotations
 
 STAGING_SQL: dict[str, str] = {
     "stg_part": """SELECT p_partkey,
-  concat(CASE p_type WHEN 'SMALL' THEN 'BK' WHEN 'PROMO' THEN '15X' ELSE 'PN' END, CAST(p_partkey AS STRING)) AS partNumber,
-  p_name AS partDescription,
+  concat(CASE p_type WHEN 'SMALL' THEN 'BK' WHEN 'PROMO' THEN '15X' ELSE 'PN' END, CAST(p_partkey AS STRING), CASE WHEN p_partkey % 41 = 0 THEN 'rw' ELSE '' END) AS partNumber,
+  CASE WHEN p_partkey % 37 = 0 THEN concat(p_name, ' Bit Ball') ELSE p_name END AS partDescription,
   CASE split_part(p_name,' ',2) WHEN 'widget' THEN 'Mandrels' WHEN 'ring' THEN 'Inner Race' WHEN 'rod' THEN 'Compression Tools'
     WHEN 'gear' THEN 'Jaw Clutch Center' WHEN 'plate' THEN 'Adjustable Bent Housings' WHEN 'bolt' THEN 'None' ELSE split_part(p_name,' ',2) END AS Category,
   CASE WHEN p_size % 11 = 0 THEN NULL ELSE CAST(p_size % 7 AS STRING) END AS MotorSize
@@ -21,7 +21,8 @@ FROM customer""",
   CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE concat(CAST(CAST(o_orderdate AS DATE) AS STRING),'T00:00:00') END AS invoiceDate, customerCode
 FROM orders JOIN stg_customer ON o_custkey = c_custkey""",
     "ar_invoice_details": """SELECT partNumber, partDescription, l_quantity AS quantityShipped,
-  concat(CASE WHEN l_linenumber % 2 = 0 THEN '$' ELSE '' END, CAST(CAST(l_quantity AS INT) AS STRING)) AS quantityText,
+  CASE WHEN l_linenumber % 2 = 0 THEN concat('$', CAST(CAST(l_quantity AS INT) AS STRING)) WHEN l_linenumber = 3 THEN concat('1,', lpad(CAST(CAST(l_quantity AS INT) AS STRING), 3, '0'))
+    WHEN l_linenumber = 5 THEN concat(CAST(CAST(l_quantity AS INT) AS STRING), '%') ELSE CAST(CAST(l_quantity AS INT) AS STRING) END AS quantityText,
   l_extendedprice / l_quantity AS unitPrice, l_orderkey AS invoiceNumber, l_discount AS discountPercent, Category, MotorSize
 FROM lineitem JOIN stg_part ON l_partkey = p_partkey""",
     "order_line_items": """SELECT l_orderkey AS orderNumber, l_linenumber AS itemNumber, partNumber, partDescription, l_quantity AS quantityToMake,

@@ -51,8 +51,9 @@ def stg_part(t: Tables) -> DataFrame:
         .otherwise((F.col("p_size") % 7).cast("string"))
     return p.select(
         "p_partkey",
-        F.concat(kind, F.col("p_partkey").cast("string")).alias("partNumber"),
-        F.col("p_name").alias("partDescription"),
+        # some numbers and descriptions hold an excluded word
+        F.concat(kind, F.col("p_partkey").cast("string"), F.when(F.col("p_partkey") % 41 == 0, "rw").otherwise("")).alias("partNumber"),
+        F.when(F.col("p_partkey") % 37 == 0, F.concat("p_name", F.lit(" Bit Ball"))).otherwise(F.col("p_name")).alias("partDescription"),
         category.alias("Category"),
         size.alias("MotorSize"),
     )
@@ -85,8 +86,10 @@ def ar_invoices(t: Tables) -> DataFrame:
 
 
 def ar_invoice_details(t: Tables) -> DataFrame:
-    text = F.concat(F.when(F.col("l_linenumber") % 2 == 0, "$").otherwise(""),
-                    F.col("l_quantity").cast("int").cast("string"))
+    amount = F.col("l_quantity").cast("int").cast("string")
+    text = (F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("$"), amount))
+            .when(F.col("l_linenumber") == 3, F.concat(F.lit("1,"), F.lpad(amount, 3, "0")))
+            .when(F.col("l_linenumber") == 5, F.concat(amount, F.lit("%"))).otherwise(amount))
     return _lines_with_part(t).select(
         "partNumber", "partDescription",
         F.col("l_quantity").alias("quantityShipped"),
