@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
 
 from partflow.functions.semantics import sum_or_zero
 from partflow.session import scratch_path
@@ -28,12 +27,24 @@ def part_totals_stream(stream: DataFrame, statistic: str, key: str = "partNumber
     return stream.where(F.col(key).isNotNull()).groupBy(key).agg(sum_or_zero(statistic).alias(statistic))
 
 
-def run_available_now(df: DataFrame, name: str, output_mode: str = "complete",
-                      checkpoint: str | None = None) -> StreamingQuery:
-    """Process everything available, then stop; state and offsets live in the shared folder."""
+def run_available_now(df: DataFrame, name: str, output_mode: str = "complete", checkpoint: str | None = None,
+                      out: str | None = None) -> DataFrame:
+    """Process everything available, then stop; state, offsets and results live in the shared folder.
+
+    Each batch is written under its number, so a batch that is run again after a failure replaces itself. Returns the
+    last batch (the whole state) for ``complete``, else all batches.
+    """
     spark = df.sparkSession
-    q = (df.writeStream.outputMode(output_mode).format("memory").queryName(name)
+    target = (out or scratch_path(spark, f"stream-out-{name}")).rstrip("/")
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    q = (df.writeStream.outputMode(output_mode).foreachBatch(write).queryName(name)
          .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{name}"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return q
+    rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("batch", T.LongType())])).parquet(target)
+    if output_mode == "complete":
+        rows = rows.where(F.col("batch") == rows.agg(F.max("batch")).first()[0])
+    return rows.drop("batch")

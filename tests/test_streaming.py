@@ -15,7 +15,6 @@ def test_stream_totals_equal_batch(spark):
         F.col("l_partkey").cast("string").alias("partNumber"), F.col("l_quantity").alias("q"))
     src = stream_files(spark, SF, spark.read.parquet(f"{SF}/lineitem.parquet").schema, name_glob="lineitem.parquet")
     stream = src.select(F.col("l_partkey").cast("string").alias("partNumber"), F.col("l_quantity").alias("q"))
-    run_available_now(part_totals_stream(stream, "q"), "part_totals_test")
-    got = {r[0]: r[1] for r in spark.table("part_totals_test").collect()}
+    got = {r[0]: r[1] for r in run_available_now(part_totals_stream(stream, "q"), "part_totals_test").collect()}
     want = {r[0]: r[1] for r in reports.sum_by_key(batch, "partNumber", "q").collect()}
     assert got == want
