@@ -10,20 +10,20 @@ from pyspark.sql import functions as F
 from partflow.functions.patterns import HOUSE_ACCOUNT
 from partflow.functions.scalar import iso_date, lead_days, to_hours, year_before
 from partflow.functions.semantics import first_non_null, merge, not_equal_keep_null, row_order
+from partflow.schemas import fields
 from partflow.sources.entity import after_time, lookup_in, read_entity
 
-INVOICE_FIELDS = "invoiceNumber,invoiceDate,customerCode"
-INVOICE_DETAIL_FIELDS = ("partNumber,partDescription,quantityShipped,quantityText,unitPrice,"
-                         "invoiceNumber,discountPercent,Category,MotorSize")
-PO_LINE_FIELDS = ("purchaseOrderNumber,itemNumber,partNumber,partDescription,quantityOrdered,"
-                  "quantityReceived,status,dateFinished")
-PO_FIELDS = "PONumber,status,dateEntered,vendorCode"
-ORDER_LINE_FIELDS = "orderNumber,itemNumber,partNumber,partDescription,quantityToMake,status,dateFinished"
-ORDER_FIELDS = "orderNumber,customerCode,status,orderTotal"
-ORDER_ROUTING_FIELDS = "orderNumber,partNumber,stepNumber,workCenter,estimatedQuantity"
-ROUTING_FIELDS = "partNumber,stepNumber,workCenter,setupTime,timeUnit,cycleTime,cycleUnit"
-JOB_MATERIAL_FIELDS = "orderNumber,partNumber,stepNumber,datePosted,quantityPosted1"
-MATERIAL_FIELDS = "partNumber,subPartNumber,description,quantity,ord"
+# Column lists that the flows request by default.
+INVOICE_FIELDS = fields("ar_invoices")
+INVOICE_DETAIL_FIELDS = fields("ar_invoice_details")
+PO_LINE_FIELDS = fields("purchase_order_line_items")
+PO_FIELDS = fields("purchase_orders")
+ORDER_LINE_FIELDS = fields("order_line_items")
+ORDER_FIELDS = fields("orders")
+ORDER_ROUTING_FIELDS = fields("order_routings")
+ROUTING_FIELDS = fields("routings")
+JOB_MATERIAL_FIELDS = fields("job_materials")
+MATERIAL_FIELDS = fields("materials")
 
 
 def sales(source, start_date: str, detail_fields: str = INVOICE_DETAIL_FIELDS,
@@ -41,36 +41,37 @@ def sales(source, start_date: str, detail_fields: str = INVOICE_DETAIL_FIELDS,
     return merge(det, inv, "invoiceNumber", "inner", null_safe=null_safe_keys)
 
 
-def purchases(source, start_date: str) -> DataFrame:
+def purchases(source, start_date: str, line_fields: str = PO_LINE_FIELDS, head_fields: str = PO_FIELDS) -> DataFrame:
     """PO lines finished after ``start_date`` left-joined to their PO headers (status_x/_y)."""
-    lines = (read_entity(source, "purchase_order_line_items", PO_LINE_FIELDS)
+    lines = (read_entity(source, "purchase_order_line_items", line_fields)
              .where(after_time("dateFinished", start_date))
              .withColumnRenamed("purchaseOrderNumber", "PONumber"))
-    heads = read_entity(source, "purchase_orders", PO_FIELDS)
+    heads = read_entity(source, "purchase_orders", head_fields)
     return merge(lines, heads, "PONumber", "left")
 
 
-def order_items(source, start_date: str) -> DataFrame:
+def order_items(source, start_date: str, order_fields: str = ORDER_FIELDS, line_fields: str = ORDER_LINE_FIELDS) -> DataFrame:
     """Orders having a line finished after ``start_date``, joined to those lines.
 
     Reference: orders looked up by the lines' order numbers, then
     ``orders.merge(lines, how='left')``; every looked-up order has a line, so
     this is an inner join with the order columns first (status_x = order).
     """
-    lines = read_entity(source, "order_line_items", ORDER_LINE_FIELDS).where(after_time("dateFinished", start_date))
-    orders = read_entity(source, "stg_orders", ORDER_FIELDS)
+    lines = read_entity(source, "order_line_items", line_fields).where(after_time("dateFinished", start_date))
+    orders = read_entity(source, "orders", order_fields)
     return merge(orders, lines, "orderNumber", "inner")
 
 
-def estimate_routings(source) -> DataFrame:
+def estimate_routings(source, routing_fields: str = ROUTING_FIELDS) -> DataFrame:
     """Routings with setup and cycle time in hours (units dropped)."""
-    r = read_entity(source, "routings", ROUTING_FIELDS).withColumnRenamed("timeUnit", "setupUnit")
+    r = read_entity(source, "routings", routing_fields).withColumnRenamed("timeUnit", "setupUnit")
     return (r.withColumn("setupTime", to_hours(F.col("setupTime"), F.col("setupUnit")))
              .withColumn("cycleTime", to_hours(F.col("cycleTime"), F.col("cycleUnit")))
              .drop("setupUnit", "cycleUnit"))
 
 
-def jobs(source, start_date: str, order_items_df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def jobs(source, start_date: str, order_items_df: DataFrame, route_fields: str = ORDER_ROUTING_FIELDS,
+         routing_fields: str = ROUTING_FIELDS, material_fields: str = MATERIAL_FIELDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(jobs, job_materials, estimate_materials).
 
     jobs = order routings of the given orders, full-outer-joined to estimated
@@ -78,10 +79,10 @@ def jobs(source, start_date: str, order_items_df: DataFrame) -> tuple[DataFrame,
     """
     posted_after = year_before(start_date)
     job_mat = read_entity(source, "job_materials", JOB_MATERIAL_FIELDS).where(after_time("datePosted", posted_after))
-    routes = lookup_in(read_entity(source, "order_routings", ORDER_ROUTING_FIELDS), "orderNumber",
+    routes = lookup_in(read_entity(source, "order_routings", route_fields), "orderNumber",
                        order_items_df.select("orderNumber"))
-    est_mat = read_entity(source, "materials", MATERIAL_FIELDS)
-    est, keys = estimate_routings(source), ["partNumber", "stepNumber"]
+    est_mat = read_entity(source, "materials", material_fields)
+    est, keys = estimate_routings(source, routing_fields), ["partNumber", "stepNumber"]
     # all routings with their estimates, then the estimates without a routing: unlike a full outer
     # join, both can split a hot key or send a small side to all
     joined = merge(routes, est, keys, "left", suffixes=("", "_estimate"))
@@ -107,7 +108,7 @@ def open_sales(source, parts: DataFrame, house_account: str = HOUSE_ACCOUNT) ->
     """
     lines = read_entity(source, "order_line_items", "partNumber,quantityToMake,status,orderNumber",
                         filter_string="status=Open")
-    orders = read_entity(source, "stg_orders", "orderNumber,customerCode")
+    orders = read_entity(source, "orders", "orderNumber,customerCode")
     lines = merge(lines, orders, "orderNumber", "left")
     house = F.col("customerCode") == house_account
     sums = (lines.where(F.col("partNumber").isNotNull()).groupBy("partNumber")

@@ -28,6 +28,10 @@ PARAMS = {
 # Row order for "first" in aggregate_by_part (non-null columns of a sales line).
 SALES_ORDER = ("invoiceNumber", "partNumber", "quantityText", "unitPrice", "discountPercent")
 
+# The invoice detail columns of the flows, and the test data's statistic and classes.
+DETAIL_FIELDS = orders.INVOICE_DETAIL_FIELDS + ",quantityText,Category,MotorSize"
+ORDER_LINE_FIELDS = "orderNumber,itemNumber,partNumber,partDescription,quantityToMake,status,dateFinished"
+
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
@@ -44,13 +48,13 @@ def _t(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def _clean(t: Tables, start: str | None = None) -> DataFrame:
-    s = orders.sales(t, start or PARAMS["sales_start"])
+    s = orders.sales(t, start or PARAMS["sales_start"], DETAIL_FIELDS)
     return cleaning.clean_sales(s, PARAMS["statistic"], PARAMS["datestat"])
 
 
 @query("sales")
 def q_sales(spark, sf_dir):
-    return orders.sales(_t(spark, sf_dir), PARAMS["sales_start"])
+    return orders.sales(_t(spark, sf_dir), PARAMS["sales_start"], DETAIL_FIELDS)
 
 
 @query("clean_sales")
@@ -90,7 +94,7 @@ def q_entity_scan(spark, sf_dir):
 
 @query("entity_filter")
 def q_entity_filter(spark, sf_dir):
-    return entity.read_entity(_t(spark, sf_dir), "order_line_items", orders.ORDER_LINE_FIELDS,
+    return entity.read_entity(_t(spark, sf_dir), "order_line_items", ORDER_LINE_FIELDS,
                               filter_string=ENTITY_FILTER)
 
 
@@ -99,13 +103,13 @@ def q_lookup_in(spark, sf_dir):
     t = _t(spark, sf_dir)
     inv = entity.read_entity(t, "ar_invoices", orders.INVOICE_FIELDS,
                              filter_string=f"invoiceDate[gt]={PARAMS['sales_start']}")
-    return entity.read_entity(t, "ar_invoice_details", orders.INVOICE_DETAIL_FIELDS,
+    return entity.read_entity(t, "ar_invoice_details", DETAIL_FIELDS,
                               search={"invoiceNumber": inv.select("invoiceNumber")})
 
 
 @query("page")
 def q_page(spark, sf_dir):
-    df = entity.read_entity(_t(spark, sf_dir), "order_line_items", orders.ORDER_LINE_FIELDS)
+    df = entity.read_entity(_t(spark, sf_dir), "order_line_items", ORDER_LINE_FIELDS)
     return entity.page(df, PAGE["order"], PAGE["skip"], PAGE["take"])
 
 
@@ -250,7 +254,7 @@ def _forecast_inputs(t: Tables) -> tuple[DataFrame, DataFrame]:
     from partflow.session import materialize
 
     stat = PARAMS["statistic"]
-    s = orders.sales(t, PARAMS["sales_start"])
+    s = orders.sales(t, PARAMS["sales_start"], DETAIL_FIELDS)
     s = s.withColumn("__in_quarter", F.to_timestamp("invoiceDate") > F.to_timestamp(F.lit(PARAMS["quarter_start"])))
     c = cleaning.clean_sales(s, stat, PARAMS["datestat"])
     o = row_order(*SALES_ORDER)

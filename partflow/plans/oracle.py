@@ -15,7 +15,7 @@ _SALES = ("sales", f"""SELECT d.*, i.invoiceDate, i.customerCode
   FROM ar_invoice_details d JOIN ar_invoices i ON d.invoiceNumber IS NOT DISTINCT FROM i.invoiceNumber
   WHERE CAST(i.invoiceDate AS TIMESTAMP) > TIMESTAMP '{PARAMS['sales_start']} 00:00:00'""")
 
-_CLEAN = ("clean", f"""SELECT partNumber, partDescription, coalesce(quantityShipped, 0) AS quantityShipped,
+_CLEAN = ("clean", f"""SELECT partNumber, partDescription, jobNumber, coalesce(quantityShipped, 0) AS quantityShipped,
   coalesce(CAST(regexp_replace(quantityText, '[$,%]', '', 'g') AS DOUBLE), 0) AS quantityText,
   coalesce(unitPrice, 0) AS unitPrice, coalesce(invoiceNumber, 0) AS invoiceNumber,
   coalesce(discountPercent, 0) AS discountPercent, Category, MotorSize,
@@ -37,7 +37,7 @@ GROUP BY partNumber ORDER BY quantityText DESC, partNumber LIMIT {PARAMS['top_n'
 _ORD = "(invoiceNumber, partNumber, quantityText, unitPrice, discountPercent)"
 _FIRST = ", ".join(f"arg_min({c}, {_ORD}) FILTER (WHERE {c} IS NOT NULL) AS {c}"
                    for c in ["partDescription", "quantityShipped", "unitPrice", "invoiceNumber",
-                             "discountPercent", "Category", "MotorSize", "invoiceDate", "customerCode"])
+                             "discountPercent", "Category", "MotorSize", "invoiceDate", "customerCode", "jobNumber"])
 ORACLE["aggregate_by_part"] = with_views(_SALES_VIEWS, [_SALES, _CLEAN], f"""
 SELECT partNumber, {_FIRST}, coalesce(sum(quantityText), 0) AS quantityText
 FROM clean WHERE partNumber IS NOT NULL GROUP BY partNumber""")
@@ -66,15 +66,16 @@ ORACLE["employees"] = with_views(["employees"], [], "SELECT * FROM employees")
 # --- header / detail joins ----------------------------------------------------------------------------
 _PURCHASES = ("purchases", f"""
 SELECT l.purchaseOrderNumber AS PONumber, l.itemNumber, l.partNumber, l.partDescription, l.quantityOrdered,
-  l.quantityReceived, l.status AS status_x, l.dateFinished, h.status AS status_y, h.dateEntered, h.vendorCode
+  l.quantityReceived, l.status AS status_x, l.dateFinished, l.dueDate, l.lastModDate, l.outsideService, l.unit, l.unitCost,
+  h.status AS status_y, h.dateEntered, h.vendorCode, h.vendorDescription
 FROM purchase_order_line_items l LEFT JOIN purchase_orders h ON l.purchaseOrderNumber IS NOT DISTINCT FROM h.PONumber
 WHERE {_AFTER.format(c='l.dateFinished', d=_S)}""")
 ORACLE["purchases"] = with_views(["purchase_order_line_items", "purchase_orders"], [_PURCHASES],
                                  "SELECT * FROM purchases")
 
 _ORDER_ITEMS = ("order_items", f"""
-SELECT o.orderNumber, o.customerCode, o.status AS status_x, o.orderTotal, l.itemNumber, l.partNumber,
-  l.partDescription, l.quantityToMake, l.status AS status_y, l.dateFinished
+SELECT o.* EXCLUDE (status, uniqueID), o.status AS status_x, o.uniqueID AS uniqueID_x,
+  l.* EXCLUDE (orderNumber, status, uniqueID), l.status AS status_y, l.uniqueID AS uniqueID_y
 FROM stg_orders o JOIN order_line_items l ON o.orderNumber IS NOT DISTINCT FROM l.orderNumber
 WHERE {_AFTER.format(c='l.dateFinished', d=_S)}""")
 ORACLE["order_items"] = with_views(["stg_orders", "order_line_items"], [_ORDER_ITEMS], "SELECT * FROM order_items")
@@ -83,11 +84,13 @@ _HOURS = "CASE {u} WHEN 'M' THEN {c} / 60.0 WHEN 'S' THEN {c} / 3600.0 ELSE {c}
 ORACLE["jobs"] = with_views(["stg_orders", "order_line_items", "order_routings", "routings"], [
     _ORDER_ITEMS,
     ("routes", "SELECT * FROM order_routings WHERE orderNumber IN (SELECT orderNumber FROM order_items)"),
-    ("est", f"""SELECT partNumber, stepNumber, workCenter, {_HOURS.format(u='timeUnit', c='setupTime')} AS setupTime,
+    ("est", f"""SELECT partNumber, stepNumber, workCenter, vendorCode, description, burdenRate, laborRate, lastModDate, {_HOURS.format(u='timeUnit', c='setupTime')} AS setupTime,
        {_HOURS.format(u='cycleUnit', c='cycleTime')} AS cycleTime FROM routings"""),
 ], """
-SELECT r.orderNumber, coalesce(r.partNumber, e.partNumber) AS partNumber, coalesce(r.stepNumber, e.stepNumber) AS stepNumber,
-  r.workCenter, r.estimatedQuantity, e.workCenter AS workCenter_estimate, e.setupTime, e.cycleTime
+SELECT coalesce(r.partNumber, e.partNumber) AS partNumber, coalesce(r.stepNumber, e.stepNumber) AS stepNumber,
+  r.* EXCLUDE (partNumber, stepNumber), e.workCenter AS workCenter_estimate, e.vendorCode AS vendorCode_estimate,
+  e.description AS description_estimate, e.burdenRate AS burdenRate_estimate, e.laborRate AS laborRate_estimate, e.lastModDate,
+  e.setupTime, e.cycleTime
 FROM routes r FULL OUTER JOIN est e
   ON r.partNumber IS NOT DISTINCT FROM e.partNumber AND r.stepNumber IS NOT DISTINCT FROM e.stepNumber""")
 ORACLE["job_materials"] = with_views(["job_materials"], [], f"""

@@ -56,6 +56,34 @@ FROM lineitem JOIN stg_part ON l_partkey = p_partkey""",
     "employees": """SELECT s_suppkey AS employeeCode, s_name AS employeeName, s_acctbal > 0 AS active, s_nationkey AS departmentNumber FROM supplier""",
 }
 
+# The columns that the tests' base tables have nothing for: n a number, d a date, s other text; each from the row key.
+_LINE, _ORDER = "l_orderkey * 7 + l_linenumber", "o_orderkey"
+_FILL = {
+    "ar_invoice_details": (_LINE, "jobNumber:s"),
+    "purchase_order_line_items": (_LINE, "dueDate:d lastModDate:d outsideService:s unit:s unitCost:n"),
+    "purchase_orders": (_ORDER, "vendorDescription:s"),
+    "order_line_items": (_LINE, "actualEndDate:d actualStartDate:d dueDate:d estimatedEndDate:d estimatedStartDate:d jobNotes:s jobNumber:s "
+                         "masterJobNumber:s pricingUnit:s productCode:s quantityCanceled:n quantityOrdered:n quantityShippedToCustomer:n "
+                         "quantityShippedToStock:n quantityToStock:n revision:s totalActualHours:n totalEstimatedHours:n uniqueID:s "
+                         "unitPrice:n unitPriceForeign:n workCode:s"),
+    "stg_orders": (_ORDER, "customerDescription:s dateEntered:s lastModDate:d orderTotalForeign:n PONumber:s salesID:s termsCode:s "
+                   "territory:s uniqueID:s"),
+    "order_routings": (_LINE, "actualEndDate:d actualStartDate:d actualPiecesGood:n burdenRate:n description:s employeeCode:s jobNumber:s "
+                       "laborRate:n operationCode:s machinesRun:n status:s timeUnit:s totalActualHours:n totalEstimatedHours:n vendorCode:s "
+                       "workCenterOrVendor:s"),
+    "routings": ("p_partkey * 7 + s.id", "vendorCode:s description:s burdenRate:n laborRate:n lastModDate:d"),
+    "job_materials": (_LINE, "description:s jobNumber:s outsideService:s postedFromStock:s stockingCost:n stockUnit:s"),
+    "materials": ("e.pk * 4 + e.ord", "unit:s unitPrice:n unitCost:n"),
+}
+_KIND = {"n": "CAST(({k}) % 101 AS DOUBLE) / 4",
+         "d": "concat('2001-0', CAST(1 + ({k}) % 9 AS STRING), '-1', CAST(({k}) % 10 AS STRING), 'T00:00:00')",
+         "s": "CASE WHEN ({k}) % 19 <> 0 THEN concat('{c}-', CAST(({k}) % 17 AS STRING)) END"}
+for _view, (_key, _cols) in _FILL.items():
+    _more = ", ".join(_KIND[kind].format(k=_key, c=c) + f" AS {c}" for c, kind in (x.split(":") for x in _cols.split()))
+    _head, _from, _rest = STAGING_SQL[_view].partition(" FROM (" if _view == "materials" else "\nFROM ")
+    assert _from, _view
+    STAGING_SQL[_view] = f"{_head}, {_more}{_from}{_rest}"
+
 _DEPENDS = {
     "ar_invoices": ["stg_customer"],
     "stg_orders": ["stg_customer"],
