@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"          # stands for a space in the pieces
 UNKNOWN = " ⁇ "     # what an unknown id is decoded to
-MEMORY = 600_000         # segments, and pairs of tokens, that a worker remembers
+MEMORY = 450_000         # segments, and pairs of tokens, that a worker remembers
 
 _tables: dict = {}
 
