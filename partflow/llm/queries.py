@@ -81,7 +81,7 @@ def op6_order_minhash(spark, sf_dir):
 @query
 def op8_fuzzy_lines(spark, sf_dir):
     """``documents`` without repeated and nearly repeated lines: per document the counts and a digest of what is left."""
-    out = fuzzy_lines.dedup_lines(table(spark, sf_dir, "documents"), wide=True)
+    out = fuzzy_lines.dedup_lines(table(spark, sf_dir, "documents"), wide=True, every=True)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
