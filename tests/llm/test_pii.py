@@ -132,3 +132,19 @@ def test_query_columns_and_held_out_forms(spark):
     clean = sum(not s and not fs for (_, s), fs in zip(made, found))
     assert hit > 0.85 * sum(bool(s) for _, s in made) and clean > 0.8 * sum(not s for _, s in made)
     assert pii.find(df.where("false"), pii.train(df.where("false"), steps=2)).count() == 0
+
+
+def test_adjacent_spans_are_added(spark):
+    ship(spark)
+    rnd = random.Random(8)
+    prose = lambda: " ".join("".join(rnd.choice("abdeghilmnorst") for _ in range(rnd.randint(2, 8))) for _ in range(12))
+    tagger = pii.train(spark.createDataFrame([(k, f"{prose()} {rnd.randrange(10 ** 5)} {prose()}") for k in range(300)], "doc_id long, text string"))
+    parts = [["7536784127813050", "4845168114407329"], ["53820953013749", "4550997810720808"], ["+1 (826) 555-4081", "190.137.223.20"],
+             ["+1 (843) 555-7672", "170.106.47.218"]]
+    wanted = [["card", "card"], [None, "card"], ["phone", "ip"], ["phone", "ip"]]
+    texts = [f"{prose()} {' '.join(p)} {prose()}" for p in parts]
+    found = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), tagger).collect()
+    for r in found:
+        at = texts[r.doc_id].index(parts[r.doc_id][0])
+        want = {f"{w}:{at + o}:{at + o + len(p)}" for p, w, o in zip(parts[r.doc_id], wanted[r.doc_id], [0, len(parts[r.doc_id][0]) + 1]) if w}
+        assert want == set(r.spans.split(",")) and want != set(r.base.split(","))
