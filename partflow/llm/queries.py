@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm import fuzzy_lines, host_rules, order_minhash, packing, pairwise_quality, piece, pii, simhash, token_file, warc
+from partflow.llm import fuzzy_lines, host_rules, order_minhash, packing, pairwise_quality, piece, pii, simhash, spelling, token_file, warc
 from partflow.llm.common import shared_folder, ship, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +106,9 @@ def op9_pairwise_quality(spark, sf_dir):
     rows, score = pairwise_quality.score(docs, model, ["doc_id"])
     return rows.select("doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), score.alias("score"),
                        F.when(score >= pairwise_quality.CUT, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    """Words of ``documents`` with the more frequent words that they are slips of."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
