@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm import fuzzy_lines, host_rules, order_minhash, packing, pairwise_quality, piece, pii, simhash, spelling, token_file, warc
+from partflow.llm import fuzzy_lines, host_rules, language, order_minhash, packing, pairwise_quality, piece, pii, simhash, spelling, token_file, warc
 from partflow.llm.common import shared_folder, ship, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,3 +112,12 @@ def op9_pairwise_quality(spark, sf_dir):
 def op13_spelling_variants(spark, sf_dir):
     """Words of ``documents`` with the more frequent words that they are slips of."""
     return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_language_ppm(spark, sf_dir):
+    """Language of each of ``documents``; learned from those whose crc32 leaves a remainder by 5."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    out = language.predict(docs, language.train(docs.where(~held_out)))
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
