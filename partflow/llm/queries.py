@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm import fuzzy_lines, host_rules, language, order_minhash, packing, pairwise_quality, piece, pii, simhash, spelling, token_file, warc
+from partflow.llm import conversation, fuzzy_lines, host_rules, language, order_minhash, packing, pairwise_quality, piece, pii, simhash, spelling, token_file, warc
 from partflow.llm.common import shared_folder, ship, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,3 +121,16 @@ def op12_language_ppm(spark, sf_dir):
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     out = language.predict(docs, language.train(docs.where(~held_out)))
     return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op11_conversation_repair(spark, sf_dir):
+    """Damaged ``conversations``: their faults, the least of the cheapest repairs and a digest of what it leaves."""
+    convs = table(spark, sf_dir, "conversations")
+    repaired = conversation.repair(conversation.damage(convs))
+    out = convs.select(F.col("conv_id").alias("_c")).distinct()
+    for part in (conversation.report(repaired), conversation.audits(repaired)):
+        out = out.join(part, F.col("_c").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+    zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select(F.col("_c").alias("conv_id"), *zero, F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
