@@ -6,7 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from partflow.operators import bom
 from partflow.sources import sinks
 

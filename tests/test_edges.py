@@ -5,7 +5,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from partflow.functions.semantics import ieee_ratio
 from partflow.operators import bom, orders, reports
 from partflow.session import get_session

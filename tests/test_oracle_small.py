@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from partflow.plans.catalog import REGISTRY
+from partflow.plans.oracle import ORACLE
 from partflow.sources.staging import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -43,7 +45,12 @@ def test_entry_runs(spark):
     assert 0 < df.count() <= 10
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+def test_every_query_has_an_oracle():
+    assert set(REGISTRY) == set(ORACLE)
+    assert set(REGISTRY) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
+
+
+@pytest.mark.parametrize("key", sorted(REGISTRY))
 def test_query_matches_oracle(spark, con, key):
     sdf = queries()[key](spark, SF)
     got = sdf.collect()

@@ -1,6 +1,6 @@
 """Header/detail operators on hand fixtures."""
 
-from conftest import rows
+from frames import rows
 from partflow.operators import orders
 
 

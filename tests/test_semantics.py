@@ -4,7 +4,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from partflow.functions.scalar import exclude_pattern, parse_currency, to_hours
 from partflow.functions.semantics import merge
 from partflow.operators import reports

@@ -4,7 +4,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from partflow.functions.semantics import union_missing
 from partflow.operators import bom, reports
 from partflow.sources import entity, sinks
