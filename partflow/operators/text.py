@@ -52,6 +52,11 @@ def top_terms_per_cluster(weights: DataFrame, clusters: DataFrame, n: int = 3, i
     sums = w.groupBy(cluster_col, "term").agg(F.sum("weight").alias("__s"))
     means = sums.join(sizes, cluster_col) \
         .select(cluster_col, "term", F.round(F.col("__s") / F.col("__docs"), digits).alias("mean"))
+    return top_terms(means, n, cluster_col)
+
+
+def top_terms(means: DataFrame, n: int = 3, cluster_col: str = "cluster") -> DataFrame:
+    """(cluster, top_terms) of a (cluster, term, mean) table: the n largest means, ties to the smaller term."""
     top = top_n_per_group(means, [cluster_col], [F.col("mean").desc(), F.col("term").asc()], n, salt_col="term")
     ordered = F.array_sort(F.collect_list(F.struct("rank", "term")))
     return top.groupBy(cluster_col).agg(F.array_join(F.transform(ordered, lambda x: x["term"]), " ").alias("top_terms"))

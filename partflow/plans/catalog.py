@@ -373,7 +373,9 @@ def q_material_requirements(spark, sf_dir):
 
 # --- text ------------------------------------------------------------------------------------------------
 
-from partflow.operators import text  # noqa: E402
+from partflow.operators import clustering, text  # noqa: E402
+
+CLUSTERS = {"k": 8, "seed": 1, "start_rounds": 3, "rounds": 4, "features": clustering.FEATURES}
 
 
 def _weights(spark, sf_dir):
@@ -385,13 +387,31 @@ def q_tfidf(spark, sf_dir):
     return rounded(_weights(spark, sf_dir))
 
 
-@query("top_terms_per_cluster")
-def q_top_terms_per_cluster(spark, sf_dir):
+@query("top_terms_per_language")
+def q_top_terms_per_language(spark, sf_dir):
     """Top 3 terms per document language (the cluster label)."""
     docs = _t(spark, sf_dir).base("documents").withColumnRenamed("lang", "cluster")
     return text.top_terms_per_cluster(text.tfidf(docs, keep=("cluster",)), docs, n=3)
 
 
+def _clustered(spark, sf_dir):
+    docs = _t(spark, sf_dir).base("documents").select("doc_id", "text")
+    rows = clustering.vectors(docs, features=CLUSTERS["features"])
+    return rows, clustering.kmeans(rows, CLUSTERS["k"], CLUSTERS["seed"], CLUSTERS["start_rounds"], CLUSTERS["rounds"])
+
+
+@query("tfidf_clusters")
+def q_tfidf_clusters(spark, sf_dir):
+    """Cluster of each document by its TF-IDF row; no label is used."""
+    return clustering.clusters(*_clustered(spark, sf_dir))
+
+
+@query("top_terms_per_cluster")
+def q_top_terms_per_cluster(spark, sf_dir):
+    """Top 3 terms by mean weight of each of these clusters."""
+    return text.top_terms(clustering.cluster_means(*_clustered(spark, sf_dir)), 3)
+
+
 # --- sinks and cached / paged sources ---------------------------------------------------------------------
 
 from partflow.session import scratch_path  # noqa: E402

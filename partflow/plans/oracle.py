@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from partflow.plans.catalog import PARAMS
+from partflow.plans.catalog import CLUSTERS, PARAMS
 from partflow.plans.oracle_staging import with_views
 
 ORACLE: dict[str, str] = {}
@@ -333,13 +333,77 @@ _TEXT = [
     ("nw", "SELECT doc_id, lang, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM w"),
 ]
 ORACLE["tfidf"] = with_views([], _TEXT, "SELECT doc_id, term, round(weight, 6) AS weight FROM nw")
-ORACLE["top_terms_per_cluster"] = with_views([], _TEXT + [
+ORACLE["top_terms_per_language"] = with_views([], _TEXT + [
     ("cn", "SELECT lang, count(*) AS nd FROM documents GROUP BY lang"),
     ("m", """SELECT nw.lang, term, round(sum(weight) / cn.nd, 10) AS mean FROM nw JOIN cn ON cn.lang = nw.lang
   GROUP BY nw.lang, term, cn.nd"""),
     ("r", "SELECT *, row_number() OVER (PARTITION BY lang ORDER BY mean DESC, term) AS rk FROM m")], """
 SELECT lang AS cluster, string_agg(term, ' ' ORDER BY rk) AS top_terms FROM r WHERE rk <= 3 GROUP BY lang""")
 
+# k-means again from the documents: start by rounds of k-means||, thinning to k, Lloyd rounds
+_K, _ROUNDS = CLUSTERS["k"], CLUSTERS["rounds"]
+
+
+def _u(turn: int) -> str:
+    return f"(CAST('0x' || substr(md5('{CLUSTERS['seed']}:{turn}:' || CAST(doc_id AS VARCHAR)), 1, 12) AS BIGINT) / 281474976710656.0)"
+
+
+def _nearest_to(centres: str, out: str) -> list[tuple[str, str]]:
+    """Views: dots of documents and centres (c, term, weight), the square of each centre, the nearest centre (smallest number of equals)."""
+    return [
+        (f"{out}_sq", f"SELECT n.c, coalesce(sum(weight * weight), 0) AS cc FROM {centres}_n n LEFT JOIN {centres} USING (c) GROUP BY n.c"),
+        (f"{out}_dot", f"SELECT doc_id, c, sum(kx.weight * z.weight) AS dot FROM kx JOIN {centres} z USING (term) GROUP BY doc_id, c"),
+        (out, f"""SELECT doc_id, min(d2) AS d2, arg_min(c, (d2, c)) AS c FROM (
+  SELECT kd.doc_id, q.c, greatest(round(kd.xx + q.cc - 2 * coalesce(dot, 0), 9), 0) AS d2
+  FROM kd CROSS JOIN {out}_sq q LEFT JOIN {out}_dot d ON d.doc_id = kd.doc_id AND d.c = q.c) GROUP BY doc_id""")]
+
+
+def _cluster_views() -> list[tuple[str, str]]:
+    out = _TEXT[:2] + [
+        ("kf", f"SELECT term, count(*) AS df FROM tf GROUP BY term ORDER BY df DESC, term LIMIT {CLUSTERS['features']}"),
+        ("kw", """SELECT doc_id, term, tf.tf * (ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1) AS w FROM tf JOIN kf USING (term)"""),
+        ("kx", "SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM kw"),
+        ("kd", "SELECT doc_id, CASE WHEN EXISTS (SELECT 1 FROM kx WHERE kx.doc_id = documents.doc_id) THEN 1.0 ELSE 0.0 END AS xx FROM documents"),
+        ("cand0", f"SELECT 0 AS c, doc_id FROM (SELECT doc_id FROM kd ORDER BY {_u(0)}, doc_id LIMIT 1)")]
+
+    def rows_of(cands: str) -> list[tuple[str, str]]:
+        return [(f"{cands}_v", f"SELECT c, term, weight FROM {cands} JOIN kx USING (doc_id)"), (f"{cands}_v_n", f"SELECT c FROM {cands}")]
+
+    turns = CLUSTERS["start_rounds"]
+    for r in range(1, turns + 1):
+        out += rows_of(f"cand{r - 1}") + _nearest_to(f"cand{r - 1}_v", f"far{r}") + [(f"cand{r}", f"""
+  SELECT c, doc_id FROM cand{r - 1} UNION ALL
+  SELECT (SELECT max(c) FROM cand{r - 1}) + row_number() OVER (ORDER BY doc_id) AS c, doc_id FROM far{r}
+  WHERE {_u(r)} * (SELECT sum(d2) FROM far{r}) < {2 * _K} * d2""")]
+    last = f"cand{turns}"
+    out += rows_of(last) + _nearest_to(f"{last}_v", "near0") + [
+        ("wt", f"SELECT n.c, count(near0.c) AS wt FROM {last} n LEFT JOIN near0 USING (c) GROUP BY n.c"),
+        ("cdot", f"SELECT a.c, b.c AS o, sum(a.weight * b.weight) AS dot FROM {last}_v a JOIN {last}_v b USING (term) GROUP BY a.c, b.c"),
+        ("cd", """SELECT a.c, b.c AS o, greatest(round(a.cc + b.cc - 2 * coalesce(dot, 0), 9), 0) AS d2
+  FROM near0_sq a CROSS JOIN near0_sq b LEFT JOIN cdot ON cdot.c = a.c AND cdot.o = b.c"""),
+        ("pick0", "SELECT 0 AS j, c FROM (SELECT c FROM wt ORDER BY wt DESC, c LIMIT 1)")]
+    for j in range(1, _K):
+        out.append((f"pick{j}", f"""SELECT * FROM pick{j - 1} UNION ALL SELECT {j}, c FROM (
+  SELECT wt.c, round(wt * min(d2), 6) AS value FROM wt JOIN cd USING (c) WHERE cd.o IN (SELECT c FROM pick{j - 1})
+  GROUP BY wt.c, wt HAVING round(wt * min(d2), 6) > 0 ORDER BY value DESC, wt.c LIMIT 1)"""))
+    out += [("mean0", f"SELECT j AS c, term, weight FROM pick{_K - 1} p JOIN {last}_v v ON v.c = p.c"), ("mean0_n", f"SELECT j AS c FROM pick{_K - 1}")]
+    for r in range(1, _ROUNDS + 1):
+        out += _nearest_to(f"mean{r - 1}", f"own{r}") + [
+            (f"size{r}", f"SELECT c, count(*) AS n FROM own{r} GROUP BY c"),
+            (f"mean{r}", f"""SELECT o.c, term, sum(weight) / max(n) AS weight FROM own{r} o JOIN kx USING (doc_id) JOIN size{r} s ON s.c = o.c GROUP BY o.c, term
+  UNION ALL SELECT * FROM mean{r - 1} WHERE c NOT IN (SELECT c FROM size{r})"""),
+            (f"mean{r}_n", "SELECT c FROM mean0_n")]
+    return out + _nearest_to(f"mean{_ROUNDS}", "own")
+
+
+ORACLE["tfidf_clusters"] = with_views([], _cluster_views(), "SELECT doc_id, CAST(c AS INTEGER) AS cluster FROM own")
+ORACLE["top_terms_per_cluster"] = with_views([], _cluster_views() + [
+    ("nd", "SELECT c, count(*) AS nd FROM own GROUP BY c"),
+    ("m", """SELECT own.c, term, round(sum(weight) / max(nd), 10) AS mean FROM own JOIN kx USING (doc_id) JOIN nd ON nd.c = own.c
+  GROUP BY own.c, term"""),
+    ("r", "SELECT *, row_number() OVER (PARTITION BY c ORDER BY mean DESC, term) AS rk FROM m")], """
+SELECT CAST(c AS INTEGER) AS cluster, string_agg(term, ' ' ORDER BY rk) AS top_terms FROM r WHERE rk <= 3 GROUP BY c""")
+
 # --- sinks and cached / paged sources ---------------------------------------------------------------------
 ORACLE["load_tree"] = _bom_sql([("trows", """
 SELECT Node, Parent, description AS Description, quantity AS Quantity, ord FROM nodes

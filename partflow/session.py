@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -98,3 +101,17 @@ def materialize_observed(df: DataFrame, tag: str = "table", **metrics: Column) -
     path = scratch_path(spark, tag)
     df.observe(obs, *exprs).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), dict(obs.get)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers unless they can import it anyway."""
+    root = str(Path(__file__).resolve().parents[1])
+    known = [os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    sc = spark.sparkContext
+    if root in known or any("partflow-src" in f for f in sc.listFiles):
+        return
+    at = os.path.join(tempfile.mkdtemp(prefix="partflow-src-"), "partflow-src.zip")
+    with zipfile.ZipFile(at, "w") as z:
+        for p in sorted(Path(root, "partflow").rglob("*.py")):
+            z.write(p, p.relative_to(root))
+    sc.addPyFile(at)
