@@ -2,10 +2,11 @@
 
 A BOM is an edge table ``(assembly, part, quantity, description, ord)`` plus a
 root table ``(part, description)``. The reference builds one tree node per
-*path*; here a path is a row, built level by level with one join per level.
-Each level is written to the session's shared checkpoint folder
-(:func:`partflow.session.materialize`), so lineage stays one level deep and a
-lost executor recomputes at most one level.
+*path*; here a path is a row. Paths are put together by doubling: segments of 1, 2, 4 ... lines are joined
+to each other and to the paths so far, so the joins grow with the logarithm of the depth.
+Each step is written to the session's shared checkpoint folder
+(:func:`partflow.session.materialize`), so lineage stays one step deep and a
+lost executor recomputes at most one step.
 
 Preorder: siblings are ordered by the BOM line order ``ord``, depth-1 nodes
 by part number. The column ``ord`` of a node is a string key whose
@@ -15,9 +16,10 @@ byte order is the preorder: each path element is encoded as
 
 Two evaluation forms:
 
-* **paths** – one row per tree node / per path, as the reference's tree walk
-  produces (exponential in the depth of a DAG, but this is the output asked for);
-* **dag** – rows aggregated per part after every level. Recording and stopping
+* **paths** - one row per path, as the reference's tree walk produces. Rows of materials and components are equal for
+  paths of equal ends and product, so they are kept once with their number until the result is made
+  (:func:`recorded_paths`); only :func:`explode_bom` holds every path by name;
+* **dag** - rows aggregated per part after every level. Recording and stopping
   rules depend only on the part, and quantities multiply along a path, so the
   per-part sums are exact while the data per level stays bounded by the
   number of parts.
@@ -28,7 +30,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partflow.functions.patterns import BOM_ROOT, MOLD_BLANK_MARKERS, X_RACE_MARKERS
@@ -98,41 +100,46 @@ def explode_bom(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """Every path from every root: (root, Node, Parent, depth, quantity, description, ord, names,
     line, cum) with ``cum`` the product of the quantities below the root.
 
-    Depth-1 nodes have parent ``Root`` and quantity 1. A part reached again on
-    its own path is a cycle and raises.
+    Depth-1 nodes have parent ``Root`` and quantity 1. Round k joins the paths of fewer than 2^k lines to the segments
+    of exactly 2^k lines, and the segments to themselves; a segment ends some path of the result if its first part is below a
+    root, so there are no more of them than of nodes. A part that comes again below itself is a cycle and raises,
+    if a root reaches it.
     """
-    level = roots.select(
+    paths = [materialize(roots.select(
         F.col("part").alias("root"), F.col("part").alias("Node"), F.lit(BOM_ROOT).alias("Parent"),
         F.lit(1).alias("depth"), F.lit(1.0).alias("quantity"), F.col("description"),
         root_key(F.col("part")).alias("ord"), F.array(F.col("part")).alias("names"),
-        F.lit(0).cast("bigint").alias("line"), F.lit(1.0).alias("cum"))
-    level = materialize(level, "bom-level")
-    levels = [level]
-    e = _edge_cols(edges)
+        F.lit(0).cast("bigint").alias("line"), F.lit(1.0).alias("cum")), "bom-paths")]
+    last = ["Node", "Parent", "quantity", "description", "line"]       # of the last line of a segment
+    segments = edges.select(
+        F.col("assembly").alias("s"), F.col("part").alias("Node"), F.col("assembly").alias("Parent"), F.lit(1).alias("depth"),
+        "quantity", "description", child_key(F.col("ord"), F.col("part")).alias("ord"), F.array("part").alias("names"),
+        F.col("ord").alias("line"), F.col("quantity").alias("cum"))
+
+    def joined(left: DataFrame, first: str) -> DataFrame:
+        right = segments.select(*[F.col(c).alias("r_" + c) for c in segments.columns])
+        both = left.join(right, left["Node"] == right["r_s"])
+        twice = F.arrays_overlap("names", "r_names") | F.array_contains("r_names", F.col(first))
+        return both.select(first, *[F.col("r_" + c).alias(c) for c in last], (F.col("depth") + F.col("r_depth")).alias("depth"),
+                           *[F.concat(c, "r_" + c).alias(c) for c in ("ord", "names")], (F.col("cum") * F.col("r_cum")).alias("cum"), twice.alias("__twice"))
+
+    def write(rows: DataFrame) -> tuple[DataFrame, dict]:
+        out, seen = materialize_observed(rows, "bom-paths", cycles=F.count_if("__twice"))
+        return out.drop("__twice"), seen
+
     while True:
-        # A part that is already on its own path is a cycle: fail the level's write
-        # job right there instead of running a separate check per level.
-        part = F.when(F.array_contains(F.col("names"), F.col("e_part")),
-                      F.raise_error(F.concat(F.lit("the bill of materials has a cycle through "), F.col("e_part")))) \
-            .otherwise(F.col("e_part"))
-        nxt = level.join(e, level["Node"] == e["e_assembly"]).select(
-            "root", part.alias("Node"), F.col("Node").alias("Parent"),
-            (F.col("depth") + 1).alias("depth"), F.col("e_quantity").alias("quantity"),
-            F.col("e_description").alias("description"),
-            F.concat(F.col("ord"), child_key(F.col("e_ord"), F.col("e_part"))).alias("ord"),
-            F.array_append(F.col("names"), F.col("e_part")).alias("names"),
-            F.col("e_ord").alias("line"), (F.col("cum") * F.col("e_quantity")).alias("cum"))
-        try:
-            nxt, seen = materialize_observed(nxt, "bom-level")
-        except Exception as err:  # noqa: BLE001 - surface the cycle as a ValueError
-            if "has a cycle" in str(err):
-                raise ValueError("the bill of materials has a cycle") from err
-            raise
+        new, seen = write(joined(_union(paths), "root"))
+        if seen["cycles"]:
+            raise ValueError("the bill of materials has a cycle")
         if not seen["rows"]:
-            break
-        level = nxt
-        levels.append(level)
-    return _union(levels)
+            return _union(paths)
+        paths.append(new.select(*paths[0].columns))
+        segments, seen = write(joined(segments, "s"))
+        if seen["cycles"]:
+            require_acyclic(edges, roots)
+            # the cycle is not below a root: begin again with what is
+            below = materialize(reachable(edges, roots), "bom-reach").withColumnRenamed("part", "assembly")
+            return explode_bom(edges.join(below, "assembly", "left_semi"), roots)
 
 
 def tree_edges(nodes: DataFrame) -> DataFrame:
@@ -153,8 +160,6 @@ def loaded_tree_edges(loaded: DataFrame) -> tuple[DataFrame, DataFrame]:
     Siblings keep the order of their last rows; ranking inside one parent is
     a window over that parent's children only.
     """
-    from pyspark.sql import Window
-
     body = loaded.where(~F.col("Parent").isin(BOM_ROOT, "ROOT"))
     rank = F.dense_rank().over(Window.partitionBy("Parent").orderBy("ord")).cast("bigint")
     edges = body.select(F.col("Parent").alias("assembly"), F.col("Node").alias("part"),
@@ -178,10 +183,58 @@ def tree_rows(nodes: DataFrame) -> DataFrame:
     return body.unionByName(root)
 
 
-def descendants(nodes: DataFrame, node_ord: str, include_self: bool = False) -> DataFrame:
-    """Nodes below the node with preorder key ``node_ord`` (keys of descendants extend it)."""
-    below = F.col("ord").startswith(node_ord) & (F.col("ord") != node_ord)
-    return nodes.where(below | (F.col("ord") == node_ord) if include_self else below)
+def interval_labels(nodes: DataFrame) -> DataFrame:
+    """The nodes with nested-set labels: ``left`` and ``right`` number the first and the last visit of a node in one walk of
+    the tree, ``size`` counts the nodes below it.
+
+    Both visits are sorted by range in one table (the last visit's key is the node's with a sign that sorts after all
+    children); a visit's number is its place in its partition after those of the partitions before.
+    """
+    spark = nodes.sparkSession
+    visits = nodes.select("ord", F.explode(F.array(F.col("ord"), F.concat("ord", F.lit("~")))).alias("__at"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    visits = visits.repartitionByRange(n, "__at").sortWithinPartitions("__at").withColumn("__id", F.monotonically_increasing_id())
+    visits = materialize(visits.select("ord", "__id", F.shiftright("__id", 33).alias("__part")), "tree-visits")
+    # a row per partition
+    sizes = visits.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = sizes.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))
+    place = F.col("__before") + F.col("__id").bitwiseAND((1 << 33) - 1)
+    labels = visits.join(F.broadcast(before), "__part").groupBy("ord").agg(F.min(place).alias("left"), F.max(place).alias("right"))
+    return nodes.join(labels, "ord").withColumn("size", ((F.col("right") - F.col("left") - 1) / 2).cast("bigint"))
+
+
+def descendants(labelled: DataFrame, asked: DataFrame | None = None, prefix: str = "a_") -> DataFrame:
+    """A row per pair of an asked node (its columns with ``prefix``) and a node below it; all nodes are asked for by default.
+
+    A range join on the labels of :func:`interval_labels` as an equi-join: an interval is met in the one or two blocks
+    of numbers, as wide as the next power of two, that it touches. A node is sent to its block of each width that is asked for (63 at
+    most), and the rows compared are at most four times the pairs and asked nodes.
+    """
+    asked = labelled if asked is None else asked
+    a = asked.select(*[F.col(c).alias(prefix + c) for c in asked.columns])
+    left, right = prefix + "left", prefix + "right"
+    a = a.withColumn("__width", F.length(F.bin(F.col(right) - F.col(left))))
+    blocks = F.array_distinct(F.array(F.expr(f"shiftright({left}, __width)"), F.expr(f"shiftright({right}, __width)")))
+    widths = sorted(r[0] for r in a.select("__width").distinct().collect())
+    if not widths:
+        return labelled.join(a.drop("__width"), F.lit(False))
+    spots = F.explode(F.array(*[F.struct(F.lit(w).alias("__width"), F.shiftright("left", w).alias("__block")) for w in widths]))
+    n = labelled.select("*", spots.alias("__s")).select(*labelled.columns, "__s.*")
+    pairs = a.withColumn("__block", F.explode(blocks)).join(n, ["__width", "__block"])
+    return pairs.where((F.col("left") > F.col(left)) & (F.col("left") < F.col(right))).drop("__width", "__block")
+
+
+def descendant_counts(labelled: DataFrame, asked: DataFrame) -> DataFrame:
+    """Per asked node (Node, ord, depth): nodes, distinct parts and leaves below it, and the greatest depth among them.
+
+    An asked node without any below has zeros and its own depth.
+    """
+    below = descendants(labelled, asked.select("ord", "left", "right")).groupBy("a_ord").agg(
+        F.count(F.lit(1)).alias("nodes"), F.count_distinct("Node").alias("parts"),
+        F.count_if(F.col("size") == 0).alias("leaves"), F.max("depth").alias("deepest"))
+    out = asked.join(below, asked["ord"] == below["a_ord"], "left")
+    return out.select("Node", "ord", "depth", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("nodes", "parts", "leaves")],
+                      F.coalesce("deepest", "depth").alias("deepest"))
 
 
 def prune_tree(nodes: DataFrame) -> DataFrame:
@@ -226,28 +279,40 @@ def prune_dag(edges: DataFrame, roots: DataFrame) -> DataFrame:
 
 # --- per-part properties -------------------------------------------------------------------------------
 
-def part_heights(edges: DataFrame) -> DataFrame:
+def part_heights(edges: DataFrame, rounds: list | None = None) -> DataFrame:
     """(part, height): longest way down to a leaf (leaf = 0), for every part in the edges.
 
-    Leaves are taken off level by level: a part has height h if its last child goes in round h. The edges that
-    are left are written per round, so a round only touches what is still there. Raises when parts remain
-    but none of them is a leaf: they are on, or above, a cycle.
+    Each open edge (u, w, b) says that u is at least b above w; what is known of u is its ``least`` height. A round takes off
+    the edges to parts without open edges, and lets every edge to a part that has only one open edge jump over that part
+    to its target, so that a chain's edges double in length. Edges only get fewer; chains take as many rounds as
+    their length has binary digits, other bills at most one a level. ``rounds`` gets the number of edges left after each
+    round. Raises when edges are left but none of them leads to a part without: all are on, or above, a cycle.
     """
-    left = materialize(edges.select("assembly", "part").distinct(), "bom-left")
-    assemblies = left.select(F.col("assembly").alias("part")).distinct()
-    level = left.select("part").distinct().join(assemblies, "part", "left_anti")
-    level = materialize(level.withColumn("height", F.lit(0)), "bom-height")
-    done = [level]
+    open_ = edges.select(F.col("assembly").alias("u"), F.col("part").alias("w"), F.lit(1).alias("b")).distinct()
+    parts = materialize(open_.select(F.col("u").alias("part")).union(open_.select("w")).distinct(), "bom-parts")
+    least = None
     while True:
-        rest, seen = materialize_observed(left.join(level.select("part"), "part", "left_anti").select("assembly", "part"), "bom-left")
-        nxt = left.select("assembly").distinct().join(rest.select("assembly").distinct(), "assembly", "left_anti")
-        level, found = materialize_observed(nxt.select(F.col("assembly").alias("part"), F.lit(len(done)).alias("height")), "bom-height")
-        if not found["rows"]:
-            if seen["rows"]:
-                raise ValueError("the bill of materials has a cycle")
-            return _union(done)
-        done.append(level)
-        left = rest
+        # of a part with one open edge: where it leads (the maxima are the only values)
+        ways = open_.groupBy(F.col("u").alias("w")).agg(F.count(F.lit(1)).alias("n"), F.max("w").alias("to"), F.max("b").alias("more"))
+        step = open_.join(ways, "w", "left")
+        if least is not None:
+            step = step.join(least.withColumnRenamed("u", "w"), "w", "left")
+        known = F.coalesce("least", F.lit(0)) if least is not None else F.lit(0)
+        leaf, single = F.col("n").isNull(), F.col("n") == 1
+        step = step.select("u", F.when(leaf | single, F.col("b") + known).alias("least"), leaf.alias("leaf"),
+                           F.when(single, F.col("to")).when(~leaf, F.col("w")).alias("w"),
+                           F.when(single, F.col("b") + F.col("more")).when(~leaf, F.col("b")).alias("b"))
+        step, seen = materialize_observed(step, "bom-height", leaves=F.count_if("leaf"))
+        if seen["rows"] and not seen["leaves"]:
+            raise ValueError("the bill of materials has a cycle")
+        new = step.where("least is not null").select("u", "least")
+        least = materialize((new if least is None else least.union(new)).groupBy("u").agg(F.max("least").alias("least")), "bom-height")
+        left = seen["rows"] - (seen["leaves"] or 0)
+        if rounds is not None:
+            rounds.append(left)
+        if not left:
+            return parts.join(least, parts["part"] == least["u"], "left").select("part", F.coalesce("least", F.lit(0)).alias("height"))
+        open_ = step.where("w is not null").groupBy("u", "w").agg(F.max("b").alias("b"))
 
 
 def reachable(edges: DataFrame, parts: DataFrame) -> DataFrame:
@@ -279,23 +344,9 @@ def part_info(edges: DataFrame, heights: DataFrame | None = None) -> DataFrame:
     return info
 
 
-def heights_from_paths(nodes: DataFrame) -> DataFrame:
-    """(part, height) from an exploded tree: the longest tail after the part on any path.
-
-    Every occurrence of a part is fully expanded, so its longest tail is its
-    height; one aggregation instead of a relaxation loop.
-    """
-    pe = nodes.select(F.posexplode("names").alias("__pos", "part"), F.size("names").alias("__len"))
-    return pe.groupBy("part").agg(F.max(F.col("__len") - 1 - F.col("__pos")).cast("int").alias("height"))
-
-
-def node_height(nodes: DataFrame, edges: DataFrame | None = None) -> DataFrame:
-    """Height of every node of the exploded tree (depends on the part only).
-
-    With ``edges`` the heights come from the DAG relaxation, otherwise from the paths.
-    """
-    h = part_heights(edges) if edges is not None else heights_from_paths(nodes)
-    return (nodes.join(h, nodes["Node"] == h["part"], "left")
+def node_height(nodes: DataFrame, heights: DataFrame) -> DataFrame:
+    """Height of every node of the exploded tree: that of its part (:func:`part_heights`)."""
+    return (nodes.join(heights, nodes["Node"] == heights["part"], "left")
             .select("Node", "depth", "ord", F.coalesce(F.col("height"), F.lit(0)).alias("height")))
 
 
@@ -315,136 +366,169 @@ def smallest_anchors(nodes: DataFrame) -> DataFrame:
     return a.select("part", F.col("__a.quantity").alias("a_quantity"), F.col("__a.description").alias("a_description"))
 
 
-def dag_first_anchors(edges: DataFrame, roots: DataFrame) -> DataFrame:
-    """Preorder-first anchors without exploding paths: (part, a_quantity).
+def dag_visits(edges: DataFrame, roots: DataFrame, last: bool = False) -> DataFrame:
+    """The first (or last) node in preorder of each part, without exploding paths:
+    (part, key, Parent, depth, a_quantity, a_description).
 
     On a DAG the smallest path key to a part is the smallest over its parents
     of (their smallest key + the edge element), because no path to a node is
-    a prefix of another path to the same node. Relax until no key changes;
-    rounds = the longest path.
+    a prefix of another path to the same node; likewise the greatest. A round follows the keys that changed
+    in the last one, and only those are written; they are folded into one table every eighth round. Rounds = the longest path.
     """
     e = _edge_cols(edges)
-    best = roots.select("part", root_key(F.col("part")).alias("key"), F.lit(1.0).alias("a_quantity"))
-    best = delta = materialize(best, "bom-anchor")
-    rounds = 0
+    pick = F.max_by if last else F.min_by
+    cols = ["key", "Parent", "depth", "a_quantity", "a_description"]
+
+    def one(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("part").agg(pick(F.struct(*cols), F.col("key")).alias("__b")).select("part", "__b.*")
+
+    delta = materialize(one(roots.select("part", root_key(F.col("part")).alias("key"), F.lit(BOM_ROOT).alias("Parent"), F.lit(1).alias("depth"),
+                                         F.lit(1.0).alias("a_quantity"), F.col("description").alias("a_description"))), "bom-anchor")
+    known, rounds = [delta], 0
     while True:
-        # only keys that changed in the last round can change others
-        cand = delta.join(e, delta["part"] == e["e_assembly"]).select(
+        cand = one(delta.join(e, delta["part"] == e["e_assembly"]).select(
             F.col("e_part").alias("part"), F.concat(F.col("key"), child_key(F.col("e_ord"), F.col("e_part"))).alias("key"),
-            F.col("e_quantity").alias("a_quantity"))
-        cand = cand.groupBy("part").agg(F.min_by(F.struct("key", "a_quantity"), F.col("key")).alias("__b")).select("part", "__b.*")
-        old = best.select("part", F.col("key").alias("__old"))
-        cand = cand.join(old, "part", "left").where(F.col("__old").isNull() | (F.col("key") < F.col("__old"))).drop("__old")
+            F.col("e_assembly").alias("Parent"), (F.col("depth") + 1).alias("depth"), F.col("e_quantity").alias("a_quantity"),
+            F.col("e_description").alias("a_description")))
+        best = F.max("key") if last else F.min("key")
+        old = _union([x.select("part", "key") for x in known]).groupBy("part").agg(best.alias("__old"))
+        better = F.col("key") > F.col("__old") if last else F.col("key") < F.col("__old")
+        cand = cand.join(old, "part", "left").where(F.col("__old").isNull() | better).drop("__old")
         delta, seen = materialize_observed(cand, "bom-anchor")
         if not seen["rows"]:
-            return best.select("part", "a_quantity")
-        best = materialize(best.join(delta.select("part"), "part", "left_anti").unionByName(delta), "bom-anchor")
+            return one(_union(known))
         rounds += 1
+        known.append(delta)
+        if len(known) == 8:
+            known = [materialize(one(_union(known)), "bom-anchor")]
         if rounds == CHECK_AFTER:
             require_acyclic(edges, delta)
 
 
+def dag_first_anchors(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """Preorder-first node of each part: (part, a_quantity, a_description)."""
+    return dag_visits(edges, roots).select("part", "a_quantity", "a_description")
+
+
 def dag_smallest_anchors(edges: DataFrame, roots: DataFrame) -> DataFrame:
-    """Smallest quantity over all occurrences of each reachable part: (part, a_quantity); null only where all are."""
-    seen = reachable(edges, roots)
-    incoming = edges.join(seen.select(F.col("part").alias("assembly")), "assembly", "left_semi") \
-        .select("part", "quantity")
-    from_roots = roots.select("part", F.lit(1.0).alias("quantity"))
-    return incoming.unionByName(from_roots).groupBy("part").agg(F.min("quantity").alias("a_quantity"))
+    """Node with the smallest quantity of each reachable part, as :func:`smallest_anchors` picks it: (part, a_quantity, a_description).
+
+    Of the nodes that an edge makes, the first one in preorder lies below its assembly's first node.
+    """
+    first = materialize(dag_visits(edges, roots).select("part", "key"), "bom-anchor")
+    e = _edge_cols(edges)
+    rows = first.join(e, first["part"] == e["e_assembly"]).select(
+        F.col("e_part").alias("part"), F.col("e_quantity").alias("quantity"), F.col("e_description").alias("description"),
+        F.concat(F.col("key"), child_key(F.col("e_ord"), F.col("e_part"))).alias("ord"))
+    own = roots.select("part", F.lit(1.0).alias("quantity"), "description", root_key(F.col("part")).alias("ord"))
+    return smallest_anchors(rows.unionByName(own).withColumnRenamed("part", "Node"))
+
+
+def dag_last_rows(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """Of the rows of :func:`tree_rows`, for each name the last one in preorder: what :func:`sinks.load_tree` keeps of them.
+
+    (Node, Parent, Depth, Description, Quantity, ord), the root row included.
+    """
+    body = dag_visits(edges, roots, last=True).select(
+        F.col("part").alias("Node"), "Parent", F.col("depth").alias("Depth"), F.col("a_description").alias("Description"),
+        F.col("a_quantity").alias("Quantity"), F.col("key").alias("ord"))
+    root = edges.sparkSession.createDataFrame([(BOM_ROOT, "ROOT", 0, "N/A", 0.0, "!")], body.schema)
+    return body.unionByName(root)
 
 
 # --- demand roll-down ---------------------------------------------------------------------------------
 
-def _rolldown(start: DataFrame, edges: DataFrame, props: DataFrame, record: Column, stop: Column,
-              form: str) -> DataFrame:
-    """Push (part, value, description) down the BOM, recording rows that match ``record``.
+def recorded_paths(edges: DataFrame, recorded: DataFrame, demand: DataFrame | None = None) -> DataFrame:
+    """(start, part, description, factor, n): from each part, the paths of at least one line down to recorded parts.
+
+    ``factor`` is the product of a path's quantities and ``description`` that of its last line; ``n`` paths of the same ends, factor
+    and description are one row. The table solves X = R + E X for the edges E and the last lines R, by doubling: with
+    A the edges' paths of exactly 2^k lines, X of up to 2^(k+1) lines is X + A X. It has a row per part and recorded part
+    below at least, whatever the number of paths between them. ``demand`` (part): where paths are wanted from;
+    a cycle below it raises, others are left out.
+    """
+    def summed(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.groupBy(*keys, "factor").agg(F.sum("n").alias("n"))
+
+    step = summed(edges.select(F.col("assembly").alias("start"), "part", F.col("quantity").alias("factor"), F.lit(1).cast("bigint").alias("n")), "start", "part")
+    x = [materialize(summed(edges.join(recorded, "part", "left_semi").select(
+        F.col("assembly").alias("start"), "part", "description", F.col("quantity").alias("factor"), F.lit(1).cast("bigint").alias("n")),
+        "start", "part", "description"), "bom-recorded")]
+    while True:
+        left = step.select("start", F.col("part").alias("__mid"), F.col("factor").alias("__f"), F.col("n").alias("__n"))
+
+        def after(right: DataFrame, *keys: str) -> DataFrame:
+            r = right.withColumnRenamed("start", "__mid")
+            return summed(left.join(r, "__mid").select("start", *keys, (F.col("__f") * F.col("factor")).alias("factor"),
+                                                       (F.col("__n") * F.col("n")).alias("n")), "start", *keys)
+        new, seen = materialize_observed(after(_union(x), "part", "description"), "bom-recorded")
+        if not seen["rows"]:
+            return _union(x)
+        x.append(new.select(*x[0].columns))
+        if 1 << len(x) > CHECK_AFTER and demand is not None:
+            require_acyclic(edges, demand)
+            below = materialize(reachable(edges, demand), "bom-reach").withColumnRenamed("part", "assembly")
+            return recorded_paths(edges.join(below, "assembly", "left_semi"), recorded)
+        step = materialize(after(step, "part"), "bom-steps")
+
+
+def _repeated(rows: DataFrame, n: str, chunk: int = 10_000) -> DataFrame:
+    """Each row ``n`` times, without an array of more than ``chunk`` numbers or chunks of so many."""
+    lots = rows.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col(n) - 1) / chunk))).alias("__lot"))
+    size = F.least(F.lit(chunk), F.col(n) - F.col("__lot") * chunk)
+    return lots.select(*[F.col(c) for c in rows.columns if c != n], F.explode(F.sequence(F.lit(1).cast("bigint"), size.cast("bigint")))
+                       .alias("__k")).drop("__k")
+
 
-    ``stop`` rows are neither recorded nor expanded. ``form='dag'`` sums the
-    frontier per part after every level (descriptions are dropped). One
+def _path_rows(start: DataFrame, edges: DataFrame, recorded: DataFrame) -> DataFrame:
+    """(part, value, description) of every path from the (part, value, description) of ``start`` to a recorded part, itself included."""
+    own = start.join(recorded, "part", "left_semi")
+    paths = recorded_paths(edges, recorded, start.select("part").distinct()).withColumnRenamed("part", "end")
+    rows = start.select(F.col("part").alias("start"), "value").join(paths, "start").select(
+        F.col("end").alias("part"), (F.col("value") * F.col("factor")).alias("value"), "description", "n")
+    return own.select("part", "value", "description").unionByName(_repeated(rows, "n"))
+
+
+def _rolldown(start: DataFrame, edges: DataFrame, props: DataFrame, record: Column, stop: Column) -> DataFrame:
+    """Push (part, value) down the BOM, recording rows that match ``record``, summed per part after every level.
+
+    ``stop`` rows are neither recorded nor expanded. One
     written table per level, with what to record and where to stop; the recorded rows are read from those tables.
     """
     e = _edge_cols(edges)
 
     def flagged(rows: DataFrame) -> DataFrame:
+        rows = rows.groupBy("part").agg(F.sum("value").alias("value"))
         return (rows.join(props, "part", "left").where(~F.coalesce(stop, F.lit(False)))
-                .select("part", "value", "description", F.coalesce(record, F.lit(False)).alias("__record")))
+                .select("part", "value", F.coalesce(record, F.lit(False)).alias("__record")))
 
     level = materialize(flagged(start), "bom-roll")
     out = [level]
     while True:
         nxt = level.join(e, level["part"] == e["e_assembly"]).select(
-            F.col("e_part").alias("part"), (F.col("value") * F.col("e_quantity")).alias("value"),
-            F.col("e_description").alias("description"))
-        if form == "dag":
-            nxt = nxt.groupBy("part").agg(F.sum("value").alias("value")) \
-                .select("part", "value", F.lit(None).cast("string").alias("description"))
+            F.col("e_part").alias("part"), (F.col("value") * F.col("e_quantity")).alias("value"))
         level, seen = materialize_observed(flagged(nxt), "bom-roll")
         if not seen["rows"]:
-            return _union([x.where("__record").drop("__record") for x in out])
+            recorded = _union([x.where("__record").select("part", "value") for x in out])
+            return recorded.groupBy("part").agg(F.sum("value").alias("value")).withColumn("description", F.lit(None).cast("string"))
         out.append(level)
         if len(out) == CHECK_AFTER:
             require_acyclic(edges, level)
 
 
-def _root_demand(nodes: DataFrame, anchors: DataFrame, demand: DataFrame, statistic: str) -> DataFrame:
-    """Nodes of the trees rooted at demand parts, with value = demand x anchor quantity x cum."""
-    d = demand.join(anchors, demand["partNumber"] == anchors["part"]).select(
-        F.col("part").alias("__root"), (F.col(statistic) * F.col("a_quantity")).alias("__start"),
-        "a_description")
-    n = nodes.join(d, nodes["root"] == d["__root"])
-    desc = F.when(F.col("depth") == 1, F.col("a_description")).otherwise(F.col("description"))
-    return n.select("Node", "names", "depth", (F.col("__start") * F.col("cum")).alias("value"),
-                    desc.alias("description"))
+def _start(anchors: DataFrame, demand: DataFrame, statistic: str) -> DataFrame:
+    """(part, value, description) of the demand parts' anchors: value = demand x the anchor node's own quantity."""
+    a = anchors if "a_description" in anchors.columns else anchors.withColumn("a_description", F.lit(None).cast("string"))
+    return demand.join(a, demand["partNumber"] == a["part"]).select(
+        "part", (F.col(statistic) * F.col("a_quantity")).alias("value"), F.col("a_description").alias("description"))
 
 
-def _demand_split(nodes: DataFrame, demand: DataFrame) -> tuple[DataFrame, DataFrame]:
-    roots = nodes.where(F.col("depth") == 1).select(F.col("root").alias("__r")).distinct()
-    at_root = demand.join(roots, demand["partNumber"] == roots["__r"], "left_semi")
-    elsewhere = demand.join(roots, demand["partNumber"] == roots["__r"], "left_anti")
-    return at_root, elsewhere
+def _named(rows: DataFrame, statistic: str) -> DataFrame:
+    return rows.select(F.col("part").alias("partNumber"), F.col("value").alias(statistic), F.col("description").alias("partDescription"))
 
 
-def materials_from_paths(nodes: DataFrame, edges: DataFrame, anchors: DataFrame, demand: DataFrame,
-                         statistic: str) -> DataFrame:
-    """:func:`bom_materials` (path form) read off an exploded tree in one pass.
-
-    A part's subtree is the same at every occurrence, so the paths below the
-    anchor of a demand part are the paths of the tree rooted at that part
-    (when it is a root), scaled by demand x anchor quantity. Demand parts that
-    are not roots go through the level loop.
-    """
-    at_root, elsewhere = _demand_split(nodes, demand)
-    rows = _root_demand(nodes, anchors, at_root, statistic)
-    leaf = F.col("__has").isNull()
-    has = edges.select(F.col("assembly").alias("__p"), F.lit(True).alias("__has")).distinct()
-    rows = rows.join(has, rows["Node"] == has["__p"], "left")
-    rec = rows.where(leaf | contains_any(F.col("Node"), MOLD_BLANK_MARKERS)).select(
-        F.col("Node").alias("partNumber"), F.col("value").alias(statistic), F.col("description").alias("partDescription"))
-    return rec.unionByName(bom_materials(edges, anchors, elsewhere, statistic))
-
-
-def components_from_paths(nodes: DataFrame, edges: DataFrame, anchors: DataFrame, demand: DataFrame,
-                          statistic: str, heights: DataFrame) -> DataFrame:
-    """:func:`bom_components` (path form) read off an exploded tree in one pass.
-
-    A node is reached when no ancestor below the anchor is a stop part (a
-    mold/blank that is not an X-race; ancestors are never leaves).
-    """
-    at_root, elsewhere = _demand_split(nodes, demand)
-    rows = _root_demand(nodes, anchors, at_root, statistic)
-    props = part_info(edges, heights).withColumnRenamed("part", "__p")
-    rows = rows.join(props, rows["Node"] == props["__p"], "left")
-    mark_re = "|".join(MOLD_BLANK_MARKERS)
-    x_re = "|".join(X_RACE_MARKERS)
-    ancestors = F.slice(F.col("names"), F.lit(1), F.col("depth") - 1)
-    blocked = F.exists(ancestors, lambda a: a.rlike(mark_re) & ~a.rlike(x_re))
-    h = F.coalesce(F.col("height"), F.lit(0))
-    xrace = contains_any(F.col("Node"), X_RACE_MARKERS)
-    stop = (contains_any(F.col("Node"), MOLD_BLANK_MARKERS) | (h < 1)) & ~xrace
-    record = (h == 1) | F.coalesce(F.col("marker_child"), F.lit(False)) | xrace
-    rec = rows.where(~blocked & ~stop & record).select(
-        F.col("Node").alias("partNumber"), F.col("value").alias(statistic), F.col("description").alias("partDescription"))
-    return rec.unionByName(bom_components(edges, anchors, elsewhere, statistic, heights=heights))
+def _all_parts(edges: DataFrame, start: DataFrame) -> DataFrame:
+    return edges.select("part").union(edges.select("assembly")).union(start.select("part")).distinct()
 
 
 def bom_materials(edges: DataFrame, anchors: DataFrame, demand: DataFrame, statistic: str,
@@ -452,26 +536,18 @@ def bom_materials(edges: DataFrame, anchors: DataFrame, demand: DataFrame, stati
     """Demand rolled down to materials: leaves and mold/blank parts (recursion continues
     through the latter). Start value = demand x the anchor node's own quantity.
 
-    ``anchors`` is :func:`first_anchors` (path form) or :func:`dag_first_anchors`.
+    ``anchors`` is :func:`dag_first_anchors` (or :func:`first_anchors` of an exploded tree).
     Output (partNumber, <statistic>, partDescription): one row per path, or one
     per part with ``form='dag'``.
     """
-    a = anchors if "a_description" in anchors.columns else anchors.withColumn("a_description",
-                                                                              F.lit(None).cast("string"))
-    start = demand.join(a, demand["partNumber"] == a["part"]).select(
-        "part", (F.col(statistic) * F.col("a_quantity")).alias("value"), F.col("a_description").alias("description"))
-    if form == "dag":
-        start = start.groupBy("part").agg(F.sum("value").alias("value")) \
-            .select("part", "value", F.lit(None).cast("string").alias("description"))
+    start = _start(anchors, demand, statistic)
     props = part_info(edges)
     record = ~F.coalesce(F.col("has_children"), F.lit(False)) | contains_any(F.col("part"), MOLD_BLANK_MARKERS)
-    rows = _rolldown(start, edges, props, record, F.lit(False), form)
-    rows = rows.select(F.col("part").alias("partNumber"), F.col("value").alias(statistic),
-                       F.col("description").alias("partDescription"))
     if form == "dag":
-        rows = rows.groupBy("partNumber").agg(F.sum(statistic).alias(statistic)) \
-            .select("partNumber", statistic, F.lit(None).cast("string").alias("partDescription"))
-    return rows
+        return _named(_rolldown(start, edges, props, record, F.lit(False)), statistic)
+    start = materialize(start, "bom-start")
+    recorded = materialize(_all_parts(edges, start).join(props, "part", "left").where(record).select("part"), "bom-record")
+    return _named(_path_rows(start, edges, recorded), statistic)
 
 
 def bom_components(edges: DataFrame, anchors: DataFrame, demand: DataFrame, statistic: str,
@@ -480,29 +556,25 @@ def bom_components(edges: DataFrame, anchors: DataFrame, demand: DataFrame, stat
 
     Stop at (mold/blank or leaf) unless an X-race; record at height 1, when a
     child is a mold/blank, or for an X-race. ``anchors`` is
-    :func:`smallest_anchors` or :func:`dag_smallest_anchors`.
+    :func:`dag_smallest_anchors` (or :func:`smallest_anchors` of an exploded tree).
     """
     heights = heights if heights is not None else part_heights(edges)
-    a = anchors if "a_description" in anchors.columns else anchors.withColumn("a_description",
-                                                                              F.lit(None).cast("string"))
-    start = demand.join(a, demand["partNumber"] == a["part"]).select(
-        "part", (F.col(statistic) * F.col("a_quantity")).alias("value"), F.col("a_description").alias("description"))
-    if form == "dag":
-        start = start.groupBy("part").agg(F.sum("value").alias("value")) \
-            .select("part", "value", F.lit(None).cast("string").alias("description"))
+    start = _start(anchors, demand, statistic)
     props = part_info(edges, heights)
     h = F.coalesce(F.col("height"), F.lit(0))
     mark = contains_any(F.col("part"), MOLD_BLANK_MARKERS)
     xrace = contains_any(F.col("part"), X_RACE_MARKERS)
     stop = (mark | (h < 1)) & ~xrace
     record = (h == 1) | F.coalesce(F.col("marker_child"), F.lit(False)) | xrace
-    rows = _rolldown(start, edges, props, record, stop, form)
-    rows = rows.select(F.col("part").alias("partNumber"), F.col("value").alias(statistic),
-                       F.col("description").alias("partDescription"))
     if form == "dag":
-        rows = rows.groupBy("partNumber").agg(F.sum(statistic).alias(statistic)) \
-            .select("partNumber", statistic, F.lit(None).cast("string").alias("partDescription"))
-    return rows
+        return _named(_rolldown(start, edges, props, record, stop), statistic)
+    start = materialize(start, "bom-start")
+    going = materialize(_all_parts(edges, start).join(props, "part", "left").where(~F.coalesce(stop, F.lit(False)))
+                        .select("part", F.coalesce(record, F.lit(False)).alias("__record")), "bom-record")
+    # a path ends before a part where it stops, so those parts' lines and the lines to them are left out
+    open_edges = edges.join(going.select(F.col("part").alias("assembly")), "assembly", "left_semi").join(going.select("part"), "part", "left_semi")
+    recorded = going.where("__record").select("part")
+    return _named(_path_rows(start.join(going.select("part"), "part", "left_semi"), open_edges.select(*edges.columns), recorded), statistic)
 
 
 def material_requirements(demand: DataFrame, edges: DataFrame, roots: DataFrame, inventory: DataFrame,

@@ -278,7 +278,10 @@ def q_size_forecast(spark, sf_dir):
 # --- bill of materials ---------------------------------------------------------------------------------
 
 from partflow.operators import bom  # noqa: E402
+from partflow.functions.patterns import MOLD_BLANK_MARKERS, X_RACE_MARKERS  # noqa: E402
+from partflow.functions.scalar import contains_any  # noqa: E402
 from partflow.functions.semantics import merge  # noqa: E402
+from partflow.session import materialize  # noqa: E402
 
 
 def _per_part(t: Tables) -> DataFrame:
@@ -292,8 +295,6 @@ def _bom(spark, sf_dir, demand_reused: bool = True):
 
     The per-part demand is written only when it is read again after the roots.
     """
-    from partflow.session import materialize
-
     t = _t(spark, sf_dir)
     per_part = _per_part(t)
     if demand_reused:
@@ -340,22 +341,29 @@ def q_prune_tree(spark, sf_dir):
 
 @query("node_height")
 def q_node_height(spark, sf_dir):
-    return bom.node_height(_nodes(spark, sf_dir)[3])
+    _, _, edges, nodes = _nodes(spark, sf_dir)
+    return bom.node_height(nodes, bom.part_heights(edges))
+
+
+@query("descendants")
+def q_descendants(spark, sf_dir):
+    """Counts of what is below each node of a marked part (mold, blank, X-race)."""
+    labelled = materialize(bom.interval_labels(_nodes(spark, sf_dir)[3].select("Node", "depth", "ord")), "labelled")
+    return bom.descendant_counts(labelled, labelled.where(contains_any(F.col("Node"), (*MOLD_BLANK_MARKERS, *X_RACE_MARKERS))))
 
 
 @query("bom_materials")
 def q_bom_materials(spark, sf_dir):
-    _, per_part, edges, nodes = _nodes(spark, sf_dir, demand_reused=True)
+    _, per_part, edges, roots = _bom(spark, sf_dir)
     demand = per_part.select("partNumber", PARAMS["statistic"])
-    return bom.materials_from_paths(nodes, edges, bom.first_anchors(nodes), demand, PARAMS["statistic"])
+    return bom.bom_materials(edges, bom.dag_first_anchors(edges, roots), demand, PARAMS["statistic"])
 
 
 @query("bom_components")
 def q_bom_components(spark, sf_dir):
-    _, per_part, edges, nodes = _nodes(spark, sf_dir, demand_reused=True)
+    _, per_part, edges, roots = _bom(spark, sf_dir)
     demand = per_part.select("partNumber", PARAMS["statistic"])
-    return bom.components_from_paths(nodes, edges, bom.smallest_anchors(nodes), demand, PARAMS["statistic"],
-                                     bom.heights_from_paths(nodes))
+    return bom.bom_components(edges, bom.dag_smallest_anchors(edges, roots), demand, PARAMS["statistic"])
 
 
 @query("material_requirements")
@@ -420,9 +428,9 @@ from partflow.sources import sinks  # noqa: E402
 
 @query("load_tree")
 def q_load_tree(spark, sf_dir):
-    """Save the exploded tree as CSV, load it back (last row of a name wins)."""
-    rows = bom.tree_rows(_nodes(spark, sf_dir)[3])
-    path = sinks.save_tree(rows, scratch_path(spark, "tree-csv"))
+    """Save the exploded tree's last row of each name as CSV and load it back: as of the whole tree, the last row wins."""
+    _, _, edges, roots = _bom(spark, sf_dir, False)
+    path = sinks.save_tree(bom.dag_last_rows(edges, roots), scratch_path(spark, "tree-csv"))
     return sinks.load_tree(spark, path)
 
 

@@ -279,6 +279,16 @@ _HEIGHTS = ("heights", """SELECT part, CAST(max(h) AS INTEGER) AS height FROM
 ORACLE["node_height"] = _bom_sql([_HEIGHTS], """
 SELECT n.Node, n.depth, n.ord, coalesce(h.height, 0) AS height FROM nodes n LEFT JOIN heights h ON h.part = n.Node""")
 
+ORACLE["descendants"] = _bom_sql([
+    ("asked", f"SELECT Node, ord, depth FROM nodes WHERE regexp_matches(Node, '{_MARK}|{_XR}')"),
+    ("down(top, Node, depth)", """
+  SELECT ord, Node, depth FROM asked
+  UNION ALL SELECT w.top, e.part, w.depth + 1 FROM down w JOIN edges e ON e.assembly = w.Node"""),
+    ("below", """SELECT a.ord, d.Node, d.depth FROM down d JOIN asked a ON a.ord = d.top WHERE d.depth > a.depth""")], """
+SELECT a.Node, a.ord, a.depth, count(b.Node) AS nodes, count(DISTINCT b.Node) AS parts,
+  count(b.Node) FILTER (WHERE b.Node NOT IN (SELECT assembly FROM edges)) AS leaves, coalesce(max(b.depth), a.depth) AS deepest
+FROM asked a LEFT JOIN below b ON b.ord = a.ord GROUP BY a.Node, a.ord, a.depth""")
+
 _ANCH = ("anchors", """SELECT Node AS part, arg_min(quantity, ord) AS aq, arg_min(description, ord) AS ad FROM nodes
   GROUP BY Node""")
 _MWALK = ("mwalk(part, value, description)", """
