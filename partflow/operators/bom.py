@@ -96,50 +96,51 @@ def _edge_cols(edges: DataFrame) -> DataFrame:
 
 # --- path explosion ---------------------------------------------------------------------------------
 
-def explode_bom(edges: DataFrame, roots: DataFrame) -> DataFrame:
+def explode_bom(edges: DataFrame, roots: DataFrame, ladder: list | None = None) -> DataFrame:
     """Every path from every root: (root, Node, Parent, depth, quantity, description, ord, names,
     line, cum) with ``cum`` the product of the quantities below the root.
 
     Depth-1 nodes have parent ``Root`` and quantity 1. Round k joins the paths of fewer than 2^k lines to the segments
     of exactly 2^k lines, and the segments to themselves; a segment ends some path of the result if its first part is below a
     root, so there are no more of them than of nodes. A part that comes again below itself is a cycle and raises,
-    if a root reaches it.
+    if a root reaches it. ``ladder`` gets the segments' ends (:func:`ladder_heights`).
     """
     paths = [materialize(roots.select(
         F.col("part").alias("root"), F.col("part").alias("Node"), F.lit(BOM_ROOT).alias("Parent"),
         F.lit(1).alias("depth"), F.lit(1.0).alias("quantity"), F.col("description"),
         root_key(F.col("part")).alias("ord"), F.array(F.col("part")).alias("names"),
         F.lit(0).cast("bigint").alias("line"), F.lit(1.0).alias("cum")), "bom-paths")]
-    last = ["Node", "Parent", "quantity", "description", "line"]       # of the last line of a segment
+    cols = paths[0].columns
+    # a segment's first part stands in the place of a path's root
     segments = edges.select(
-        F.col("assembly").alias("s"), F.col("part").alias("Node"), F.col("assembly").alias("Parent"), F.lit(1).alias("depth"),
+        F.col("assembly").alias("root"), F.col("part").alias("Node"), F.col("assembly").alias("Parent"), F.lit(1).alias("depth"),
         "quantity", "description", child_key(F.col("ord"), F.col("part")).alias("ord"), F.array("part").alias("names"),
         F.col("ord").alias("line"), F.col("quantity").alias("cum"))
-
-    def joined(left: DataFrame, first: str) -> DataFrame:
-        right = segments.select(*[F.col(c).alias("r_" + c) for c in segments.columns])
-        both = left.join(right, left["Node"] == right["r_s"])
-        twice = F.arrays_overlap("names", "r_names") | F.array_contains("r_names", F.col(first))
-        return both.select(first, *[F.col("r_" + c).alias(c) for c in last], (F.col("depth") + F.col("r_depth")).alias("depth"),
-                           *[F.concat(c, "r_" + c).alias(c) for c in ("ord", "names")], (F.col("cum") * F.col("r_cum")).alias("cum"), twice.alias("__twice"))
-
-    def write(rows: DataFrame) -> tuple[DataFrame, dict]:
-        out, seen = materialize_observed(rows, "bom-paths", cycles=F.count_if("__twice"))
-        return out.drop("__twice"), seen
-
     while True:
-        new, seen = write(joined(_union(paths), "root"))
-        if seen["cycles"]:
+        if ladder is not None:
+            ladder.append(segments.select(F.col("root").alias("start"), F.col("Node").alias("part")))
+        left = _union([x.withColumn("__path", F.lit(True)) for x in paths] + [segments.withColumn("__path", F.lit(False))])
+        right = segments.select(*[F.col(c).alias("r_" + c) for c in cols])
+        twice = F.arrays_overlap("names", "r_names") | F.array_contains("r_names", F.col("root"))
+        both = left.join(right, left["Node"] == right["r_root"]).select(
+            "root", *[F.col("r_" + c).alias(c) for c in ("Node", "Parent", "quantity", "description", "line")],
+            (F.col("depth") + F.col("r_depth")).alias("depth"), *[F.concat(c, "r_" + c).alias(c) for c in ("ord", "names")],
+            (F.col("cum") * F.col("r_cum")).alias("cum"), "__path", twice.alias("__twice"))
+        both, seen = materialize_observed(both, "bom-paths", new=F.count_if("__path"), cycles=F.count_if("__twice"),
+                                          below=F.count_if(F.col("__path") & F.col("__twice")))
+        if seen["below"]:
             raise ValueError("the bill of materials has a cycle")
-        if not seen["rows"]:
+        if not seen["new"]:
             return _union(paths)
-        paths.append(new.select(*paths[0].columns))
-        segments, seen = write(joined(segments, "s"))
         if seen["cycles"]:
             require_acyclic(edges, roots)
             # the cycle is not below a root: begin again with what is
             below = materialize(reachable(edges, roots), "bom-reach").withColumnRenamed("part", "assembly")
-            return explode_bom(edges.join(below, "assembly", "left_semi"), roots)
+            if ladder is not None:
+                ladder.clear()
+            return explode_bom(edges.join(below, "assembly", "left_semi"), roots, ladder)
+        paths.append(both.where("__path").select(*cols))
+        segments = both.where("not __path").select(*cols)
 
 
 def tree_edges(nodes: DataFrame) -> DataFrame:
@@ -289,15 +290,14 @@ def part_heights(edges: DataFrame, rounds: list | None = None) -> DataFrame:
     round. Raises when edges are left but none of them leads to a part without: all are on, or above, a cycle.
     """
     open_ = edges.select(F.col("assembly").alias("u"), F.col("part").alias("w"), F.lit(1).alias("b")).distinct()
-    parts = materialize(open_.select(F.col("u").alias("part")).union(open_.select("w")).distinct(), "bom-parts")
-    least = None
+    found: list[DataFrame] = []
     while True:
         # of a part with one open edge: where it leads (the maxima are the only values)
         ways = open_.groupBy(F.col("u").alias("w")).agg(F.count(F.lit(1)).alias("n"), F.max("w").alias("to"), F.max("b").alias("more"))
-        step = open_.join(ways, "w", "left")
-        if least is not None:
-            step = step.join(least.withColumnRenamed("u", "w"), "w", "left")
-        known = F.coalesce("least", F.lit(0)) if least is not None else F.lit(0)
+        step, known = open_.join(ways, "w", "left"), F.lit(0)
+        if found:
+            least = _union(found).groupBy(F.col("u").alias("w")).agg(F.max("least").alias("least"))
+            step, known = step.join(least, "w", "left"), F.coalesce("least", F.lit(0))
         leaf, single = F.col("n").isNull(), F.col("n") == 1
         step = step.select("u", F.when(leaf | single, F.col("b") + known).alias("least"), leaf.alias("leaf"),
                            F.when(single, F.col("to")).when(~leaf, F.col("w")).alias("w"),
@@ -305,16 +305,34 @@ def part_heights(edges: DataFrame, rounds: list | None = None) -> DataFrame:
         step, seen = materialize_observed(step, "bom-height", leaves=F.count_if("leaf"))
         if seen["rows"] and not seen["leaves"]:
             raise ValueError("the bill of materials has a cycle")
-        new = step.where("least is not null").select("u", "least")
-        least = materialize((new if least is None else least.union(new)).groupBy("u").agg(F.max("least").alias("least")), "bom-height")
+        found.append(step.where("least is not null").select("u", "least"))
+        if len(found) == 8:
+            found = [materialize(_union(found).groupBy("u").agg(F.max("least").alias("least")), "bom-height")]
         left = seen["rows"] - (seen["leaves"] or 0)
         if rounds is not None:
             rounds.append(left)
         if not left:
-            return parts.join(least, parts["part"] == least["u"], "left").select("part", F.coalesce("least", F.lit(0)).alias("height"))
+            every = _union([x.select(F.col("u").alias("part"), "least") for x in found]
+                           + [edges.select(c, F.lit(0).alias("least")).toDF("part", "least") for c in ("assembly", "part")])
+            return every.groupBy("part").agg(F.max("least").alias("height"))
         open_ = step.where("w is not null").groupBy("u", "w").agg(F.max("b").alias("b"))
 
 
+def ladder_heights(ladder: Sequence[DataFrame]) -> DataFrame:
+    """(part, height) from the ends (start, part) of all segments of exactly 1, 2, 4 ... lines, as far as those below the roots go.
+
+    Exact for every part that the roots reach.
+
+    With heights known up to 2^k - 1, a part has 2^k more than the highest of those at the end of its segments of 2^k lines.
+    """
+    every = ladder[0].select("start").union(ladder[0].select("part")).distinct()
+    known = every.select(F.col("start").alias("part"), F.lit(0).alias("height"))
+    for k, ends in enumerate(ladder):
+        more = ends.distinct().join(known, "part").select(F.col("start").alias("part"), (F.col("height") + (1 << k)).alias("height"))
+        known = known.union(more).groupBy("part").agg(F.max("height").alias("height"))
+    return materialize(known, "bom-height")
+
+
 def reachable(edges: DataFrame, parts: DataFrame) -> DataFrame:
     """(part): the given parts and all below them; a part is visited once, so cycles don't matter."""
     level = materialize(parts.select("part").distinct(), "bom-reach")
@@ -366,41 +384,68 @@ def smallest_anchors(nodes: DataFrame) -> DataFrame:
     return a.select("part", F.col("__a.quantity").alias("a_quantity"), F.col("__a.description").alias("a_description"))
 
 
-def dag_visits(edges: DataFrame, roots: DataFrame, last: bool = False) -> DataFrame:
+def dag_visits(edges: DataFrame, roots: DataFrame, last: bool = False, ladder: list | None = None, growth: int = 4) -> DataFrame:
     """The first (or last) node in preorder of each part, without exploding paths:
     (part, key, Parent, depth, a_quantity, a_description).
 
-    On a DAG the smallest path key to a part is the smallest over its parents
-    of (their smallest key + the edge element), because no path to a node is
-    a prefix of another path to the same node; likewise the greatest. A round follows the keys that changed
-    in the last one, and only those are written; they are folded into one table every eighth round. Rounds = the longest path.
+    On a DAG the smallest path key to a part is the smallest over its ancestors
+    of (their smallest key + the smallest key of a segment from there), because no path to a node is
+    a prefix of another path to the same node; likewise the greatest. Segments of exactly 1, 2, 4 ... lines keep one key
+    for each pair of ends, and each doubling takes keys of twice as many lines; the rounds are the digits of the longest path.
+    Once the pairs are more than ``growth`` times the edges, the segments stay as they are, and keys that changed
+    are followed over them until none does. ``ladder`` gets the pairs of ends of each doubling, unless it was broken off.
     """
-    e = _edge_cols(edges)
     pick = F.max_by if last else F.min_by
     cols = ["key", "Parent", "depth", "a_quantity", "a_description"]
 
-    def one(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("part").agg(pick(F.struct(*cols), F.col("key")).alias("__b")).select("part", "__b.*")
-
-    delta = materialize(one(roots.select("part", root_key(F.col("part")).alias("key"), F.lit(BOM_ROOT).alias("Parent"), F.lit(1).alias("depth"),
-                                         F.lit(1.0).alias("a_quantity"), F.col("description").alias("a_description"))), "bom-anchor")
-    known, rounds = [delta], 0
+    def picked(rows: DataFrame, *keys: str) -> DataFrame:
+        flags = [F.max("__moved").alias("__moved")] if "__moved" in rows.columns else []
+        out = rows.groupBy(*keys).agg(pick(F.struct(*cols), F.col("key")).alias("__b"), *flags)
+        return out.select(*keys, "__b.*", *(["__moved"] if flags else []))
+
+    def longer(left: DataFrame, segments: DataFrame, *keep: str) -> DataFrame:
+        r = segments.select(*[F.col(c).alias("r_" + c) for c in ("start", "part", *cols)])
+        return left.join(r, left["part"] == r["r_start"]).select(
+            *keep, F.col("r_part").alias("part"), F.concat("key", "r_key").alias("key"), F.col("r_Parent").alias("Parent"),
+            (F.col("depth") + F.col("r_depth")).alias("depth"), *[F.col("r_" + c).alias(c) for c in cols[3:]])
+
+    best = materialize(picked(roots.select("part", root_key(F.col("part")).alias("key"), F.lit(BOM_ROOT).alias("Parent"), F.lit(1).alias("depth"),
+                                           F.lit(1.0).alias("a_quantity"), F.col("description").alias("a_description")), "part"), "bom-anchor")
+    segments = edges.select(F.col("assembly").alias("start"), "part", child_key(F.col("ord"), F.col("part")).alias("key"),
+                            F.col("assembly").alias("Parent"), F.lit(1).alias("depth"), F.col("quantity").alias("a_quantity"),
+                            F.col("description").alias("a_description"))
+    n, most, rounds = 0, None, 0
+    while most is None or n <= most:
+        if ladder is not None:
+            ladder.append(segments.select("start", "part"))
+        none = F.lit(None).cast("string").alias("start")
+        own = best.select(none, "part", *cols)
+        # what is known goes along, so that one aggregation picks the best of old and new
+        rows = longer(own.unionByName(segments), segments, "start").withColumn("__moved", F.col("start").isNull()).unionByName(
+            own.withColumn("__moved", F.lit(False)))
+        both, seen = materialize_observed(picked(rows, "start", "part"), "bom-anchor", moved=F.count_if("__moved"),
+                                          pairs=F.count_if(F.col("start").isNotNull()))
+        best = both.where("start is null").select("part", *cols)
+        if not seen["moved"]:
+            return best
+        rounds += 1
+        if 1 << rounds == CHECK_AFTER:
+            require_acyclic(edges, roots)
+        segments, n = both.where("start is not null").select("start", "part", *cols), seen["pairs"]
+        most = edges.count() * growth if most is None else most
+    if ladder is not None:
+        ladder.clear()
+    known, delta = [best], best
     while True:
-        cand = one(delta.join(e, delta["part"] == e["e_assembly"]).select(
-            F.col("e_part").alias("part"), F.concat(F.col("key"), child_key(F.col("e_ord"), F.col("e_part"))).alias("key"),
-            F.col("e_assembly").alias("Parent"), (F.col("depth") + 1).alias("depth"), F.col("e_quantity").alias("a_quantity"),
-            F.col("e_description").alias("a_description")))
-        best = F.max("key") if last else F.min("key")
-        old = _union([x.select("part", "key") for x in known]).groupBy("part").agg(best.alias("__old"))
-        better = F.col("key") > F.col("__old") if last else F.col("key") < F.col("__old")
-        cand = cand.join(old, "part", "left").where(F.col("__old").isNull() | better).drop("__old")
-        delta, seen = materialize_observed(cand, "bom-anchor")
+        both = longer(delta, segments).withColumn("__moved", F.lit(True)).unionByName(_union(known).withColumn("__moved", F.lit(False)))
+        both = both.groupBy("part").agg(pick(F.struct(*cols, "__moved"), F.col("key")).alias("__b")).select("part", "__b.*")
+        delta, seen = materialize_observed(both.where("__moved").drop("__moved"), "bom-anchor")
         if not seen["rows"]:
-            return one(_union(known))
-        rounds += 1
+            return picked(_union(known), "part")
         known.append(delta)
         if len(known) == 8:
-            known = [materialize(one(_union(known)), "bom-anchor")]
+            known = [materialize(picked(_union(known), "part"), "bom-anchor")]
+        rounds += 1
         if rounds == CHECK_AFTER:
             require_acyclic(edges, delta)
 
@@ -410,12 +455,12 @@ def dag_first_anchors(edges: DataFrame, roots: DataFrame) -> DataFrame:
     return dag_visits(edges, roots).select("part", "a_quantity", "a_description")
 
 
-def dag_smallest_anchors(edges: DataFrame, roots: DataFrame) -> DataFrame:
+def dag_smallest_anchors(edges: DataFrame, roots: DataFrame, ladder: list | None = None) -> DataFrame:
     """Node with the smallest quantity of each reachable part, as :func:`smallest_anchors` picks it: (part, a_quantity, a_description).
 
     Of the nodes that an edge makes, the first one in preorder lies below its assembly's first node.
     """
-    first = materialize(dag_visits(edges, roots).select("part", "key"), "bom-anchor")
+    first = dag_visits(edges, roots, ladder=ladder).select("part", "key")
     e = _edge_cols(edges)
     rows = first.join(e, first["part"] == e["e_assembly"]).select(
         F.col("e_part").alias("part"), F.col("e_quantity").alias("quantity"), F.col("e_description").alias("description"),
@@ -447,29 +492,31 @@ def recorded_paths(edges: DataFrame, recorded: DataFrame, demand: DataFrame | No
     below at least, whatever the number of paths between them. ``demand`` (part): where paths are wanted from;
     a cycle below it raises, others are left out.
     """
-    def summed(rows: DataFrame, *keys: str) -> DataFrame:
-        return rows.groupBy(*keys, "factor").agg(F.sum("n").alias("n"))
+    keys = ["start", "part", "description", "ends", "factor"]
+
+    def summed(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.sum("n").alias("n"))
 
-    step = summed(edges.select(F.col("assembly").alias("start"), "part", F.col("quantity").alias("factor"), F.lit(1).cast("bigint").alias("n")), "start", "part")
-    x = [materialize(summed(edges.join(recorded, "part", "left_semi").select(
-        F.col("assembly").alias("start"), "part", "description", F.col("quantity").alias("factor"), F.lit(1).cast("bigint").alias("n")),
-        "start", "part", "description"), "bom-recorded")]
+    # ends: rows of X; else of A, which need no description
+    lines = edges.select(F.col("assembly").alias("start"), "part", "description", F.col("quantity").alias("factor"), F.lit(1).cast("bigint").alias("n"))
+    both = summed(lines.join(recorded, "part", "left_semi").withColumn("ends", F.lit(True)).unionByName(
+        lines.withColumn("description", F.lit(None).cast("string")).withColumn("ends", F.lit(False))))
+    both = materialize(both, "bom-recorded")
+    x = [both.where("ends")]
     while True:
+        step = both.where("not ends")
         left = step.select("start", F.col("part").alias("__mid"), F.col("factor").alias("__f"), F.col("n").alias("__n"))
-
-        def after(right: DataFrame, *keys: str) -> DataFrame:
-            r = right.withColumnRenamed("start", "__mid")
-            return summed(left.join(r, "__mid").select("start", *keys, (F.col("__f") * F.col("factor")).alias("factor"),
-                                                       (F.col("__n") * F.col("n")).alias("n")), "start", *keys)
-        new, seen = materialize_observed(after(_union(x), "part", "description"), "bom-recorded")
-        if not seen["rows"]:
-            return _union(x)
-        x.append(new.select(*x[0].columns))
+        right = _union([*x, step]).withColumnRenamed("start", "__mid")
+        new = left.join(right, "__mid").select("start", "part", "description", "ends", (F.col("__f") * F.col("factor")).alias("factor"),
+                                               (F.col("__n") * F.col("n")).alias("n"))
+        both, seen = materialize_observed(summed(new), "bom-recorded", ending=F.count_if("ends"))
+        if not seen["ending"]:
+            return _union(x).drop("ends")
+        x.append(both.where("ends"))
         if 1 << len(x) > CHECK_AFTER and demand is not None:
             require_acyclic(edges, demand)
             below = materialize(reachable(edges, demand), "bom-reach").withColumnRenamed("part", "assembly")
-            return recorded_paths(edges.join(below, "assembly", "left_semi"), recorded)
-        step = materialize(after(step, "part"), "bom-steps")
+            return recorded_paths(edges.join(below, "assembly", "left_semi").select(*edges.columns), recorded)
 
 
 def _repeated(rows: DataFrame, n: str, chunk: int = 10_000) -> DataFrame:

@@ -133,22 +133,28 @@ def mandrel_ratio(df: DataFrame, statistic: str, rows: str = "MotorSize") -> Dat
         rows, "Category", ratio_or_zero(F.col(statistic), F.col("__den")).alias("ratio"))
 
 
-def substring_pairs(codes: DataFrame, col: str = "customerCode") -> DataFrame:
+def substring_pairs(codes: DataFrame, col: str = "customerCode", size: int = 3) -> DataFrame:
     """All (customer, customerCode) with ``customerCode`` containing ``customer``.
 
-    Instead of a nested-loop join, every code emits its distinct substrings
-    (length L gives L(L+1)/2 + 1 of them, the empty one included) and the
-    pairs come from an equi-join of substrings with codes.
+    An inverted index has the distinct pieces of 1 to ``size`` characters of each code (and the empty one): at most
+    ``size`` times its length. A code is looked up by one piece only, the one of its pieces of the greatest size that the fewest
+    codes have; what the index gives is then verified. Joins are equi-joins on the piece, which adaptive execution
+    can split where many codes share one.
     """
     c = codes.select(F.col(col).alias("__r")).where(F.col("__r").isNotNull()).distinct()
     n = F.length("__r")
-    starts = c.select("__r", F.explode(F.sequence(F.lit(1), F.greatest(n, F.lit(1)))).alias("__s"))
-    spans = starts.select("__r", "__s", F.explode(F.sequence(F.col("__s") - 1, n)).alias("__e"))
-    subs = spans.select("__r", F.col("__r").substr(F.col("__s"), F.col("__e") - F.col("__s") + 1)
-                        .alias("__sub")).distinct()
-    keys = c.select(F.col("__r").alias("customer"))
-    return (subs.join(keys, subs["__sub"] == keys["customer"])
-            .select("customer", F.col("__r").alias(col)))
+
+    def pieces(k: int) -> Column:
+        """The pieces of ``k`` characters; none if the code is shorter."""
+        starts = F.when(n >= k, F.sequence(F.lit(1), n - k + 1)).otherwise(F.array().cast("array<int>"))
+        return F.array_distinct(F.transform(starts, lambda i: F.col("__r").substr(i, F.lit(k))))
+
+    every = F.concat(F.array(F.lit("")), *[pieces(k) for k in range(1, size + 1)])
+    index = materialize(c.select("__r", F.explode(every).alias("__p")), "pieces")
+    own = index.where(F.length("__p") == F.least(n, F.lit(size))).withColumnRenamed("__r", "customer")
+    counts = index.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
+    probe = own.join(counts, "__p").groupBy("customer").agg(F.min_by("__p", F.struct("__n", "__p")).alias("__p"))
+    return index.join(probe, "__p").where(F.contains("__r", "customer")).select("customer", F.col("__r").alias(col))
 
 
 def customer_ratio(df: DataFrame, statistic: str, match: str = "substring") -> DataFrame:
@@ -260,11 +266,27 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
                     F.coalesce(F.col("count"), F.lit(0)).alias("count")))
 
 
-def kde_curve(df: DataFrame, col: str, gridsize: int = 200, bins: int = 20, cut: float = 0.0) -> DataFrame:
+# He_0 .. He_9 of the series exp(t s - s^2 / 2) = sum He_j(t) s^j / j!, as coefficients of 1, t, t^2 ...
+ORDER = 9
+
+
+def _hermite(order: int = ORDER) -> list[list[int]]:
+    out = [[1], [0, 1]]
+    for j in range(1, order):
+        up, down = [0, *out[j]], out[j - 1]
+        out.append([x - j * (down[k] if k < len(down) else 0) for k, x in enumerate(up)])
+    return out
+
+
+def kde_curve(df: DataFrame, col: str, gridsize: int = 200, bins: int = 20, cut: float = 0.0, exact: bool = False) -> DataFrame:
     """Gaussian KDE (Scott bandwidth n^-1/5 * sd) on ``gridsize`` points, scaled to histogram counts.
 
-    Each distinct value emits its contribution to every grid point, times its count; the points are
-    summed map-side. No curve (no rows) without a bandwidth: fewer than two values, or all equal.
+    Values are summed into cells a quarter of the bandwidth wide, each with its count and the sums of the first nine
+    powers of the distances from its middle; a cell then gives every point the series of the kernel around the middle. The
+    series is broken off below 3e-13 of a kernel's height for each value (a distance is an eighth of the bandwidth at most), and a cell
+    leaves out points more than nine bandwidths away (3e-18). So the rows that are made depend on the range of
+    the values in bandwidths and not on their number. ``exact`` takes the kernel of each distinct value instead. No
+    curve (no rows) without a bandwidth: fewer than two values, or all equal.
     """
     v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
     v = materialize(v, "kde-values")  # read for the statistics and for the curve
@@ -273,11 +295,36 @@ def kde_curve(df: DataFrame, col: str, gridsize: int = 200, bins: int = 20, cut:
     bw = F.col("__bw")
     g0 = F.col("__min") - bw * cut
     step = ((F.col("__max") + bw * cut) - g0) / (gridsize - 1)
-    v = v.groupBy("v").agg(F.count(F.lit(1)).alias("__times"))
-    pts = _with_stats(v, stats).where(bw > 0).select("*", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("point"))
-    x = g0 + F.col("point") * step
-    dens = F.exp(-0.5 * F.pow((x - F.col("v")) / bw, 2)) / (bw * math.sqrt(2 * math.pi))
+    keep = ["__min", "__max", "__bw"]
+    if exact:
+        cells = v.groupBy("v").agg(F.count(F.lit(1)).cast("double").alias("__m0"))
+        cells = _with_stats(cells, stats).where(bw > 0).select(*keep, F.col("v").alias("__mid"), "__m0")
+        order = 0
+    else:
+        cell = F.floor((F.col("v") - F.col("__min")) / bw * 4)
+        mid = F.col("__min") + (cell + 0.5) * bw / 4
+        rows = _with_stats(v, stats).where(bw > 0).select(*keep, mid.alias("__mid"), ((F.col("v") - mid) / bw).alias("__s"))
+        cells = rows.groupBy(*keep, "__mid").agg(*[F.sum(F.pow("__s", F.lit(j)) if j else F.lit(1.0)).alias(f"__m{j}") for j in range(ORDER + 1)])
+        order = ORDER
+    pts = cells.select("*", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("point"))
+    pts = pts.withColumn("x", g0 + F.col("point") * step).withColumn("__t", (F.col("x") - F.col("__mid")) / bw)
+    t = F.col("__t")
+    if not exact:
+        # the point next to the cell keeps it, so that no point is without rows
+        pts = pts.where((F.abs(t) <= 9) | (F.abs(t) * bw <= step))
+    series = F.lit(0.0)
+    for j, coefficients in enumerate(_hermite()[:order + 1]):
+        poly = F.lit(0.0)
+        for a in reversed(coefficients):
+            poly = poly * t + float(a)
+        series = series + F.col(f"__m{j}") * poly / float(math.factorial(j))
+    dens = F.exp(-0.5 * t * t) * series / (bw * math.sqrt(2 * math.pi))
     binw = (F.col("__max") - F.col("__min")) / bins
-    return (pts.groupBy("point", x.alias("x"), binw.alias("__binw")).agg(F.sum(dens * F.col("__times")).alias("__d"))
-            .select(F.col("point").cast("bigint").alias("point"), "x",
-                    (F.col("__d") * F.col("__binw")).alias("density")))
+    sums = pts.groupBy("point", "x", binw.alias("__binw")).agg(F.sum(dens).alias("__d"))
+    out = sums.select(F.col("point").cast("bigint").alias("point"), "x", (F.col("__d") * F.col("__binw")).alias("density"))
+    if exact:
+        return out
+    # points that no cell is near: the curve is 0 there
+    grid = _with_stats(df.sparkSession.range(gridsize).withColumnRenamed("id", "point"), stats).where(bw > 0)
+    grid = grid.select("point", (g0 + F.col("point") * step).alias("x"))
+    return grid.join(out.drop("x"), "point", "left").select("point", "x", F.coalesce("density", F.lit(0.0)).alias("density"))

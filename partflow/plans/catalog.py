@@ -242,6 +242,14 @@ def q_value_range(spark, sf_dir):
     return reports.value_range(_demand(_t(spark, sf_dir)), PARAMS["statistic"])
 
 
+@query("breakdown")
+def q_breakdown(spark, sf_dir):
+    """The report bundle of the cleaned sales in one scan, as one long table."""
+    from partflow.plans.breakdown import breakdown, long_form
+
+    return long_form(breakdown(_clean(_t(spark, sf_dir)), PARAMS["statistic"]), PARAMS["statistic"])
+
+
 def _forecast_inputs(t: Tables) -> tuple[DataFrame, DataFrame]:
     """(demand, quarter) for the forecast sheet from one scan of the sales.
 
@@ -341,8 +349,10 @@ def q_prune_tree(spark, sf_dir):
 
 @query("node_height")
 def q_node_height(spark, sf_dir):
-    _, _, edges, nodes = _nodes(spark, sf_dir)
-    return bom.node_height(nodes, bom.part_heights(edges))
+    _, _, edges, roots = _bom(spark, sf_dir, False)
+    ladder = []
+    nodes = bom.explode_bom(edges, roots, ladder)
+    return bom.node_height(nodes, bom.ladder_heights(ladder))
 
 
 @query("descendants")
@@ -363,7 +373,11 @@ def q_bom_materials(spark, sf_dir):
 def q_bom_components(spark, sf_dir):
     _, per_part, edges, roots = _bom(spark, sf_dir)
     demand = per_part.select("partNumber", PARAMS["statistic"])
-    return bom.bom_components(edges, bom.dag_smallest_anchors(edges, roots), demand, PARAMS["statistic"])
+    roots = materialize(roots, "bom-roots")
+    ladder = []
+    anchors = bom.dag_smallest_anchors(edges, roots, ladder)
+    heights = bom.ladder_heights(ladder) if ladder else bom.part_heights(edges)
+    return bom.bom_components(edges, anchors, demand, PARAMS["statistic"], heights)
 
 
 @query("material_requirements")
@@ -436,12 +450,14 @@ def q_load_tree(spark, sf_dir):
 
 @query("write_size_sheets")
 def q_write_size_sheets(spark, sf_dir):
-    """Write the size sheets (one folder per MotorSize) and read them back."""
+    """Write the size sheets (one folder per MotorSize) and the materials sheet, read both back: ``sheet`` says which."""
     demand, quarter = _forecast_inputs(_t(spark, sf_dir))
     forecast = reports.size_forecast(demand, quarter, PARAMS["statistic"])
-    folder = sinks.write_size_sheets(forecast, None, scratch_path(spark, "sheets"))
-    schema = forecast.drop("Category").schema
-    return sinks.read_size_sheets(spark, folder, schema)
+    materials = q_material_requirements(spark, sf_dir)
+    folder = sinks.write_size_sheets(forecast, materials, scratch_path(spark, "sheets"))
+    sheets = sinks.read_size_sheets(spark, folder, forecast.drop("Category").schema)
+    back = sinks.read_materials_sheet(spark, folder, materials.schema)
+    return sheets.withColumn("sheet", F.lit("sizes")).unionByName(back.withColumn("sheet", F.lit("Materials")), allowMissingColumns=True)
 
 
 @query("materialize_once")

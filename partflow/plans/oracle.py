@@ -212,6 +212,48 @@ SELECT g.point, round(g.x, 6) AS x,
   round(sum(exp(-0.5 * pow((g.x - v.v) / s.bw, 2)) / (s.bw * sqrt(2 * pi()))) * ((s.hi - s.lo) / 20), 6) AS density
 FROM g, v, s GROUP BY g.point, g.x, s.hi, s.lo""")
 
+_MCELLS = ("mcells", """SELECT MotorSize, Category, coalesce(sum(quantityText), 0) AS v FROM mand WHERE MotorSize IS NOT NULL
+  GROUP BY MotorSize, Category""")
+
+
+def _report(name: str, label: str, rest: str, customer: str = "NULL", category: str = "Category", low: str = "NULL", high: str = "NULL") -> str:
+    """One report's rows of the bundle; ``rest`` is 'value FROM ...'."""
+    value, _, source = rest.partition(" FROM ")
+    number = lambda x: f"round(CAST({x} AS DOUBLE), 6)"          # noqa: E731
+    return (f"SELECT '{name}' AS report, CAST({label} AS VARCHAR) AS label, CAST({customer} AS VARCHAR) AS customer, CAST({category} AS VARCHAR) AS Category, "
+            f"{number(value)} AS value, {number(low)} AS low, {number(high)} AS high FROM {source}")
+
+
+def _tail(key: str, views: list) -> str:
+    """The last SELECT of an oracle whose views are ``views``."""
+    return ORACLE[key][len(with_views(_SALES_VIEWS, views, "")):]
+
+
+_HIST = [
+    ("hr", """SELECT CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo,
+  CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi FROM v"""),
+    ("hc", "SELECT CAST(least(floor((v - lo) / (hi - lo) * 20), 19) AS BIGINT) AS bin, count(*) AS count FROM v, hr GROUP BY 1")]
+_KDE = [
+    ("s", """SELECT count(v) AS n, stddev_samp(v) AS sd, min(v) AS lo, max(v) AS hi,
+  stddev_samp(v) * pow(count(v), -0.2) AS bw FROM v"""),
+    ("g", "SELECT range AS point, lo + range * ((hi - lo) / 199) AS x FROM range(200), s"),
+    ("curve", """SELECT g.point, g.x, sum(exp(-0.5 * pow((g.x - v.v) / s.bw, 2)) / (s.bw * sqrt(2 * pi()))) * ((s.hi - s.lo) / 20) AS density
+  FROM g, v, s GROUP BY g.point, g.x, s.hi, s.lo""")]
+_BUNDLE = _V + [_CELLS, _MAND, _MCELLS] + _HIST + _KDE + [
+    ("margins", f"SELECT * FROM ({_tail('with_margins', _BASE + [_CELLS])})"),
+    ("mratio", f"SELECT * FROM ({_tail('mandrel_ratio', _BASE + [_MAND, _MCELLS])})"),
+    ("rel", f"SELECT * FROM ({_tail('relative_to_baseline', _RATIO_CTES)})")]
+ORACLE["breakdown"] = with_views(_SALES_VIEWS, _BUNDLE, "\nUNION ALL ".join([
+    _report("size_category_pivot", "MotorSize", "quantityText FROM cells"),
+    _report("with_margins", "MotorSize", "quantityText FROM margins"),
+    _report("mandrel_ratio", "MotorSize", "ratio FROM mratio"),
+    _report("customer_ratio", "customerCode", "ratio FROM ratios", customer="customer"),
+    _report("group_averages", "label", "ratio FROM ga", customer="customer"),
+    _report("relative_to_baseline", "label", "relative FROM rel", customer="customer"),
+    _report("histogram", "b.range", "coalesce(hc.count, 0) FROM range(20) b CROSS JOIN hr LEFT JOIN hc ON hc.bin = b.range", category="NULL",
+            low="lo + b.range * ((hi - lo) / 20)", high="lo + (b.range + 1) * ((hi - lo) / 20)"),
+    _report("kde_curve", "point", "density FROM curve", category="NULL", low="x")]))
+
 ORACLE["value_range"] = with_views(_SALES_VIEWS, [_SALES, _CLEAN, _DEMAND],
                                    "SELECT min(quantityText) AS min_value, max(quantityText) AS max_value FROM demand")
 
@@ -420,9 +462,11 @@ SELECT Node, Parent, description AS Description, quantity AS Quantity, ord FROM
 UNION ALL SELECT 'Root', 'ROOT', 'N/A', CAST(0.0 AS DOUBLE), '!'""")], """
 SELECT Node, arg_max(Parent, ord) AS Parent, arg_max(Description, ord) AS Description, arg_max(Quantity, ord) AS Quantity,
   max(ord) AS ord FROM trows GROUP BY Node""")
-ORACLE["write_size_sheets"] = ORACLE["size_forecast"].replace(
+_SHEETS = ORACLE["size_forecast"].replace(
     'p.MotorSize, p.Category,', 'p.MotorSize,').replace(
     "WHERE p.Category IS NOT NULL", "WHERE p.Category IS NOT NULL AND p.MotorSize IS NOT NULL")
+ORACLE["write_size_sheets"] = f"""
+SELECT *, 'sizes' AS sheet FROM ({_SHEETS}) UNION ALL BY NAME SELECT *, 'Materials' AS sheet FROM ({ORACLE["material_requirements"]})"""
 ORACLE["materialize_once"] = with_views(["ar_invoices"], [], f"""
 SELECT invoiceNumber, invoiceDate, customerCode FROM ar_invoices WHERE {_AFTER.format(c='invoiceDate', d=_S)}""")
 ORACLE["json_pages"] = "SELECT event_id, event_type, value FROM events"

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from frames import rows
+from partflow.functions.patterns import MOLD_BLANK_MARKERS, X_RACE_MARKERS
 from partflow.operators import bom
 from partflow.sources import sinks
 
@@ -40,16 +41,55 @@ def _path_values(df):
 DIAMOND = [("A", "B", 2), ("A", "C", 3), ("B", "D", 4), ("C", "D", 5), ("D", "E", 1)]
 
 
+def _walk(triples, root_parts, demand):
+    """Materials and components as (part, value) rows, by walking every path of plain dictionaries."""
+    kids = {}
+    for a, p, q in triples:
+        if all(p != x for x, _ in kids.setdefault(a, [])):
+            kids[a].append((p, float(q)))
+    mark = lambda p: any(m in p for m in MOLD_BLANK_MARKERS)             # noqa: E731
+    xrace = lambda p: any(m in p for m in X_RACE_MARKERS)                # noqa: E731
+    height = lambda p: max((1 + height(c) for c, _ in kids.get(p, [])), default=0)
+    visits = {}
+
+    def visit(p, q):
+        visits.setdefault(p, []).append(q)
+        for c, cq in kids.get(p, []):
+            visit(c, cq)
+    for r in sorted(root_parts):
+        visit(r, 1.0)
+    mats, comps = [], []
+
+    def materials(p, v):
+        if p not in kids or mark(p):
+            mats.append((p, v))
+        for c, q in kids.get(p, []):
+            materials(c, v * q)
+
+    def components(p, v):
+        if (mark(p) or height(p) < 1) and not xrace(p):
+            return
+        if height(p) == 1 or any(mark(c) for c, _ in kids.get(p, [])) or xrace(p):
+            comps.append((p, v))
+        for c, q in kids.get(p, []):
+            components(c, v * q)
+    for p, v in demand:
+        if p in visits:
+            materials(p, v * visits[p][0])
+            components(p, v * min(visits[p]))
+    return sorted(mats), sorted(comps)
+
+
 def _both_forms(spark, triples, root_parts, demand):
-    """Materials and components by the level loop and by the one-pass path reading; must agree."""
-    e = _edges(spark, triples)
-    nodes = bom.explode_bom(e, _roots(spark, root_parts))
+    """Materials and components by the anchors of the exploded tree and by those of the DAG; must agree."""
+    e, roots = _edges(spark, triples), _roots(spark, root_parts)
+    nodes = bom.explode_bom(e, roots)
     d = _demand(spark, demand)
-    fa, sa = bom.first_anchors(nodes), bom.smallest_anchors(nodes)
-    m1 = _path_values(bom.bom_materials(e, fa, d, "q"))
-    m2 = _path_values(bom.materials_from_paths(nodes, e, fa, d, "q"))
-    c1 = _path_values(bom.bom_components(e, sa, d, "q"))
-    c2 = _path_values(bom.components_from_paths(nodes, e, sa, d, "q", bom.heights_from_paths(nodes)))
+    m1 = _path_values(bom.bom_materials(e, bom.first_anchors(nodes), d, "q"))
+    m2 = _path_values(bom.bom_materials(e, bom.dag_first_anchors(e, roots), d, "q"))
+    c1 = _path_values(bom.bom_components(e, bom.smallest_anchors(nodes), d, "q"))
+    ladder = []
+    c2 = _path_values(bom.bom_components(e, bom.dag_smallest_anchors(e, roots, ladder), d, "q", bom.ladder_heights(ladder)))
     assert m1 == m2 and c1 == c2
     return m1, c1
 
@@ -173,7 +213,75 @@ def test_dag_form_equals_path_form(spark, seed):
     cpaths = _sums(bom.bom_components(e, bom.smallest_anchors(nodes), d, "q"))
     cdag = _sums(bom.bom_components(e, bom.dag_smallest_anchors(e, roots), d, "q", form="dag"))
     assert cpaths == pytest.approx(cdag)
+    assert _both_forms(spark, triples, root_parts, demand) == _walk(triples, root_parts, demand)
+    # what the tree has of a part, without the tree
+    for last, by in ((False, "min"), (True, "max")):
+        want = {r["Node"]: tuple(r)[1:] for r in nodes.groupBy("Node").agg(F.expr(f"{by}_by(struct(ord, Parent, depth, quantity, description), ord) AS x"))
+                .select("Node", "x.*").collect()}
+        for growth in (4, 0):                 # 0: segments are not doubled after the first round
+            assert {r["part"]: tuple(r)[1:] for r in bom.dag_visits(e, roots, last, growth=growth).collect()} == want
+    heights = dict(rows(bom.part_heights(e)))
+    longest = {r["part"]: r["h"] for r in nodes.select(F.posexplode("names").alias("k", "part"), F.size("names").alias("n"))
+               .groupBy("part").agg(F.max(F.col("n") - 1 - F.col("k")).alias("h")).collect()}
+    assert {p: h for p, h in heights.items() if p in longest} == {p: h for p, h in longest.items() if p in heights}
     # prune rule: one node per part, deepest
     pruned = {r["Node"]: r["depth"] for r in bom.prune_tree(nodes).collect()}
     deepest = nodes.groupBy("Node").agg(F.max("depth").alias("d")).collect()
     assert pruned == {r["Node"]: r["d"] for r in deepest}
+
+
+def test_heights_of_a_long_chain_take_the_digits_of_its_length(spark):
+    n = 1000
+    chain = spark.range(n).selectExpr("concat('A', id) AS assembly", "concat('A', id + 1) AS part")
+    rounds = []
+    h = bom.part_heights(chain, rounds)
+    assert h.agg(F.count("*"), F.sum("height"), F.max("height")).first() == (n + 1, n * (n + 1) // 2, n)
+    assert h.where("height <> 1000 - CAST(substr(part, 2) AS int)").count() == 0
+    assert len(rounds) <= 11 and rounds[-1] == 0
+
+
+def test_rounds_of_an_explosion_are_the_digits_of_the_depth(spark, monkeypatch):
+    written = []
+    plain = bom.materialize_observed
+    monkeypatch.setattr(bom, "materialize_observed", lambda *a, **m: written.append(a[1]) or plain(*a, **m))
+    e = _edges(spark, [(f"A{i:02}", f"A{i + 1:02}", 1) for i in range(20)])
+    assert bom.explode_bom(e, _roots(spark, ["A00", "A07"])).count() == 21 + 14
+    assert len(written) <= 6
+
+
+def test_a_cycle_beside_the_tree_is_left_out(spark):
+    e = _edges(spark, [("A", "B", 2), ("B", "C", 3), ("C", "D", 1), ("D", "E", 1), ("X", "Y", 1), ("Y", "Z", 1), ("Z", "X", 1)])
+    nodes = bom.explode_bom(e, _roots(spark, ["A"]))
+    assert [r["Node"] for r in nodes.orderBy("ord").collect()] == list("ABCDE")
+    with pytest.raises(ValueError, match="cycle"):
+        bom.explode_bom(e, _roots(spark, ["A", "Y"]))
+
+
+def test_many_equal_paths_are_rows_but_not_before(spark):
+    lines = []
+    for i in range(5):
+        lines += [(f"N{i}", f"L{i}", 1), (f"N{i}", f"R{i}", 1), (f"L{i}", f"N{i + 1}", 2), (f"R{i}", f"N{i + 1}", 2)]
+    e = _edges(spark, lines)
+    leaf = spark.createDataFrame([("N5",)], "part string")
+    table = bom.recorded_paths(e, leaf).where("start = 'N0'").collect()
+    assert [(r["part"], r["factor"], r["n"]) for r in table] == [("N5", 32.0, 32)]
+    out = bom.bom_materials(e, bom.dag_first_anchors(e, _roots(spark, ["N0"])), _demand(spark, [("N0", 3)]), "q")
+    assert _path_values(out) == [("N5", 96.0)] * 32
+    many = spark.createDataFrame([(1, 25), (2, 10), (3, 1)], "a int, n bigint")
+    assert sorted(r["a"] for r in bom._repeated(many, "n", 10).collect()) == [1] * 25 + [2] * 10 + [3]
+
+
+def test_intervals_hold_the_nodes_below(spark):
+    rng = random.Random(8)
+    triples, root_parts, _ = _random_dag(rng, 9)
+    nodes = bom.explode_bom(_edges(spark, triples), _roots(spark, root_parts))
+    labelled = bom.interval_labels(nodes.select("Node", "depth", "ord"))
+    got = sorted((r["a_ord"], r["ord"]) for r in bom.descendants(labelled).collect())
+    keys = sorted(r["ord"] for r in nodes.collect())
+    assert got == sorted((a, b) for a in keys for b in keys if a != b and b.startswith(a)) and got
+    assert sorted(r["left"] for r in labelled.collect()) == sorted(r["left"] for r in labelled.orderBy("ord").collect())
+    assert {r["ord"]: r["size"] for r in labelled.collect()} == {a: sum(b.startswith(a) for b in keys) - 1 for a in keys}
+    counts = {r["ord"]: (r["nodes"], r["leaves"]) for r in bom.descendant_counts(labelled, labelled.where("depth <= 2")).collect()}
+    leaf = {k for k in keys if not any(b != k and b.startswith(k) for b in keys)}
+    assert all(counts[a] == (sum(b.startswith(a) for b in keys) - 1, sum(b.startswith(a) and b != a for b in leaf)) for a in counts)
+    assert bom.descendants(labelled, labelled.where("false")).count() == 0

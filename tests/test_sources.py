@@ -1,12 +1,14 @@
 """Entity scans, filter grammar, lookups, JSON pages, caching, sheets."""
 
+import datetime
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from frames import rows
 from partflow.functions.semantics import union_missing
-from partflow.operators import bom, reports
+from partflow.operators import reports
 from partflow.sources import entity, sinks
 
 
@@ -74,14 +76,6 @@ def test_to_wide_and_union_missing(spark):
     assert rows(u) == [(1, None), (2, "x")]
 
 
-def test_descendants_by_key_prefix(spark):
-    e = bom.bom_edges(spark.createDataFrame([("A", "B", 1.0, "", 0), ("B", "C", 1.0, "", 0)],
-                                            "assembly string, part string, quantity double, description string, ord int"),
-                      "assembly", "part")
-    nodes = bom.explode_bom(e, spark.createDataFrame([("A", "")], "part string, description string"))
-    b_key = nodes.where("Node = 'B'").first()["ord"]
-    assert rows(bom.descendants(nodes, b_key), "Node") == [("C",)]
-
 
 def test_keyset_paging_walks_every_row_once(spark):
     df = spark.createDataFrame([(i // 3, i % 3, f"r{i}") for i in range(20)], "a int, b int, v string")
@@ -96,3 +90,25 @@ def test_keyset_paging_walks_every_row_once(spark):
     assert [r["v"] for r in entity.page(df, ["a", "b"], skip=7, take=7).collect()] == seen[7:14]
 
 
+def test_sheets_and_materials_are_seen_together_or_not(spark):
+    day = datetime.date(2024, 5, 6)
+    f = spark.createDataFrame([("p1", 3.0, "4.75", "Nut")], "partNumber string, q double, MotorSize string, Category string")
+    m = spark.createDataFrame([("m1", 2.0)], "partNumber string, q double")
+    broken = m.withColumn("q", F.when(F.col("q") > 0, F.raise_error(F.lit("lost"))).cast("double"))
+    root = tempfile.mkdtemp(prefix="sheets-")
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_size_sheets(f, broken, root, day)
+    folder = f"{root}/sizeForecasts_24-05-06"
+    for read, df in ((sinks.read_size_sheets, f.drop("Category")), (sinks.read_materials_sheet, m)):
+        with pytest.raises(FileNotFoundError):
+            read(spark, folder, df.schema)
+    assert sinks.write_size_sheets(f, m, root, day) == folder
+    assert rows(sinks.read_size_sheets(spark, folder, f.drop("Category").schema)) == [("p1", 3.0, "4.75")]
+    assert rows(sinks.read_materials_sheet(spark, folder, m.schema)) == [("m1", 2.0)]
+    # a second version that fails leaves the first one; one that succeeds takes its place
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_size_sheets(f.withColumn("q", F.lit(9.0)), broken, root, day)
+    assert rows(sinks.read_size_sheets(spark, folder, f.drop("Category").schema)) == [("p1", 3.0, "4.75")]
+    sinks.write_size_sheets(f.withColumn("q", F.lit(9.0)), m.withColumn("q", F.lit(8.0)), root, day)
+    assert rows(sinks.read_size_sheets(spark, folder, f.drop("Category").schema)) == [("p1", 9.0, "4.75")]
+    assert rows(sinks.read_materials_sheet(spark, folder, m.schema)) == [("m1", 8.0)]
