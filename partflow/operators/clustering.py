@@ -169,8 +169,9 @@ def start(v: Vectors, k: int, seed: int = 1, rounds: int = 3, each: int | None =
         whole = d.agg(F.sum("d2")).first()[0]
         if not whole:
             break
-        taken = d.where(chance(F.col("doc"), seed, turn) * whole < each * F.col("d2")).select("doc")
-        centres = np.vstack([centres, _dense(rows.join(taken, "doc").orderBy("doc").collect(), len(v.terms))])
+        # about `each` documents; looked up by a filter, so that no rows are shuffled for them
+        taken = [r["doc"] for r in d.where(chance(F.col("doc"), seed, turn) * whole < each * F.col("d2")).select("doc").collect()]
+        centres = np.vstack([centres, _dense(sorted(rows.where(F.col("doc").isin(taken)).collect(), key=lambda r: r["doc"]), len(v.terms))])
     weight = np.zeros(len(centres))
     for r in nearest(v, centres).groupBy("cluster").count().collect():
         weight[r["cluster"]] = r["count"]

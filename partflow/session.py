@@ -85,7 +85,17 @@ def materialize(df: DataFrame, tag: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that :func:`materialize` wrote. Only for tables that nothing reads any more: what was made of them is written."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.written_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize_observed(df: DataFrame, tag: str = "table", **metrics: Column) -> tuple[DataFrame, dict]:

@@ -94,14 +94,25 @@ def _both_forms(spark, triples, root_parts, demand):
     return m1, c1
 
 
-@pytest.mark.parametrize("triples,roots,demand,mats,comps", [
+FIXTURES = [
     (DIAMOND, ["A"], [("A", 10)], [("E", 80.0), ("E", 150.0)], [("D", 80.0), ("D", 150.0)]),
     ([("A", "BK1", 2), ("BK1", "Z", 3)], ["A"], [("A", 1)], [("BK1", 2.0), ("Z", 6.0)], [("A", 1.0)]),
     ([("A", "15X9", 2)], ["A"], [("A", 1)], [("15X9", 2.0)], [("15X9", 2.0), ("A", 1.0)]),
     ([("P", "Q", 3), ("Q", "Z", 2)], ["P", "Q"], [("Q", 1)], [("Z", 6.0)], [("Q", 1.0)]),
-])
-def test_fixture_forms_agree(spark, triples, roots, demand, mats, comps):
-    assert _both_forms(spark, triples, roots, demand) == (mats, comps)
+]
+
+
+def _one_bill(bills):
+    """Several bills side by side: the names of bill k begin with k."""
+    name = lambda k, p: f"{k}.{p}"                                       # noqa: E731
+    return ([(name(k, a), name(k, p), q) for k, b in enumerate(bills) for a, p, q in b[0]],
+            [name(k, r) for k, b in enumerate(bills) for r in b[1]], [(name(k, p), v) for k, b in enumerate(bills) for p, v in b[2]])
+
+
+def test_fixture_forms_agree(spark):
+    mats, comps = _both_forms(spark, *_one_bill(FIXTURES))
+    assert mats == sorted((f"{k}.{p}", v) for k, f in enumerate(FIXTURES) for p, v in f[3])
+    assert comps == sorted((f"{k}.{p}", v) for k, f in enumerate(FIXTURES) for p, v in f[4])
 
 
 def test_h5_diamond_paths_materials_components(spark):
@@ -166,7 +177,7 @@ def test_h7_anchors(spark):
     d = _demand(spark, [("Q", 1)])
     assert _path_values(bom.bom_materials(e, bom.first_anchors(nodes), d, "q")) == [("Z", 6.0)]
     assert _path_values(bom.bom_components(e, bom.smallest_anchors(nodes), d, "q")) == [("Q", 1.0)]
-    assert rows(bom.dag_first_anchors(e, roots)) == [("P", 1.0), ("Q", 3.0), ("Z", 2.0)]
+    assert rows(bom.dag_first_anchors(e, roots), "part", "a_quantity") == [("P", 1.0), ("Q", 3.0), ("Z", 2.0)]
 
 
 def test_h8_dedupe_first(spark):
@@ -197,12 +208,8 @@ def _random_dag(rng, n):
     return triples, roots, demand
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_dag_form_equals_path_form(spark, seed):
-    rng = random.Random(seed)
-    triples, root_parts, demand = _random_dag(rng, 9)
-    if not triples:
-        triples = [("PN0", "PN1", 1)]
+def test_dag_form_equals_path_form(spark):
+    triples, root_parts, demand = _one_bill([_random_dag(random.Random(seed), 9) for seed in (1, 2, 3)])
     e = _edges(spark, triples)
     roots = _roots(spark, root_parts)
     nodes = bom.explode_bom(e, roots)
