@@ -7,7 +7,7 @@ import struct
 import numpy as np
 
 # Words whose ids a Python worker remembers; further words are encoded whenever they come.
-MEMORY = 600_000
+MEMORY = 1_500_000
 
 _encoders: dict = {}
 
