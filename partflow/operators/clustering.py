@@ -25,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partflow.operators.text import TOKEN_PATTERN
@@ -63,8 +63,12 @@ def _to_rows(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch
 def vectors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", features: int = FEATURES) -> Vectors:
     """Sparse TF-IDF rows over the ``features`` terms of the most documents. Texts are read whole, twice."""
     tokens = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_PATTERN), 0)
-    seen = docs.select(F.explode(F.array_distinct(tokens)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    kept = seen.orderBy(F.desc("df"), "term").limit(features).collect()
+    seen = materialize(docs.select(F.explode(F.array_distinct(tokens)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "document-counts")
+    # the count from which on there are enough terms: else every task would send its first `features` to the driver
+    sizes = seen.groupBy("df").agg(F.count(F.lit(1)).alias("n"))
+    enough = sizes.select("df", F.sum("n").over(Window.orderBy(F.desc("df"))).alias("n")).where(F.col("n") >= features)
+    least = enough.agg(F.max("df")).first()[0] or 0
+    kept = seen.where(F.col("df") >= least).orderBy(F.desc("df"), "term").limit(features).collect()
     idf = np.log((docs.count() + 1) / (np.array([r["df"] for r in kept], float) + 1)) + 1
     spark = docs.sparkSession
     ship(spark)
