@@ -202,7 +202,10 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", begin: bool = Tr
 
 
 def decode(docs: DataFrame, model: str, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
-    """The rows with the text of their ids in column ``to``; null ids: null."""
+    """The rows with the text of their ids in column ``to``; null ids: null. An existing column of that name raises."""
+    if to in docs.columns:
+        raise ValueError(f"the input has a column {to}")
+
     @F.pandas_udf("string")
     def text(raw: pd.Series) -> pd.Series:
         t = piece_table(model)

@@ -187,15 +187,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows without all but one of each near-duplicate group: the one with the smallest id (null last), then text hash.
 
-    Rows with equal id and text: one stays.
+    Rows with equal id and text: one stays. All columns are kept, whatever their names. Null text: as empty. Empty table: empty.
     """
-    rows = materialize(near_duplicates(docs, id_col, text_col, **how).select("doc_id", "th", "group"), "members")
+    # under names of their own the input's columns clash with nothing in here
+    names = docs.columns
+    docs = docs.toDF(*[f"_c{k}" for k in range(len(names))])
+    id_own, text_own = f"_c{names.index(id_col)}", f"_c{names.index(text_col)}"
+    rows = materialize(near_duplicates(docs, id_own, text_own, **how).select("doc_id", "th", "group"), "members")
     stays = rows.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("s")).select(
         F.col("s.doc_id").alias("_sid"), F.col("s.th").alias("_sth"))
-    own = docs.withColumn("_th", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    out = own.join(stays, own[id_col].cast("long").eqNullSafe(F.col("_sid")) & (F.col("_th") == F.col("_sth")), "left_semi")
+    own = docs.withColumn("_th", F.xxhash64(F.coalesce(F.col(text_own), F.lit(""))))
+    out = own.join(stays, own[id_own].cast("long").eqNullSafe(F.col("_sid")) & (F.col("_th") == F.col("_sth")), "left_semi")
     again = rows.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
-    return (out.dropDuplicates([id_col, "_th"]) if again else out).drop("_th")
+    return (out.dropDuplicates([id_own, "_th"]) if again else out).drop("_th").toDF(*names)
 
 
 def hex_digits(fp: Column) -> Column:
