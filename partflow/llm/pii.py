@@ -320,7 +320,7 @@ def unmatched(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, i
 
 
 def sample(docs: DataFrame, text_col: str = "text", most: int = SAMPLE) -> list[tuple[str, list[tuple[int, int, int]]]]:
-    """At most ``most`` windows of the corpus with their pattern matches, chosen by hash: up to two of a text, and its beginning."""
+    """At most ``most`` windows of the corpus with their pattern matches, chosen by hash: up to two of all windows of a text, and its beginning."""
     def cut(batches):
         for batch in batches:
             out = []
@@ -328,8 +328,7 @@ def sample(docs: DataFrame, text_col: str = "text", most: int = SAMPLE) -> list[
                 text = x.as_py()
                 spans = base_spans(text)
                 runs = unmatched(text, spans)
-                some = windows_of(text)[:64]
-                some = sorted(some, key=lambda w: hashlib.md5(text[w[0]:w[1]].encode("utf-8", "replace")).digest())[:2] + [(0, min(len(text), WINDOW))]
+                some = sorted(windows_of(text), key=lambda w: hashlib.md5(text[w[0]:w[1]].encode("utf-8", "replace")).digest())[:2] + [(0, min(len(text), WINDOW))]
                 for a, b in some:
                     own = [(k, s - a, e - a) for k, s, e in spans if a <= s and e <= b]
                     # a window that cuts a match would teach half of it
