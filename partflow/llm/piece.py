@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 MARK = "▁"          # stands for a space in the pieces
 UNKNOWN = " ⁇ "     # what an unknown id is decoded to
 MEMORY = 450_000         # segments, and pairs of tokens, that a worker remembers
+LATEST = 50_000          # further segments that it remembers for a while
 
 _tables: dict = {}
 
@@ -66,10 +67,14 @@ class PieceTable:
         self.texts = [b"" if sp.is_control(i) else UNKNOWN.encode() if sp.is_unknown(i) else
                       bytes([int(p[1:-1], 16)]) if sp.is_byte(i) else p.replace(MARK, " ").encode()
                       for i, p in enumerate(self.pieces)]
-        # marks that no piece has right after a letter: a segment can be cut before them
-        self.marks = {c for c in ",.;:!?" if not any(x.isalpha() and y == c for p in self.ids for x, y in zip(p, p[1:]))}
+        # marks that no piece has right after a letter: a text is cut before them, so a word is one segment with or without
+        # them, unless it has one of the other characters there that a piece goes on from
+        after = [(x, y) for p in self.ids for x, y in zip(p, p[1:]) if y in ",.;:!?"]
+        self.marks = [c for c in ",.;:!?" if not any(x.isalpha() and y == c for x, y in after)]
+        before, marks = (re.escape("".join(sorted(x))) for x in ({x for x, y in after if y in self.marks}, self.marks))
+        self.joined = re.compile(f"[{marks}](?<=[{before}].)") if before else None
         self.pairs: dict[int, bool] = {}
-        self.known: dict[str, bytes] = {"": b""}
+        self.known = _Memory(self._one)
 
     def merged(self, text: str) -> list[str]:
         """Merge from single characters, the best-scored neighbours first, the leftmost of equals (short texts only)."""
@@ -87,7 +92,7 @@ class PieceTable:
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether token b may follow token a."""
-        key = a << 32 | b
+        key = a * len(self.sizes) + b
         if (ok := self.pairs.get(key)) is None:
             x, y = self.pieces[a], self.pieces[b]
             ok = self.merged(x + y) == [x, y]
@@ -98,7 +103,7 @@ class PieceTable:
     def segment(self, text: str) -> list[int]:
         """Ids of one segment, from its prefix table."""
         last = [-1] * (len(text) + 1)      # id of the last token of each prefix; -1: a character outside the vocabulary
-        sizes, pairs, done = self.sizes, self.pairs, 0
+        sizes, pairs, done, n = self.sizes, self.pairs, 0, len(self.sizes)
         for end, i in self.matches.iter(text):     # at each end, the longest first
             end += 1
             if end == done:
@@ -106,7 +111,7 @@ class PieceTable:
             begin = end - sizes[i]
             if begin:
                 before = last[begin]
-                if before >= 0 and not ((ok := pairs.get(before << 32 | i)) or ok is None and self.compatible(before, i)):
+                if before >= 0 and not ((ok := pairs.get(before * n + i)) or ok is None and self.compatible(before, i)):
                     continue
             last[end], done = i, end
         out: list[int] = []
@@ -126,29 +131,23 @@ class PieceTable:
             return []
         if text[0] == " " or "  " in text or MARK in text:
             return re.findall(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n", MARK + text.replace(" ", MARK))
-        return (MARK + text.replace(" ", " " + MARK)).replace("\n", " \n ").split(" ")
+        text = (MARK + text.replace(" ", " " + MARK)).replace("\n", " \n ")
+        if self.joined is None or not self.joined.search(text):
+            for c in self.marks:
+                text = text.replace(c, " " + c)
+        return text.split(" ")
 
     def many(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text without begin and end, as little-endian unsigned 32-bit bytes; a new segment is encoded once."""
-        parts, known = [self.cut(t) for t in texts], self.known
-        new = {p: self._one(p[:-1]) + self._one(p[-1]) if p[-1] in self.marks and p[-2:-1].isalpha() else self._one(p)
-               for p in set().union(*parts).difference(known)}
-        if len(known) + len(new) <= MEMORY:
-            known.update(new)
-            new = known
-        find = _Behind(known, new).__getitem__ if new is not known else known.__getitem__
-        return [b"".join(map(find, p)) for p in parts]
+        """Ids of each text without begin and end, as little-endian unsigned 32-bit bytes; a remembered segment isn't encoded again."""
+        find = self.known.__getitem__
+        return [b"".join(map(find, self.cut(t))) for t in texts]
 
     def encode(self, text: str) -> bytes:
         return self.many([text])[0]
 
     def _one(self, segment: str) -> bytes:
-        if (b := self.known.get(segment)) is None:
-            ids = self.segment(segment)
-            b = struct.pack(f"<{len(ids)}I", *ids)
-            if len(self.known) < MEMORY:
-                self.known[segment] = b
-        return b
+        ids = self.segment(segment)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def decode(self, ids) -> str:
         """Text of ids: pieces joined, marks to spaces but for the one that encoding put before the text."""
@@ -164,15 +163,23 @@ class PieceTable:
         return out
 
 
-class _Behind(dict):
-    """New segments with the remembered ones behind them."""
+class _Memory(dict):
+    """Remembered segments, the first ``MEMORY`` of them for good; behind them the last ones met, up to ``LATEST``."""
 
-    def __init__(self, first: dict, new: dict):
-        super().__init__(new)
-        self.first = first
+    def __init__(self, encode):
+        super().__init__({"": b""})
+        self.encode, self.latest = encode, {}
 
     def __missing__(self, p: str) -> bytes:
-        return self.first[p]
+        if (b := self.latest.get(p)) is None:
+            b = self.encode(p)
+            if len(self) < MEMORY:
+                self[p] = b
+            else:
+                if len(self.latest) >= LATEST:
+                    self.latest.clear()
+                self.latest[p] = b
+        return b
 
 
 def piece_table(path: str) -> PieceTable:

@@ -21,8 +21,12 @@ def lib():
 @pytest.mark.parametrize("memory", [250_000, 20])
 def test_same_as_the_library(lib, memory, monkeypatch):
     monkeypatch.setattr(piece, "MEMORY", memory)
+    monkeypatch.setattr(piece, "LATEST", 7)
     table, rnd = piece.PieceTable(PATH), random.Random(2)
     texts = ODD + ["".join(rnd.choice("aeionrst ▁\n.,é語😀0123 ") for _ in range(rnd.randint(1, 60))) for _ in range(1500)]
+    # marks after letters, digits, other marks and brackets: where the text may be cut and where it may not
+    texts += [" ".join("".join(rnd.choice("abé1日)\"'") for _ in range(rnd.randint(1, 4))) + rnd.choice(",.;:!?") * rnd.randint(0, 2)
+                       for _ in range(rnd.randint(1, 6))) for _ in range(1500)]
     for t in texts:
         got = np.frombuffer(table.encode(t), "<u4").tolist()
         assert got == lib.encode(t), t
