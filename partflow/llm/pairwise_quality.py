@@ -2,8 +2,8 @@
 
 Each document has a score that is linear in a few measures of its whole text. The chance that one document is
 preferred to another is the logistic function of the difference of their scores; the weights
-are fitted by logistic loss on the differences of measures over pairs of a good and a bad document. The
-threshold is a quantile of the fitted documents' scores.
+are fitted by logistic loss on the differences of measures over pairs of a good and a bad document, from a bounded
+sample of the labelled ones. The threshold is a quantile of the scores of all labelled documents.
 """
 
 from __future__ import annotations
@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 
 from partflow.llm import host_rules
 from partflow.llm.expr import text_of, words_of
+from partflow.session import materialize
 
 SAMPLE = 20_000          # most labelled documents that the weights are fitted on
 PAIRS = 100_000          # most pairs
 CUT = 0.7                # score at the threshold
+BINS = 1 << 14           # equal steps from the least score to the greatest, in which labelled documents are counted
 
 
 def features(docs: DataFrame, keep: list[str], text_col: str = "text") -> tuple[DataFrame, list[str]]:
@@ -66,37 +68,66 @@ def fit(x: np.ndarray, good: np.ndarray, pairs: int = PAIRS, ridge: float = 1e-3
     return w
 
 
-def threshold(scores: np.ndarray, good: np.ndarray) -> float:
-    """The score quantile that tells the fitted documents apart best (mean of both classes' shares that are right)."""
+def threshold(scores: np.ndarray, good: np.ndarray, n: np.ndarray | None = None) -> float:
+    """The score quantile that tells labelled documents apart best (mean of both classes' shares that are right); ``n`` documents a score."""
+    n = np.ones(len(scores)) if n is None else n
     if not good.any() or good.all():
-        return float(np.quantile(scores, 0.5)) if len(scores) else 0.0
-    cuts = np.quantile(scores, np.linspace(0.005, 0.995, 199))
-    right = [((scores[good] >= c).mean() + (scores[~good] < c).mean()) / 2 for c in cuts]
+        return float(np.quantile(scores, 0.5, weights=n, method="inverted_cdf")) if len(scores) else 0.0
+    cuts = np.quantile(scores, np.linspace(0.005, 0.995, 199), weights=n, method="inverted_cdf")
+    right = [(n[good & (scores >= c)].sum() / n[good].sum() + n[~good & (scores < c)].sum() / n[~good].sum()) / 2 for c in cuts]
     best = np.flatnonzero(np.isclose(right, max(right)))
     return float(cuts[best[len(best) // 2]])
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", text_col: str = "text",
-          most: int = SAMPLE) -> dict:
-    """Weights, threshold and scale from at most ``most`` labelled documents, chosen by the hash of the id.
+def raw_score(names: list[str], w: list[float]) -> Column:
+    return sum((F.col(c) * F.lit(x) for c, x in zip(names, w)), F.lit(0.0))
+
 
-    Rows without id or label are not used; a document that came twice counts once, with the mean of its measures.
+def train_on(measures: DataFrame, names: list[str], labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
+             most: int = SAMPLE) -> dict:
+    """Weights from at most ``most`` labelled documents, chosen by the hash of the id; threshold and scale from all labelled ones.
+
+    Rows without id or label are not used; a document that came twice counts once, with the mean of its measures. The
+    driver gets the sample and, for the threshold, at most ``BINS`` counts a class. Fewer than two classes: weights 0.
+    Other columns: not read. Empty tables: weights, threshold 0 and scale 1.
     """
-    some = (labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("double").alias("_y")).dropna()
-            .groupBy("_id").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(most))
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_t")).join(F.broadcast(some), "_id")
-    df, names = features(rows, ["_id", "_y"], "_t")
-    got = df.groupBy("_id", "_y").agg(*[F.avg(c).alias(c) for c in names]).orderBy("_id").collect()
+    known = (labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("double").alias("_y")).dropna()
+             .groupBy("_id").agg(F.max("_y").alias("_y")))
+    own = measures.select(F.col(id_col).cast("long").alias("_id"), *names).join(known, "_id")
+    own = materialize(own.groupBy("_id", "_y").agg(*[F.avg(c).alias(c) for c in names]), "labelled")
+    got = own.orderBy(F.xxhash64("_id"), "_id").limit(most).collect()
     x, y = np.array([[r[c] for c in names] for r in got]).reshape(-1, len(names)), np.array([r["_y"] for r in got]) > 0.5
-    w = fit(x, y)
-    s = x @ w
-    spread = float(np.std(s)) if len(s) else 0.0
-    return {"names": names, "w": w.tolist(), "at": threshold(s, y), "scale": spread or 1.0}
+    w = fit(x, y).tolist()
+    s = own.select((F.col("_y") > 0.5).alias("y"), raw_score(names, w).alias("s"))
+    low, high, spread = s.agg(F.min("s"), F.max("s"), F.stddev_pop("s")).first()
+    if low is None:
+        return {"names": names, "w": w, "at": 0.0, "scale": 1.0}
+    step = (high - low) / BINS or 1.0
+    bins = s.groupBy("y", F.least(F.floor((F.col("s") - low) / step), F.lit(BINS - 1)).alias("b")).count().orderBy("b", "y").collect()
+    at = threshold(np.array([low + r["b"] * step for r in bins]), np.array([r["y"] for r in bins]), np.array([r["count"] for r in bins], float))
+    return {"names": names, "w": w, "at": at, "scale": spread or 1.0}
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", text_col: str = "text",
+          most: int = SAMPLE) -> dict:
+    """:func:`train_on` the measures of ``docs``."""
+    rows, names = features(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")), ["_id"], "_t")
+    return train_on(rows.withColumnRenamed("_id", id_col), names, labels, id_col, label_col, most)
+
+
+def score_of(model: dict) -> Column:
+    """The score as a column over the measures: 0 to 1, ``CUT`` at the threshold."""
+    z = (raw_score(model["names"], model["w"]) - model["at"]) / model["scale"] * 3 + math.log(CUT / (1 - CUT))
+    return 1 / (1 + F.exp(F.greatest(F.lit(-40.0), F.least(F.lit(40.0), -z))))
 
 
 def score(docs: DataFrame, model: dict, keep: list[str], text_col: str = "text") -> tuple[DataFrame, Column]:
-    """The documents' measures and the score as a column over them: 0 to 1, ``CUT`` at the threshold."""
-    df, names = features(docs, keep, text_col)
-    raw = sum((F.col(n) * F.lit(w) for n, w in zip(names, model["w"])), F.lit(0.0))
-    z = (raw - model["at"]) / model["scale"] * 3 + math.log(CUT / (1 - CUT))
-    return df, 1 / (1 + F.exp(F.greatest(F.lit(-40.0), F.least(F.lit(40.0), -z))))
+    """The documents' measures with the columns ``keep``, and :func:`score_of` the model.
+
+    Null and empty texts are scored as texts without words; null ids and repeated rows are rows like any other. Extra
+    columns: only ``keep``, of which none may have the name of a measure (raises). Empty table: empty.
+    """
+    if clash := set(keep) & set(model["names"]):
+        raise ValueError(f"the input has a column {sorted(clash)[0]}")
+    df, _ = features(docs, keep, text_col)
+    return df, score_of(model)

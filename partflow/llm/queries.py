@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from partflow.llm import conversation, fuzzy_lines, host_rules, language, order_minhash, packing, pairwise_quality, piece, pii, simhash, spelling, token_file, warc
 from partflow.llm.common import shared_folder, ship, table, tokenizer_path
+from partflow.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,8 +103,9 @@ def op9_pairwise_quality(spark, sf_dir):
     """Quality scores of ``documents``; fitted on labels whose document's crc32 leaves no remainder of 2 by 4."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = lambda c: F.crc32(F.col(c).cast("string").cast("binary")) % 4 == 2            # noqa: E731
-    model = pairwise_quality.train(docs, labels.where(~held_out("doc_id")))
-    rows, score = pairwise_quality.score(docs, model, ["doc_id"])
+    rows, names = pairwise_quality.features(docs, ["doc_id"])
+    rows = materialize(rows, "measures")
+    score = pairwise_quality.score_of(pairwise_quality.train_on(rows, names, labels.where(~held_out("doc_id"))))
     return rows.select("doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), score.alias("score"),
                        F.when(score >= pairwise_quality.CUT, 1).otherwise(0).alias("predicted"))
 
