@@ -95,7 +95,9 @@ def train_on(measures: DataFrame, names: list[str], labels: DataFrame, id_col: s
              .groupBy("_id").agg(F.max("_y").alias("_y")))
     own = measures.select(F.col(id_col).cast("long").alias("_id"), *names).join(known, "_id")
     own = materialize(own.groupBy("_id", "_y").agg(*[F.avg(c).alias(c) for c in names]), "labelled")
-    got = own.orderBy(F.xxhash64("_id"), "_id").limit(most).collect()
+    # a tenth more than the sample has hashes below this bound, so no more than that reaches the driver from all tasks together
+    below = min(2 ** 63 - 1, -2 ** 63 + int(2 ** 64 * min(1.0, 1.1 * most / max(1, own.count()))))
+    got = own.where(F.xxhash64("_id") <= below).orderBy(F.xxhash64("_id"), "_id").limit(most).collect()
     x, y = np.array([[r[c] for c in names] for r in got]).reshape(-1, len(names)), np.array([r["_y"] for r in got]) > 0.5
     w = fit(x, y).tolist()
     s = own.select((F.col("_y") > 0.5).alias("y"), raw_score(names, w).alias("s"))

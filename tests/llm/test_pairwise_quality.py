@@ -114,3 +114,15 @@ def test_query_equals_brute_force(spark, tmp_path):
     assert s.min() - step <= cuts[0] <= s.max()
     for i, r in got.items():
         assert r.held_out == held(i) and r.predicted == int(r.score >= 0.7)
+
+
+def test_the_sample_is_that_of_the_least_hashes(spark, monkeypatch):
+    ship(spark)
+    names, seen = ["f_a"], []
+    rows = spark.range(20_000).selectExpr("id as doc_id", "cast(id as double) as f_a")
+    labels = spark.range(20_000).selectExpr("id as doc_id", "cast(id % 2 as int) as quality")
+    monkeypatch.setattr(pq, "fit", lambda x, good: seen.append(x[:, 0]) or np.zeros(1))
+    for most in (1_000, 20_000):
+        pq.train_on(rows, names, labels, most=most)
+        want = [r[0] for r in rows.selectExpr("f_a", "xxhash64(doc_id) h").orderBy("h").limit(most).collect()]
+        assert seen[-1].tolist() == want
