@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 MARK = "▁"          # stands for a space in the pieces
 UNKNOWN = " ⁇ "     # what an unknown id is decoded to
-MEMORY = 450_000         # segments, and pairs of tokens, that a worker remembers
+MEMORY = 750_000         # segments that a worker remembers
+PAIRS = 450_000          # pairs of tokens that it remembers
 LATEST = 50_000          # further segments that it remembers for a while
 
 _tables: dict = {}
@@ -67,6 +68,9 @@ class PieceTable:
         self.texts = [b"" if sp.is_control(i) else UNKNOWN.encode() if sp.is_unknown(i) else
                       bytes([int(p[1:-1], 16)]) if sp.is_byte(i) else p.replace(MARK, " ").encode()
                       for i, p in enumerate(self.pieces)]
+        self.lengths = np.array([len(b) for b in self.texts])
+        self.places = np.cumsum(self.lengths) - self.lengths
+        self.pool = np.frombuffer(b"".join(self.texts), np.uint8)
         # marks that no piece has right after a letter: a text is cut before them, so a word is one segment with or without
         # them, unless it has one of the other characters there that a piece goes on from
         after = [(x, y) for p in self.ids for x, y in zip(p, p[1:]) if y in ",.;:!?"]
@@ -96,7 +100,7 @@ class PieceTable:
         if (ok := self.pairs.get(key)) is None:
             x, y = self.pieces[a], self.pieces[b]
             ok = self.merged(x + y) == [x, y]
-            if len(self.pairs) < MEMORY:
+            if len(self.pairs) < PAIRS:
                 self.pairs[key] = ok
         return ok
 
@@ -149,15 +153,23 @@ class PieceTable:
         ids = self.segment(segment)
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _bytes(self, ids: np.ndarray) -> bytes:
+        """The texts of ids, joined: taken out of ``pool``, where all texts lie one behind the other."""
+        n = self.lengths[ids]
+        # how far the place in the pool of each byte is ahead of its place in the result
+        ahead = np.repeat(self.places[ids] - (np.cumsum(n) - n), n)
+        return self.pool[ahead + np.arange(len(ahead))].tobytes()
+
     def decode(self, ids) -> str:
         """Text of ids: pieces joined, marks to spaces but for the one that encoding put before the text."""
+        ids = np.asarray(ids, dtype=np.int64)
         runs = [ids]
-        if not self.controls.isdisjoint(ids[1:-1]):   # a character's byte pieces don't join across these
-            cuts = [-1, *(k for k, i in enumerate(ids) if i in self.controls), len(ids)]
+        if any((ids[1:-1] == i).any() for i in self.controls):   # a character's byte pieces don't join across these
+            cuts = [-1, *np.flatnonzero(np.isin(ids, list(self.controls))).tolist(), len(ids)]
             runs = [ids[a + 1:b] for a, b in zip(cuts, cuts[1:])]
-        out = "".join(b"".join(map(self.texts.__getitem__, r)).decode("utf-8", "partflow-each-byte") for r in runs)
+        out = "".join(self._bytes(r).decode("utf-8", "partflow-each-byte") for r in runs)
         if out[:1] == " ":
-            first = next(i for i in ids if self.texts[i])
+            first = next(i for i in ids.tolist() if self.texts[i])
             if self.pieces[first][:1] == MARK:
                 return out[1:]
         return out
@@ -216,6 +228,6 @@ def decode(docs: DataFrame, model: str, ids_col: str = "ids", to: str = "decoded
     @F.pandas_udf("string")
     def text(raw: pd.Series) -> pd.Series:
         t = piece_table(model)
-        return pd.Series([None if x is None else t.decode(np.frombuffer(x, "<u4").tolist()) for x in raw], dtype=object)
+        return pd.Series([None if x is None else t.decode(np.frombuffer(x, "<u4")) for x in raw], dtype=object)
 
     return docs.withColumn(to, text(F.col(ids_col)))

@@ -51,3 +51,12 @@ def test_columns_nulls_and_repeats(spark, lib):
     assert piece.encode(df.where("false"), PATH).count() == 0
     with pytest.raises(ValueError):
         piece.encode(df.withColumnRenamed("n_tokens", "ids"), PATH)
+
+
+def test_texts_of_ids_are_taken_out_of_one_pool():
+    t = piece.piece_table(PATH)
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 50, 3000):
+        ids = rng.integers(0, len(t.pieces), n)
+        assert t._bytes(ids) == b"".join(t.texts[i] for i in ids)
+        assert t.decode(ids) == t.decode(ids.tolist())
