@@ -11,6 +11,7 @@ from partflow.session import materialize
 # Fixed value: a token is a run of two or more letters, digits or underscores
 # (the default token rule of the usual TF-IDF vectoriser, in Unicode classes).
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
+COMMON = 200_000        # most terms whose document frequency is sent to all
 
 
 def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -19,18 +20,31 @@ def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep
     return docs.select(id_col, *keep, F.explode(toks).alias("term"))
 
 
-def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
+          common: int = COMMON) -> DataFrame:
     """(doc, term, weight): raw count x smooth idf (ln((1+n)/(1+df)) + 1), L2-normalised per document.
 
-    The texts are tokenised once: the term counts (summed map-side) and the document frequencies are
-    written, so the join on the term reads two tables, and a term of every document can be
-    split or its small vocabulary sent to all. The norm is a window over one document.
+    The texts, not their terms, are dealt by document, so that counts and norms need no shuffle of their own. Of the document
+    frequencies, which are written, the ``common`` greatest at most are sent to all; rows of other terms get theirs by a join
+    and come back to their document. The norm is a window over one document.
     """
-    tf = tokens(docs, id_col, text_col, keep).groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
-    tf = materialize(tf, "term-counts")
+    spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = docs.select(id_col, *keep, text_col).repartition(parts, id_col)
+    tf = tokens(dealt, id_col, text_col, keep).groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
     dfreq = materialize(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "document-counts")
     n = docs.select(F.count(F.lit(1))).scalar()
-    w = tf.join(dfreq, "term")
+    # the frequency from which on there are at most ``common`` terms
+    sizes = dfreq.groupBy("df").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.select("df", F.sum("n").over(Window.orderBy(F.desc("df"))).alias("n"))
+    least, every = sizes.agg(F.min(F.when(F.col("n") <= common, F.col("df"))), F.min("df")).first()
+    if least == every:
+        w = tf.join(F.broadcast(dfreq), "term")
+    else:
+        often = F.col("df") >= F.lit(least) if least is not None else F.lit(False)
+        w = tf.join(F.broadcast(dfreq.where(often)), "term", "left")
+        rare = w.where(F.col("df").isNull()).drop("df").join(dfreq.where(~often), "term")
+        w = w.where(F.col("df").isNotNull()).unionByName(rare.repartition(parts, id_col))
     raw = F.col("tf") * (F.log((n + 1) / (F.col("df") + 1)) + 1)
     w = w.select(id_col, *keep, "term", raw.alias("__w"))
     norm = F.sqrt(F.sum(F.col("__w") * F.col("__w")).over(Window.partitionBy(id_col)))
