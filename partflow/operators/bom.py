@@ -208,13 +208,14 @@ def descendants(labelled: DataFrame, asked: DataFrame | None = None, prefix: str
     """A row per pair of an asked node (its columns with ``prefix``) and a node below it; all nodes are asked for by default.
 
     A range join on the labels of :func:`interval_labels` as an equi-join: an interval is met in the one or two blocks
-    of numbers, as wide as the next power of two, that it touches. A node is sent to its block of each width that is asked for (63 at
-    most), and the rows compared are at most four times the pairs and asked nodes.
+    of numbers, as wide as the next power of eight, that it touches. A node is sent to its block of each width that is asked for (21 at
+    most; an interval without numbers inside asks for none), and the rows compared are at most 16 times the pairs and asked nodes.
     """
     asked = labelled if asked is None else asked
     a = asked.select(*[F.col(c).alias(prefix + c) for c in asked.columns])
     left, right = prefix + "left", prefix + "right"
-    a = a.withColumn("__width", F.length(F.bin(F.col(right) - F.col(left))))
+    a = a.where(F.col(right) - F.col(left) > 1)
+    a = a.withColumn("__width", (F.ceil(F.length(F.bin(F.col(right) - F.col(left))) / 3) * 3).cast("int"))
     blocks = F.array_distinct(F.array(F.expr(f"shiftright({left}, __width)"), F.expr(f"shiftright({right}, __width)")))
     widths = sorted(r[0] for r in a.select("__width").distinct().collect())
     if not widths:
@@ -230,10 +231,11 @@ def descendant_counts(labelled: DataFrame, asked: DataFrame) -> DataFrame:
 
     An asked node without any below has zeros and its own depth.
     """
-    below = descendants(labelled, asked.select("ord", "left", "right")).groupBy("a_ord").agg(
+    # the label stands for the long key: a number goes along with the pairs
+    below = descendants(labelled, asked.select("left", "right")).groupBy("a_left").agg(
         F.count(F.lit(1)).alias("nodes"), F.count_distinct("Node").alias("parts"),
         F.count_if(F.col("size") == 0).alias("leaves"), F.max("depth").alias("deepest"))
-    out = asked.join(below, asked["ord"] == below["a_ord"], "left")
+    out = asked.join(below, asked["left"] == below["a_left"], "left")
     return out.select("Node", "ord", "depth", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("nodes", "parts", "leaves")],
                       F.coalesce("deepest", "depth").alias("deepest"))
 

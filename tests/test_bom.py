@@ -292,3 +292,21 @@ def test_intervals_hold_the_nodes_below(spark):
     leaf = {k for k in keys if not any(b != k and b.startswith(k) for b in keys)}
     assert all(counts[a] == (sum(b.startswith(a) for b in keys) - 1, sum(b.startswith(a) and b != a for b in leaf)) for a in counts)
     assert bom.descendants(labelled, labelled.where("false")).count() == 0
+
+
+def test_descendants_send_a_node_to_few_blocks(spark, monkeypatch):
+    # a path of 70 nodes, each with a leaf: intervals of 36 lengths up to 279 numbers, which are of 9 powers of two
+    rows = [(f"n{k}", k + 1, "a" * k + "b") for k in range(70)] + [(f"l{k}", k + 2, "a" * k + "bc") for k in range(70)]
+    visits = sorted((o + t, o) for _, _, o in rows for t in ("", "~"))
+    at = {o: [i for i, (_, x) in enumerate(visits) if x == o] for _, _, o in rows}
+    labelled = spark.createDataFrame([(n, d, o, at[o][0], at[o][1]) for n, d, o in rows], "Node string, depth int, ord string, left bigint, right bigint")
+    want = {(a, b) for a in at for b in at if at[a][0] < at[b][0] < at[a][1]}
+    widths, shift = [], F.shiftright
+    monkeypatch.setattr(bom.F, "shiftright", lambda c, n: widths.append(n) or shift(c, n))
+    below = bom.descendants(labelled)
+    monkeypatch.undo()
+    assert {(r["a_ord"], r["ord"]) for r in below.collect()} == want and below.count() == len(want)
+    # without numbers inside, a leaf asks for no block
+    leaves = bom.descendants(labelled, labelled.where("right - left = 1"))
+    assert leaves.count() == 0
+    assert sorted(widths) == [3, 6, 9]
