@@ -80,13 +80,14 @@ def jobs(source, start_date: str, order_items_df: DataFrame, route_fields: str =
     posted_after = year_before(start_date)
     job_mat = read_entity(source, "job_materials", JOB_MATERIAL_FIELDS).where(after_time("datePosted", posted_after))
     routes = lookup_in(read_entity(source, "order_routings", route_fields), "orderNumber",
-                       order_items_df.select("orderNumber"))
+                       order_items_df.select("orderNumber"), hashed=True)
     est_mat = read_entity(source, "materials", material_fields)
     est, keys = estimate_routings(source, routing_fields), ["partNumber", "stepNumber"]
     # all routings with their estimates, then the estimates without a routing: unlike a full outer
-    # join, both can split a hot key or send a small side to all
-    joined = merge(routes, est, keys, "left", suffixes=("", "_estimate"))
-    own = routes.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+    # join, both can split a hot key. The estimates of a partition (a row per part and step) and the keys go to hash tables:
+    # the wide routings are neither sorted nor spilled
+    joined = merge(routes, est.hint("shuffle_hash"), keys, "left", suffixes=("", "_estimate"))
+    own = routes.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct().hint("shuffle_hash")
     only = est.join(own, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]), "left_anti")
     clash = set(routes.columns) & set(est.columns) - set(keys)
     only = only.select(*[F.col(c).alias(c + "_estimate") if c in clash else F.col(c) for c in only.columns])

@@ -96,17 +96,19 @@ def entity_filter(df: DataFrame, filter_string: str) -> DataFrame:
     return df if cond is None else df.where(cond)
 
 
-def lookup_in(df: DataFrame, field: str, keys, null_safe: bool = False) -> DataFrame:
+def lookup_in(df: DataFrame, field: str, keys, null_safe: bool = False, hashed: bool = False) -> DataFrame:
     """Rows whose ``field`` is in ``keys`` (a one-column DataFrame or a list): a left-semi join.
 
     No batching is needed: the keys are a distributed table. Spark chooses a
     broadcast of the key side only when AQE measures it below the threshold.
+    ``hashed``: the keys of a partition go to a hash table, so that wide rows aren't sorted (and spilled) for them.
     """
     dtype = df.schema[field].dataType
     if not isinstance(keys, DataFrame):
         keys = df.sparkSession.createDataFrame([(key_to_string(k),) for k in keys], "k string")
     k = keys.select(keys.columns[0]).toDF("__key")
     k = k.select(F.col("__key").cast(dtype).alias("__key")).distinct()
+    k = k.hint("shuffle_hash") if hashed else k
     cond = df[field].eqNullSafe(k["__key"]) if null_safe else df[field] == k["__key"]
     return df.join(k, cond, "left_semi")
 
