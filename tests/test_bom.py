@@ -295,8 +295,8 @@ def test_intervals_hold_the_nodes_below(spark):
 
 
 def test_descendants_send_a_node_to_few_blocks(spark, monkeypatch):
-    # a path of 70 nodes, each with a leaf: intervals of 36 lengths up to 279 numbers, which are of 9 powers of two
-    rows = [(f"n{k}", k + 1, "a" * k + "b") for k in range(70)] + [(f"l{k}", k + 2, "a" * k + "bc") for k in range(70)]
+    # a path of 70 nodes, each with a leaf: intervals of 3 to 279 numbers, of 8 powers of two
+    rows = [(f"n{k}", k + 1, "a" * (k + 1)) for k in range(70)] + [(f"l{k}", k + 2, "a" * (k + 1) + "b") for k in range(70)]
     visits = sorted((o + t, o) for _, _, o in rows for t in ("", "~"))
     at = {o: [i for i, (_, x) in enumerate(visits) if x == o] for _, _, o in rows}
     labelled = spark.createDataFrame([(n, d, o, at[o][0], at[o][1]) for n, d, o in rows], "Node string, depth int, ord string, left bigint, right bigint")
