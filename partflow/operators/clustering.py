@@ -33,7 +33,8 @@ from partflow.session import materialize, ship
 
 FEATURES = 1 << 15
 DIGITS = 9             # of a distance
-CELLS = 1 << 22        # numbers of one product in a task
+CELLS = 1 << 20        # numbers of one product in a task
+SLICE = 256            # documents that a task turns into numbers at a time
 
 
 @dataclass
@@ -44,9 +45,16 @@ class Vectors:
     id_col: str
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """At most ``SLICE`` documents at a time: a batch of 10,000 takes several times its tokens in numbers."""
+    for b in batches:
+        for k in range(0, b.num_rows, SLICE):
+            yield b.slice(k, SLICE)
+
+
 def _to_rows(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
     terms, idf = sent.value
-    for b in batches:
+    for b in _sliced(batches):
         lists = b.column(1)
         n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         found = pc.fill_null(pc.index_in(lists.flatten(), value_set=terms), -1).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -102,7 +110,7 @@ def _distances(at: np.ndarray, ids: np.ndarray, w: np.ndarray, centres: np.ndarr
 
 
 def _nearest(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in _sliced(batches):
         d = _distances(*_batch(b), sent.value)
         near = d.argmin(1)
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(near.astype(np.int32)), pa.array(d[np.arange(len(d)), near])], ["doc", "cluster", "d2"])
@@ -112,7 +120,7 @@ def _summed(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]
     """Of the documents of a task, the sum of weights per cluster and feature; feature -1 counts the documents."""
     centres = sent.value
     sums, n = np.zeros(centres.shape[::-1]), np.zeros(centres.shape[1])
-    for b in batches:
+    for b in _sliced(batches):
         at, ids, w = _batch(b)
         near = _distances(at, ids, w, centres).argmin(1)
         n += np.bincount(near, minlength=len(n))

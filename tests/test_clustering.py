@@ -64,3 +64,18 @@ def test_fewer_documents_than_clusters_and_none(spark):
     v = cl.vectors(docs.where("false"))
     c = cl.kmeans(v, 8)
     assert cl.clusters(v, c).count() == 0 and cl.cluster_means(v, c).count() == 0
+
+
+def test_few_documents_at_a_time_become_numbers(monkeypatch):
+    terms = cl.pa.array(["aa", "bb", "cc"], cl.pa.string())
+    sent = type("Sent", (), {"value": (terms, np.array([1.0, 2.0, 3.0]))})
+    lists = [["aa", "bb", "aa", "zz"], [], None, ["cc"], ["bb", "cc"]] * 30
+    batch = cl.pa.RecordBatch.from_arrays([cl.pa.array(range(150)), cl.pa.array(lists, cl.pa.list_(cl.pa.string()))], ["doc", "t"])
+    whole = [r for b in cl._to_rows(iter([batch]), sent) for r in b.to_pylist()]
+    monkeypatch.setattr(cl, "SLICE", 7)
+    parts = list(cl._to_rows(iter([batch]), sent))
+    assert len(parts) == 22 and max(b.num_rows for b in parts) == 7
+    assert [r for b in parts for r in b.to_pylist()] == whole
+    centres = type("Sent", (), {"value": np.eye(3)[:, :2].copy()})
+    near = [r for b in cl._nearest(iter(parts), centres) for r in b.to_pylist()]
+    assert [r["doc"] for r in near] == list(range(150)) and [r["cluster"] for r in near[:5]] == [0, 0, 0, 0, 1]
