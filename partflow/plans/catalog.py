@@ -250,8 +250,8 @@ def q_breakdown(spark, sf_dir):
     return long_form(breakdown(_clean(_t(spark, sf_dir)), PARAMS["statistic"]), PARAMS["statistic"])
 
 
-def _forecast_inputs(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """(demand, quarter) for the forecast sheet from one scan of the sales.
+def _forecast_inputs(t: Tables, reused: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(demand, quarter) for the forecast sheet from one scan of the sales; ``reused``: the demand is read more than once, so it is written too.
 
     The quarter window starts inside the 12-month window, so the quarter sum is
     a conditional sum in the same aggregation (flagged on the invoice time
@@ -273,6 +273,8 @@ def _forecast_inputs(t: Tables) -> tuple[DataFrame, DataFrame]:
     per_part = materialize(per_part, "forecast-parts")
     demand = orders.open_sales(t, per_part.drop("__quarter"))
     demand = merge(demand, t.entity("inventory").select("partNumber", "quantityOnHand"), "partNumber", "left")
+    if reused:
+        demand = materialize(demand, "forecast-demand")
     quarter = per_part.where(F.col("__quarter").isNotNull()).select("partNumber", F.col("__quarter").alias(stat))
     return demand, quarter
 
@@ -385,9 +387,14 @@ def q_material_requirements(spark, sf_dir):
     """Net demand of sold parts (sales - (on hand - in process), missing stock as 0)
     rolled down the BOM in DAG form, with inventory and open purchase quantities."""
     t, per_part, edges, roots = _bom(spark, sf_dir)
-    stat = PARAMS["statistic"]
     demand = orders.open_sales(t, per_part)
     demand = merge(demand, t.entity("inventory").select("partNumber", "quantityOnHand"), "partNumber", "left")
+    return _requirements(t, demand, edges, roots)
+
+
+def _requirements(t: Tables, demand: DataFrame, edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """The materials sheet from the demand per sold part with its open and inventory quantities."""
+    stat = PARAMS["statistic"]
     demand = demand.na.fill(0.0, subset=["quantityOnHand", "quantityToMake"])
     inventory = orders.open_purchases(t, t.entity("inventory"))
     return bom.material_requirements(demand, edges, roots, inventory, stat)
@@ -451,9 +458,12 @@ def q_load_tree(spark, sf_dir):
 @query("write_size_sheets")
 def q_write_size_sheets(spark, sf_dir):
     """Write the size sheets (one folder per MotorSize) and the materials sheet, read both back: ``sheet`` says which."""
-    demand, quarter = _forecast_inputs(_t(spark, sf_dir))
+    t = _t(spark, sf_dir)
+    # both sheets come from the same demand: the sales and the open lines are read once
+    demand, quarter = _forecast_inputs(t, True)
     forecast = reports.size_forecast(demand, quarter, PARAMS["statistic"])
-    materials = q_material_requirements(spark, sf_dir)
+    edges = materialize(bom.bom_edges(t.entity("materials")), "bom-edges")
+    materials = _requirements(t, demand, edges, bom.bom_roots(demand))
     folder = sinks.write_size_sheets(forecast, materials, scratch_path(spark, "sheets"))
     sheets = sinks.read_size_sheets(spark, folder, forecast.drop("Category").schema)
     back = sinks.read_materials_sheet(spark, folder, materials.schema)

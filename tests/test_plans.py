@@ -45,3 +45,16 @@ def test_jobs_has_no_full_outer_join(spark):
     """A full outer join can neither be split on a hot key nor sent to all."""
     plan = queries()["jobs"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "FullOuter" not in plan and "LeftAnti" in plan and "LeftOuter" in plan
+
+
+def test_size_sheets_read_the_sales_once(spark, monkeypatch):
+    """Both sheets come from one demand table: sales and open lines are read for it, not once a sheet."""
+    from partflow.operators import orders
+
+    read = []
+    for name in ("sales", "open_sales"):
+        plain = getattr(orders, name)
+        monkeypatch.setattr(orders, name, lambda *a, _plain=plain, _name=name, **k: read.append(_name) or _plain(*a, **k))
+    out = queries()["write_size_sheets"](spark, SF)
+    assert sorted(read) == ["open_sales", "sales"]
+    assert {r.sheet for r in out.select("sheet").distinct().collect()} == {"sizes", "Materials"}
